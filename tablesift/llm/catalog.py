@@ -6,15 +6,18 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tablesift.llm import token_counts, url_filter
+from tablesift.llm import decontaminate, packing, token_counts, toxicity, url_filter
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op1_decontamination": decontaminate.op1_decontamination,
         "op2_token_counts": token_counts.op2_token_counts,
         "op4_url_filter": url_filter.op4_url_filter,
+        "op5_packing": packing.op5_packing,
+        "op10_toxicity": toxicity.op10_toxicity,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op4_url_filter": url_filter.ORACLE}
+    return {"op1_decontamination": decontaminate.ORACLE, "op4_url_filter": url_filter.ORACLE}
