@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tablesift.llm import decontaminate, packing, token_counts, toxicity, url_filter
+from tablesift.llm import decontaminate, packing, token_counts, topk, toxicity, url_filter
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -15,9 +15,10 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op2_token_counts": token_counts.op2_token_counts,
         "op4_url_filter": url_filter.op4_url_filter,
         "op5_packing": packing.op5_packing,
+        "op8_topk": topk.op8_topk,
         "op10_toxicity": toxicity.op10_toxicity,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_decontamination": decontaminate.ORACLE, "op4_url_filter": url_filter.ORACLE}
+    return {"op1_decontamination": decontaminate.ORACLE, "op4_url_filter": url_filter.ORACLE, "op8_topk": topk.ORACLE}

@@ -22,9 +22,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tablesift.llm.bpe import PieceTokenizer, loaded
-from tablesift.llm.common import chunks, ship, table
+from tablesift.llm.common import chunks, ship, staged, table
 
-FREQUENT = 1 << 16
+FREQUENT = 1 << 17
 CACHE = 400_000
 
 
@@ -38,7 +38,7 @@ def _pruned(counts: Counter, most: int) -> Counter:
 
 
 def frequent_pieces(texts: DataFrame, tokenizer_path: str, most: int = FREQUENT) -> DataFrame:
-    """(piece, n): the heaviest pre-tokens of all texts, at most `most` of them."""
+    """(piece, n): the heaviest pre-tokens of all texts, at most `most` of them; the merged counts are written once."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tokenizer, counts = loaded(tokenizer_path), Counter()
@@ -52,8 +52,10 @@ def frequent_pieces(texts: DataFrame, tokenizer_path: str, most: int = FREQUENT)
         counts = _pruned(counts, most)
         yield pa.RecordBatch.from_pydict({"piece": pa.array(list(counts), pa.string()), "n": pa.array(list(counts.values()), pa.int64())})
 
-    summed = texts.mapInArrow(run, "piece string, n long").groupBy("piece").agg(F.sum("n").alias("n"))
-    return summed.orderBy(F.desc("n"), "piece").limit(most)
+    summed = staged(texts.mapInArrow(run, "piece string, n long").groupBy("piece").agg(F.sum("n").alias("n")), "pieces")
+    total = summed.agg(F.sum("n").alias("n")).first()["n"] or 0
+    # counts that reach a `most`-th of their total are at most `most`, so no sort is needed to bound them
+    return summed.filter(F.col("n") * most >= total)
 
 
 class TwoTier:

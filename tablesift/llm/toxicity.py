@@ -1,7 +1,7 @@
 """Toxicity by FTRL-proximal logistic regression over hashed word n-grams and skip-grams.
 
-Features: the words of a text (A-Z lower-cased, letters, digits and bytes from 0x80), pairs of neighbours and pairs
-with one word between, hashed to 2 ** BITS slots; each counts once. Training visits a bounded sample of labelled
+Features: the words of a text (A-Z lower-cased; letters, digits and bytes from 0x80) and their stems, pairs of
+neighbours and pairs with one word between, hashed to 2 ** BITS slots; each counts once. Training visits a bounded sample of labelled
 documents (`most_positive` and `most_negative`, the smallest hashes of their ids) with per-coordinate learning rates;
 the L1 term leaves few weights, which are broadcast. The intercept is moved from the sample's share of positives to
 that of all labelled training rows. Labels, language, source and id are never inputs of a score.
@@ -27,23 +27,28 @@ from tablesift.llm.common import chunks, crc_mod, ship, table
 from tablesift.llm.decontaminate import WORD_BYTES
 
 BITS = 20
-MOST_POSITIVE = 4000
-MOST_NEGATIVE = 8000
+MOST_POSITIVE = 5000
+MOST_NEGATIVE = 10000
 #: FTRL: alpha, beta, L1, L2 and passes over the sample.
-ALPHA, BETA, L1, L2, EPOCHS = 0.15, 1.0, 0.6, 1.0, 3
+ALPHA, BETA, L1, L2, EPOCHS = 0.5, 1.0, 5.0, 0.1, 4
 REJECT = 0.7
 
-_WORD_CACHE: dict[bytes, int] = {}
-_MOST_WORDS = 500_000
+#: Bytes of the word stems that count beside the whole word, so that unseen endings of a known stem still tell.
+STEMS = (4, 5, 6)
+
+_WORD_CACHE: dict[bytes, bytes] = {}
+_MOST_WORDS = 400_000
 _PAIR, _SKIP = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
 
 
 def _hashes(words: list[bytes]) -> np.ndarray:
+    """A row for each word: the hash of the word and of its stems (0 where the word is no longer than the stem)."""
     if len(_WORD_CACHE) > _MOST_WORDS:
         _WORD_CACHE.clear()
     for w in set(words).difference(_WORD_CACHE):
-        _WORD_CACHE[w] = xxhash.xxh64_intdigest(w)
-    return np.fromiter(map(_WORD_CACHE.__getitem__, words), dtype=np.uint64, count=len(words))
+        own = [xxhash.xxh64_intdigest(w)] + [xxhash.xxh64_intdigest(w[:n] + b"*") if len(w) > n else 0 for n in STEMS]
+        _WORD_CACHE[w] = np.array(own, dtype=np.uint64).tobytes()
+    return np.frombuffer(b"".join(map(_WORD_CACHE.__getitem__, words)), dtype=np.uint64).reshape(-1, 1 + len(STEMS))
 
 
 def _slots(h: np.ndarray) -> np.ndarray:
@@ -55,9 +60,14 @@ def features(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
     """(row, slot) of all word n-grams and skip-grams; pairs never cross texts. They may repeat."""
     split = [t.encode().translate(WORD_BYTES).split() if t else [] for t in texts]
     sizes = [len(s) for s in split]
-    h = _hashes([w for s in split for w in s])
+    table = _hashes([w for s in split for w in s])
+    h = np.ascontiguousarray(table[:, 0])
     row = np.repeat(np.arange(len(texts)), sizes)
     rows, slots = [row], [_slots(h)]
+    for k in range(1, table.shape[1]):
+        stem = np.flatnonzero(table[:, k])
+        rows.append(row[stem])
+        slots.append(_slots(table[stem, k]))
     for gap, factor in ((1, _PAIR), (2, _SKIP)):
         if len(h) > gap:
             same = row[gap:] == row[:-gap]
