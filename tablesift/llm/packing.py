@@ -15,6 +15,7 @@ share of 0, get the smallest quantum. Extra columns are ignored.
 from __future__ import annotations
 
 import zlib
+from array import array
 from collections.abc import Iterator, Mapping
 
 import numpy as np
@@ -23,7 +24,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tablesift.llm.bpe import PieceIds, loaded
+from tablesift.llm.bpe import loaded
 from tablesift.llm.common import chunks, ship, staged, table
 
 LENGTH = 2048
@@ -33,23 +34,18 @@ END_ID = 1
 #: Windows that share one partial sum; keeps the last prefix sum to one row per 4096 windows.
 _GROUP = 4096
 
-_CACHES: dict[str, PieceIds] = {}
-
 
 def tokenized(df: DataFrame, id_column: str, text_column: str, source_column: str, tokenizer_path: str, end_id: int = END_ID) -> DataFrame:
     """(part, idx, id, queue, n_tokens, ids): the ids of every whole text with the end id, as bytes of unsigned integers."""
     ship(df.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        if tokenizer_path not in _CACHES:
-            _CACHES[tokenizer_path] = PieceIds(loaded(tokenizer_path))
-        cache = _CACHES[tokenizer_path]
-        kind = cache.tokenizer.id_type
-        end, wide = np.array([end_id], dtype=kind).tobytes(), int(kind[-1])
+        tokenizer = loaded(tokenizer_path)
+        wide = array(tokenizer.wide).itemsize
         part, at = TaskContext.get().partitionId(), 0
         for batch in batches:
             for start, texts in chunks(batch, "text"):
-                ids = [i + end for i in cache.texts([t or "" for t in texts])]
+                ids = [tokenizer.packed(t or "", end_id) for t in texts]
                 n = len(ids)
                 yield pa.RecordBatch.from_arrays(
                     [pa.array([part] * n, pa.int32()), pa.array(range(at, at + n), pa.int64()), batch.column(0).slice(start, n), batch.column(1).slice(start, n), pa.array([len(i) // wide for i in ids], pa.int64()), pa.array(ids, pa.binary())],
@@ -107,7 +103,7 @@ def pack(df: DataFrame, id_column: str, text_column: str, source_column: str, to
     The tokenised rows are written once to the shared folder: the plan needs their lengths, the cut their ids.
     """
     tokens = staged(tokenized(df, id_column, text_column, source_column, tokenizer_path), "packing")
-    kind = loaded(tokenizer_path).id_type
+    kind = "<u2" if loaded(tokenizer_path).wide == "H" else "<u4"
     plan = round_robin(tokens.select("part", "idx", "queue", "n_tokens"), window, mixture)
     rows = tokens.select("part", "idx", "id", "n_tokens", "ids").join(plan.hint("shuffle_hash"), ["part", "idx"]).select("id", "n_tokens", "window", "at", "ids")
 

@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tablesift.llm.bpe import PieceTokenizer, loaded
+from tablesift.llm.bpe import BpeTokenizer, loaded
 from tablesift.llm.common import chunks, ship, staged, table
 
 FREQUENT = 1 << 17
@@ -61,7 +61,7 @@ def frequent_pieces(texts: DataFrame, tokenizer_path: str, most: int = FREQUENT)
 class TwoTier:
     """The lookup of one worker: the broadcast tier and a bounded cache of misses."""
 
-    def __init__(self, tokenizer: PieceTokenizer, blob: bytes, ends: np.ndarray, lengths: np.ndarray) -> None:
+    def __init__(self, tokenizer: BpeTokenizer, blob: bytes, ends: np.ndarray, lengths: np.ndarray) -> None:
         self.tokenizer = tokenizer
         starts = np.concatenate([[0], ends[:-1]]) if len(ends) else ends
         self.first = {blob[a:b].decode(): n for a, b, n in zip(starts.tolist(), ends.tolist(), lengths.tolist(), strict=True)}
@@ -73,8 +73,7 @@ class TwoTier:
             self.table = dict(self.first)
         known = self.table
         misses = list({p for pieces in split for p in pieces if p not in known})
-        for piece, ids in zip(misses, self.tokenizer.encode(misses), strict=True):
-            known[piece] = len(ids)
+        known.update(zip(misses, self.tokenizer.lengths(misses), strict=True))
         get = known.__getitem__
         return [sum(map(get, pieces)) for pieces in split]
 
@@ -88,7 +87,7 @@ def count_tokens(df: DataFrame, id_column: str, text_column: str, tokenizer_path
     ship(spark)
     texts = df.select(F.col(text_column).cast("string").alias("text"))
     top = [r.piece for r in frequent_pieces(texts, tokenizer_path, frequent).collect()]
-    lengths = np.array([len(ids) for ids in loaded(tokenizer_path).encode(top)], dtype=np.uint16 if all(len(p) < 10_000 for p in top) else np.int64)
+    lengths = np.array(loaded(tokenizer_path).lengths(top), dtype=np.int64)
     encoded = [p.encode() for p in top]
     shared = spark.sparkContext.broadcast((b"".join(encoded), np.cumsum([len(e) for e in encoded], dtype=np.int64), lengths))
 
