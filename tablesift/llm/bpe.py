@@ -66,6 +66,7 @@ class BpeTokenizer:
             import tiktoken
 
             self._fast = tiktoken.Encoding("own", pat_str=PRE_TOKEN, mergeable_ranks=ranks, special_tokens={})
+            self.library = None  # tens of MB that this worker no longer needs
 
     @property
     def wide(self) -> str:

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tablesift.llm import decontaminate, packing, token_counts, topk, toxicity, url_filter
+from tablesift.llm import decontaminate, lm_score, packing, token_counts, topk, toxicity, url_filter
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -15,6 +15,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op2_token_counts": token_counts.op2_token_counts,
         "op4_url_filter": url_filter.op4_url_filter,
         "op5_packing": packing.op5_packing,
+        "op7_lm_score": lm_score.op7_lm_score,
         "op8_topk": topk.op8_topk,
         "op10_toxicity": toxicity.op10_toxicity,
     }

@@ -44,7 +44,7 @@ def tokenized(df: DataFrame, id_column: str, text_column: str, source_column: st
         wide = array(tokenizer.wide).itemsize
         part, at = TaskContext.get().partitionId(), 0
         for batch in batches:
-            for start, texts in chunks(batch, "text"):
+            for start, texts in chunks(batch, "text", 4 << 20):
                 ids = [tokenizer.packed(t or "", end_id) for t in texts]
                 n = len(ids)
                 yield pa.RecordBatch.from_arrays(
