@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tablesift.llm import decontaminate, lm_score, packing, token_counts, topk, toxicity, url_filter
+from tablesift.llm import decontaminate, lm_score, packing, suffix_dedup, token_counts, topk, toxicity, url_filter
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -17,6 +17,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op5_packing": packing.op5_packing,
         "op7_lm_score": lm_score.op7_lm_score,
         "op8_topk": topk.op8_topk,
+        "op9_suffix_dedup": suffix_dedup.op9_suffix_dedup,
         "op10_toxicity": toxicity.op10_toxicity,
     }
 
