@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tablesift.llm import decontaminate, lm_score, packing, suffix_dedup, token_counts, topk, toxicity, url_filter
+from tablesift.llm import decontaminate, line_dedup, lm_score, packing, suffix_dedup, token_counts, topk, toxicity, url_filter
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -15,6 +15,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op2_token_counts": token_counts.op2_token_counts,
         "op4_url_filter": url_filter.op4_url_filter,
         "op5_packing": packing.op5_packing,
+        "op6_line_dedup": line_dedup.op6_line_dedup,
         "op7_lm_score": lm_score.op7_lm_score,
         "op8_topk": topk.op8_topk,
         "op9_suffix_dedup": suffix_dedup.op9_suffix_dedup,
@@ -23,4 +24,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_decontamination": decontaminate.ORACLE, "op4_url_filter": url_filter.ORACLE, "op8_topk": topk.ORACLE}
+    return {"op1_decontamination": decontaminate.ORACLE, "op4_url_filter": url_filter.ORACLE, "op6_line_dedup": line_dedup.ORACLE, "op8_topk": topk.ORACLE}
