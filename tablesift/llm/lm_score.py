@@ -42,11 +42,11 @@ FREQUENT = 1 << 19
 BITS_ONE, BITS_TWO = 20, 21
 BITS_SPELL, BITS_SPELL_THREE = 12, 14
 #: Parts into which a task's tables are cut for merging.
-RANGES = 16
+RANGES = 64
 LEVELS = 8
 BUCKETS = 32
 #: Every n-th block of words corrects weights and refinement before it is counted.
-LEARN_EVERY = 4
+LEARN_EVERY = 8
 RATE = 0.1
 BLOCK = 32_768
 _FLUSH = 300_000
@@ -67,9 +67,10 @@ class Coder:
     words: list[bytes]
     starts: np.ndarray
     sizes: np.ndarray
-    nodes: np.ndarray
+    #: For each step of each path: the tree node spread over 32 bits, the bit taken and the node's own log odds.
+    spread: np.ndarray
     bits: np.ndarray
-    node_odds: np.ndarray
+    odds: np.ndarray
 
 
 def build_coder(words: list[bytes], counts: list[int], ends: int, escapes: int) -> Coder:
@@ -99,7 +100,8 @@ def build_coder(words: list[bytes], counts: list[int], ends: int, escapes: int)
         nodes.extend(p for p, _ in reversed(path))
         bits.extend(b for _, b in reversed(path))
     odds = np.array([math.log((b + 0.4) / (a + 0.4)) for a, b in below], dtype=np.float32)
-    return Coder(words, np.array(starts), np.array(sizes), np.array(nodes, dtype=np.uint32), np.array(bits, dtype=np.uint8), odds)
+    node = np.array(nodes, dtype=np.uint32)
+    return Coder(words, np.array(starts), np.array(sizes), node * np.uint32(0xC2B2AE35), np.array(bits, dtype=np.uint8), odds[node] if nodes else odds)
 
 
 def _mixed(x: np.ndarray) -> np.ndarray:
@@ -113,13 +115,11 @@ class Decisions:
     def __init__(self, coder: Coder, symbols: np.ndarray, before: np.ndarray, before_two: np.ndarray) -> None:
         sizes = coder.sizes[symbols]
         total = int(sizes.sum())
-        self.ends = np.cumsum(sizes)
-        offset = self.ends - sizes
+        offset = np.cumsum(sizes) - sizes
         at = np.arange(total) + np.repeat(coder.starts[symbols] - offset, sizes)
-        self.nodes, self.bits, self.offset = coder.nodes[at], coder.bits[at], offset
+        spread, self.bits, self.odds, self.offset = coder.spread[at], coder.bits[at], coder.odds[at], offset
         one = _mixed(before.astype(np.uint32) + np.uint32(1))
         two = _mixed(one ^ _mixed(before_two.astype(np.uint32) + np.uint32(7)))
-        spread = self.nodes * np.uint32(0xC2B2AE35)
         self.one = ((np.repeat(one, sizes) ^ spread) * np.uint32(0x9E3779B1)) >> np.uint32(32 - BITS_ONE)
         self.two = ((np.repeat(two, sizes) ^ spread) * np.uint32(0x9E3779B1)) >> np.uint32(32 - BITS_TWO)
 
@@ -285,7 +285,7 @@ def _trained(texts: DataFrame, coder_shared, key: str) -> DataFrame:
         tables = [np.zeros(n, dtype=np.int32) for n in _SIZES.values()]
         mixer, spelled, number = Mixer(), set(), 0
         for batch in batches:
-            for _, part in chunks(batch, "text"):
+            for _, part in chunks(batch, "text", 3 << 20):
                 words, at, sizes = _looked_up([split(t) for t in part], known)
                 symbols, before, before_two, _ = _symbols(len(known), at, sizes)
                 for a in range(0, len(symbols), BLOCK):
@@ -295,7 +295,7 @@ def _trained(texts: DataFrame, coder_shared, key: str) -> DataFrame:
                         odds_one, seen_one = _odds(tables[0][one], tables[0][one + 1])
                         odds_two, seen_two = _odds(tables[1][two], tables[1][two + 1])
                         gate = seen_two.astype(np.int64) * LEVELS + seen_one
-                        mixer.learn((coder.node_odds[d.nodes], odds_one, odds_two), gate, seen_two, bits)
+                        mixer.learn((d.odds, odds_one, odds_two), gate, seen_two, bits)
                     each = np.ones(len(bits), dtype=np.int32)
                     np.add.at(tables[0], one + bits, each)
                     np.add.at(tables[1], two + bits, each)
@@ -360,7 +360,7 @@ class Model:
             d = Decisions(self.coder, symbols[a : a + BLOCK], before[a : a + BLOCK], before_two[a : a + BLOCK])
             one, two = self.one[d.one], self.two[d.two]
             seen_one, seen_two = one & 7, two & 7
-            odds = (self.coder.node_odds[d.nodes], (one >> 3) * np.float32(1 / _STEP), (two >> 3) * np.float32(1 / _STEP))
+            odds = (d.odds, (one >> 3) * np.float32(1 / _STEP), (two >> 3) * np.float32(1 / _STEP))
             each = self.mixer.bits(odds, seen_two.astype(np.intp) * LEVELS + seen_one, seen_two, d.bits, self.rates)
             cost[a : a + BLOCK] = np.add.reduceat(each, d.offset, dtype=np.float64) if len(each) else 0
         outside = np.flatnonzero((at < 0) | (at >= coded))
@@ -382,6 +382,17 @@ def _table_of(rows: list, kind: int, size: int, dtype: str) -> np.ndarray:
     return np.concatenate([parts.get(i, np.zeros(n, dtype=dtype)) for i, n in enumerate(sizes)])
 
 
+def _rare_words(words: list[bytes], doc: np.ndarray, at: np.ndarray, docs: int) -> pa.ListArray:
+    """For each document its distinct words among the given places, with their numbers."""
+    names: dict[bytes, int] = {}
+    name = np.fromiter((names.setdefault(words[i], len(names)) for i in at.tolist()), dtype=np.int64, count=len(at))
+    pairs, counts = np.unique(doc[at] * max(1, len(names)) + name, return_counts=True)
+    owner, name = np.divmod(pairs, max(1, len(names)))
+    offsets = np.searchsorted(owner, np.arange(docs + 1)).astype(np.int32)
+    entries = pa.StructArray.from_arrays([pa.array(list(names), pa.binary()).take(pa.array(name)), pa.array(counts, pa.int64())], names=["word", "n"])
+    return pa.ListArray.from_arrays(pa.array(offsets), entries)
+
+
 def score_texts(df: DataFrame, id_column: str, text_column: str, folds: int = 5, held_out: int = 1) -> DataFrame:
     """(id, held_out, n_tokens, n_known, train_tokens, base_score, score, bits_per_byte) for each row."""
     spark: SparkSession = df.sparkSession
@@ -422,21 +433,19 @@ def score_texts(df: DataFrame, id_column: str, text_column: str, folds: int = 5,
         spelled: dict[bytes, float] = _held(f"{key}/spelled", dict)
         part_id, row = TaskContext.get().partitionId(), 0
         for batch in batches:
-            for start, texts in chunks(batch, "text", 4 << 20):
+            for start, texts in chunks(batch, "text", 2 << 20):
                 words, at, sizes = _looked_up([split(t) for t in texts], known)
                 n = len(sizes)
                 bits = own.cost(words, at, sizes, spelled)
                 doc, found = np.repeat(np.arange(n), sizes), at >= 0
                 base = np.bincount(doc[found], weights=logs[at[found]], minlength=n) + logs[-1] - below * (sizes + 1)
                 seen = np.bincount(doc[found], minlength=n) + (ends > 0)
-                rare: list[Counter] = [Counter() for _ in range(n)]
-                for i in np.flatnonzero(~found).tolist():
-                    rare[doc[i]][words[i]] += 1
+                rare = _rare_words(words, doc, np.flatnonzero(~found), n)
                 size = np.array([len(t.encode()) if t else 0 for t in texts])
                 yield pa.RecordBatch.from_arrays(
                     [pa.array([part_id] * n, pa.int32()), pa.array(range(row, row + n), pa.int64()), batch.column(0).slice(start, n), batch.column(1).slice(start, n)]
                     + [pa.array(sizes + 1, pa.int64()), pa.array(seen, pa.int64()), pa.array(base, pa.float64()), pa.array(-bits * math.log10(2), pa.float64()), pa.array(bits / np.maximum(size, 1), pa.float64())]
-                    + [pa.array([[{"word": w, "n": k} for w, k in r.items()] for r in rare], pa.list_(pa.struct([("word", pa.binary()), ("n", pa.int64())])))],
+                    + [rare],
                     names=["part", "idx", "id", "held_out", "n_tokens", "seen", "base", "score", "bits_per_byte", "rare"],
                 )
                 row += n
@@ -444,7 +453,7 @@ def score_texts(df: DataFrame, id_column: str, text_column: str, folds: int = 5,
     kind = df.schema[id_column].dataType.simpleString()
     scored = staged(rows.mapInArrow(run, f"part int, idx long, id {kind}, held_out boolean, n_tokens long, seen long, base double, score double, bits_per_byte double, rare array<struct<word:binary,n:long>>"), "scores")
     lookups = scored.select("part", "idx", F.inline("rare"))
-    found = lookups.join(counts.withColumnRenamed("n", "c"), "word", "left").groupBy("part", "idx").agg(
+    found = lookups.join(counts.withColumnRenamed("n", "c").hint("shuffle_hash"), "word", "left").groupBy("part", "idx").agg(
         F.sum(F.when(F.col("c") > 0, F.col("n")).otherwise(0)).alias("more"), F.sum(F.col("n") * F.log10(F.coalesce(F.col("c"), F.lit(0)) + 0.5)).alias("logs")
     )
     return scored.drop("rare").join(found, ["part", "idx"], "left").select(
