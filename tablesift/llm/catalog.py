@@ -6,13 +6,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tablesift.llm import decontaminate, line_dedup, lm_score, packing, suffix_dedup, token_counts, topk, toxicity, url_filter
+from tablesift.llm import decontaminate, jaccard_join, line_dedup, lm_score, packing, suffix_dedup, token_counts, topk, toxicity, url_filter
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_decontamination": decontaminate.op1_decontamination,
         "op2_token_counts": token_counts.op2_token_counts,
+        "op3_jaccard_join": jaccard_join.op3_jaccard_join,
         "op4_url_filter": url_filter.op4_url_filter,
         "op5_packing": packing.op5_packing,
         "op6_line_dedup": line_dedup.op6_line_dedup,
