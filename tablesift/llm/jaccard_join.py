@@ -280,11 +280,18 @@ def linked(df: DataFrame, id_column: str, text_column: str) -> DataFrame:
 
 
 def one_of_each(df: DataFrame, id_column: str, text_column: str) -> DataFrame:
-    """The rows whose id is the smallest of their component, one row for each id; rows without an id or without words stay."""
-    component = linked(df, id_column, text_column).filter(F.col("n_shingles") > 0).select(F.col(id_column).alias("__id"), (F.col(id_column) != F.col("component_id")).alias("__gone"))
-    gone = component.groupBy("__id").agg(F.max("__gone").alias("__gone")).filter("__gone").select("__id")
-    kept = df.join(gone, df[id_column] == gone["__id"], "left_anti")
-    return kept
+    """The rows whose id is the smallest of their component; of rows that share id and text one stays.
+
+    Rows with a null id, and those without words, stay.
+    """
+    found = staged(linked(df, id_column, text_column).select(F.col(id_column).alias("__id"), "n_shingles", "component_id"), "linked").filter((F.col("n_shingles") > 0) & F.col("__id").isNotNull())
+    by_id = found.groupBy("__id").agg(F.max(F.col("__id") != F.col("component_id")).alias("gone"), F.count("*").alias("rows"))
+    kept = df.join(by_id.filter("gone").select("__id"), df[id_column] == F.col("__id"), "left_anti")
+    repeated = by_id.filter("not gone and rows > 1").select("__id")
+    if repeated.isEmpty():
+        return kept
+    once = kept.join(repeated, kept[id_column] == F.col("__id"), "left_semi").dropDuplicates([id_column, text_column])
+    return kept.join(repeated, kept[id_column] == F.col("__id"), "left_anti").unionByName(once)
 
 
 def op3_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
