@@ -1,18 +1,14 @@
-"""Registry of the library's named queries."""
+"""All named queries of the library with their oracles."""
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from tablesift.plans import archive, grounding, layout, quality  # noqa: F401  importing registers their queries
+from tablesift.plans.registry import ORACLES, QUERIES, Query
 
-from pyspark.sql import DataFrame, SparkSession
 
-_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-_ORACLES: dict[str, str] = {}
-
-
-def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return dict(_QUERIES)
+def queries() -> dict[str, Query]:
+    return dict(QUERIES)
 
 
 def oracle_sql() -> dict[str, str]:
-    return dict(_ORACLES)
+    return dict(ORACLES)
