@@ -42,32 +42,36 @@ def quoted(c: Column) -> Column:
     return F.when(double, F.concat(F.lit('"'), escaped, F.lit('"'))).otherwise(F.concat(F.lit("'"), F.replace(escaped, F.lit("'"), F.lit("\\'")), F.lit("'")))
 
 
-def typed(raw: Column, data_type: Column, variable: Column) -> Column:
-    """struct(int_value, dbl_value, str_value, error): a value of the declared type, or what was expected.
+def typed_parts(value: Column, number: Column, data_type: Column, variable: Column) -> dict[str, Column]:
+    """int_value, dbl_value, str_value and parse_error from the null-marked text and its cleaned number.
 
     An integer outside 64 bits keeps its text in str_value and gives the error RANGE.
     """
-    value, kind = null_mark(raw), F.lower(data_type)
-    number = clean_number(value)
+    kind = F.lower(data_type)
     whole = (kind == "integer") & number.rlike(r"\A[+-]?[0-9]+\z")
     as_int, as_double = number.try_cast("long"), number.try_cast("double")
-    error = (
-        F.when(value.isNull(), None)
-        .when((kind == "integer") & ~whole, F.concat(variable, F.lit(": expected integer for "), quoted(value)))
-        .when(whole & as_int.isNull(), F.concat(variable, F.lit(": RANGE for "), quoted(value)))
-        .when((kind == "float") & as_double.isNull(), F.concat(variable, F.lit(": could not convert string to float: "), quoted(number), F.lit(" for "), quoted(value)))
-    )
-    return F.struct(
-        F.when(whole, as_int).alias("int_value"),
-        F.when(kind == "float", as_double).alias("dbl_value"),
-        F.when(~kind.isin(*INTEGER_TYPES) | (whole & as_int.isNull()), value).alias("str_value"),
-        error.alias("error"),
+    problem = (
+        F.when((kind == "integer") & ~whole, F.concat(F.lit(": expected integer for "), quoted(value)))
+        .when(whole & as_int.isNull(), F.concat(F.lit(": RANGE for "), quoted(value)))
+        .when((kind == "float") & as_double.isNull(), F.concat(F.lit(": could not convert string to float: "), quoted(number), F.lit(" for "), quoted(value)))
     )
+    return {
+        "int_value": F.when(whole, as_int),
+        "dbl_value": F.when(kind == "float", as_double),
+        "str_value": F.when(~kind.isin(*INTEGER_TYPES) | (whole & as_int.isNull()), value),
+        "parse_error": F.when(value.isNotNull(), F.concat(variable, problem)),
+    }
 
 
-def review_flag(raw: Column, data_type: Column, variable: Column, error: Column) -> Column:
-    """Why a reader should look at a cell; the raw text decides, not the cleaned one."""
+def typed(raw: Column, data_type: Column, variable: Column) -> Column:
+    """struct(int_value, dbl_value, str_value, parse_error) of one raw text."""
     value = null_mark(raw)
+    return F.struct(*[c.alias(n) for n, c in typed_parts(value, clean_number(value), data_type, variable).items()])
+
+
+def review_flag(raw: Column, data_type: Column, variable: Column, error: Column, value: Column | None = None) -> Column:
+    """Why a reader should look at a cell; the raw text decides, not the cleaned one. value: its null-marked text, if at hand."""
+    value = null_mark(raw) if value is None else value
     codes = value.rlike(rf"(?i)\A{CODE}(?:/{CODE})*\z")
     numeric = F.nullif(
         F.concat_ws(

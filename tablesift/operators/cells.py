@@ -20,17 +20,15 @@ def to_long(wide: DataFrame, variables: Sequence[tuple[str, str]]) -> DataFrame:
 
 
 def typed_cells(cells: DataFrame) -> DataFrame:
-    """The long table with int_value, dbl_value, str_value, parse_error and flag."""
-    value = F.col("typed")
-    kept = cells.withColumn("typed", T.typed(F.col("raw_value"), F.col("data_type"), F.col("variable")))
-    return kept.select(
-        *cells.columns,
-        value["int_value"].alias("int_value"),
-        value["dbl_value"].alias("dbl_value"),
-        value["str_value"].alias("str_value"),
-        value["error"].alias("parse_error"),
-        T.review_flag(F.col("raw_value"), F.col("data_type"), F.col("variable"), value["error"]).alias("flag"),
-    )
+    """The long table with int_value, dbl_value, str_value, parse_error and flag.
+
+    The marked text and the number are columns of their own on the way: used several times, they are computed once.
+    """
+    marked = cells.withColumn("__value", T.null_mark(F.col("raw_value"))).withColumn("__number", T.clean_number(F.col("__value")))
+    kind, variable = F.col("data_type"), F.col("variable")
+    parsed = marked.withColumns(T.typed_parts(F.col("__value"), F.col("__number"), kind, variable))
+    flag = T.review_flag(F.col("raw_value"), kind, variable, F.col("parse_error"), F.col("__value"))
+    return parsed.withColumn("flag", flag).drop("__value", "__number")
 
 
 def classified_rows(typed: DataFrame, identity: str = IDENTITY) -> DataFrame:
