@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tablesift.llm import decontaminate, jaccard_join, line_dedup, packing, toxicity
-from tablesift.llm.common import staged, table
+from tablesift.llm.common import fresh, staged, table
 
 
 def _recounted(df: DataFrame) -> DataFrame:
@@ -24,13 +24,14 @@ def _recounted(df: DataFrame) -> DataFrame:
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that score below the rejection threshold."""
     weights = toxicity.train(docs, table(spark, sf_dir, "labels"), "doc_id", "text", "toxic")
-    return toxicity.score(docs, "text", weights, "__toxicity").filter(F.col("__toxicity") < toxicity.REJECT).drop("__toxicity")
+    name = fresh(docs.columns, "toxicity")
+    return toxicity.score(docs, "text", weights, name).filter(F.col(name) < toxicity.REJECT).drop(name)
 
 
 def cut_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without the later copies of repeated line runs."""
-    found = line_dedup.remove_runs(docs, "doc_id", "text")
-    kept = found.filter((F.col("__removed") == 0) | (F.trim("text") != ""))
+    names = tuple(fresh(docs.columns, n) for n in ("line_count", "lines_removed", "runs_removed"))
+    kept = line_dedup.remove_runs(docs, "doc_id", "text", names=names).filter((F.col(names[1]) == 0) | (F.trim("text") != ""))
     return _recounted(kept.select(*docs.columns))
 
 

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from tablesift.session import ship, table
 
-__all__ = ["ship", "table", "shared_folder", "staged", "chunks", "crc_mod", "words_sql"]
+__all__ = ["ship", "table", "shared_folder", "staged", "chunks", "fresh", "crc_mod", "words_sql"]
 
 _MADE: list[tuple[SparkSession, str]] = []
 
@@ -66,6 +66,14 @@ def chunks(batch: pa.RecordBatch, column: str, most: int = 8 << 20) -> Iterator[
         yield start, values.slice(start, rows).to_pylist()
 
 
+def fresh(columns: list[str], name: str) -> str:
+    """The name, lengthened until no column has it."""
+    taken = {c.lower() for c in columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def crc_mod(column: str, mod: int) -> Column:
     """crc32 of an id written as text, modulo `mod`; a null id counts as the empty text."""
     return F.pmod(F.crc32(F.coalesce(F.col(column).cast("string"), F.lit("")).cast("binary")), F.lit(mod))

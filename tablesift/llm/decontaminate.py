@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tablesift.llm.common import chunks, ship, table
+from tablesift.llm.common import chunks, fresh, ship, table
 from tablesift.llm.fm_index import FMIndex
 
 WINDOW = 10
@@ -173,11 +173,12 @@ def find_contamination(df: DataFrame, id_column: str, text_column: str, benchmar
         return [pa.array(sizes), pa.array(n_hit.astype(np.int64)), pa.array([sorted(i) for i in items], found[2][1]), pa.array(spans, found[3][1])]
 
     columns = df.columns if keep else [id_column]
-    rows = df.select(*[F.col(c) for c in columns], F.col(text_column).cast("string").alias("__text"))
+    whole = fresh([*columns, *(n for n, _ in found)], "whole_text")
+    rows = df.select(*[F.col(c) for c in columns], F.col(text_column).cast("string").alias(whole))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for start, texts in chunks(batch, "__text", SHARD_BYTES):
+            for start, texts in chunks(batch, whole, SHARD_BYTES):
                 own = [batch.column(i).slice(start, len(texts)) for i in range(len(columns))]
                 yield pa.RecordBatch.from_arrays(own + shard(texts), names=columns + [n for n, _ in found])
 
@@ -188,7 +189,7 @@ def find_contamination(df: DataFrame, id_column: str, text_column: str, benchmar
 def remove_contamination(df: DataFrame, text_column: str, benchmark: DataFrame, item_column: str, item_text: str, window: int = WINDOW) -> DataFrame:
     """The documents with all removal spans cut out; one that loses all its words goes. Clean documents stay as they are."""
     columns = df.columns
-    clash = {c: f"__own_{i}" for i, c in enumerate(columns)}
+    clash = {c: f"own_{i}" for i, c in enumerate(columns)}
     found = find_contamination(df.select(*[F.col(c).alias(clash[c]) for c in columns]), clash[columns[0]], clash[text_column], benchmark, item_column, item_text, window, keep=True)
     raw = F.col(clash[text_column]).cast("binary")
     starts = F.concat(F.array(F.lit(0).cast("long")), F.transform("spans", lambda s: s["stop"]))

@@ -30,7 +30,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tablesift.llm.common import chunks, ship, staged, table
+from tablesift.llm.common import chunks, fresh, ship, staged, table
 from tablesift.llm.components import components
 from tablesift.llm.shared_hashes import LISTED, Filters, bucket_count, bucket_of, listed, low_bits, slices
 
@@ -41,7 +41,7 @@ BLOCK, BLOCK_SHINGLES = 1024, 1 << 20
 #: Shingles found in so many chunks come last in the order, in two steps.
 HOT = (16, 64)
 MOST_MATCHES = 8
-CHUNK = 8 << 20
+CHUNK = 4 << 20
 
 LOWER = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
 _P, _Q = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
@@ -284,14 +284,16 @@ def one_of_each(df: DataFrame, id_column: str, text_column: str) -> DataFrame:
 
     Rows with a null id, and those without words, stay.
     """
-    found = staged(linked(df, id_column, text_column).select(F.col(id_column).alias("__id"), "n_shingles", "component_id"), "linked").filter((F.col("n_shingles") > 0) & F.col("__id").isNotNull())
-    by_id = found.groupBy("__id").agg(F.max(F.col("__id") != F.col("component_id")).alias("gone"), F.count("*").alias("rows"))
-    kept = df.join(by_id.filter("gone").select("__id"), df[id_column] == F.col("__id"), "left_anti")
-    repeated = by_id.filter("not gone and rows > 1").select("__id")
+    key = fresh(df.columns, "own_id")
+    found = staged(linked(df, id_column, text_column).select(F.col(id_column).alias(key), "n_shingles", "component_id"), "linked").filter((F.col("n_shingles") > 0) & F.col(key).isNotNull())
+    by_id = found.groupBy(key).agg(F.max(F.col(key) != F.col("component_id")).alias("gone"), F.count("*").alias("rows"))
+    same = df[id_column] == F.col(key)
+    kept = df.join(by_id.filter("gone").select(key), same, "left_anti")
+    repeated = by_id.filter("not gone and rows > 1").select(key)
     if repeated.isEmpty():
         return kept
-    once = kept.join(repeated, kept[id_column] == F.col("__id"), "left_semi").dropDuplicates([id_column, text_column])
-    return kept.join(repeated, kept[id_column] == F.col("__id"), "left_anti").unionByName(once)
+    once = kept.join(repeated, same, "left_semi").dropDuplicates([id_column, text_column])
+    return kept.join(repeated, same, "left_anti").unionByName(once)
 
 
 def op3_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:

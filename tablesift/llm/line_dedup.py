@@ -117,8 +117,8 @@ def repeated_runs(df: DataFrame, id_column: str, text_column: str, least: int =
     return islands.groupBy("doc", "version", "island").agg(F.min("first").alias("first"), F.max("last").alias("last")).drop("island")
 
 
-def remove_runs(df: DataFrame, id_column: str, text_column: str, least: int = LEAST) -> DataFrame:
-    """The rows with text_column replaced by what is kept and the extra columns __lines, __removed (lines) and __runs."""
+def remove_runs(df: DataFrame, id_column: str, text_column: str, least: int = LEAST, names: tuple[str, str, str] = ("__lines", "__removed", "__runs")) -> DataFrame:
+    """The rows with text_column replaced by what is kept, and three columns of the given names: lines, lines removed, runs removed."""
     columns = df.columns
     ranges = repeated_runs(df, id_column, text_column, least).groupBy("doc", "version").agg(F.sort_array(F.collect_list(F.struct("first", "last"))).alias("ranges"))
     keyed = df.select(F.struct(*[F.col(c) for c in columns]).alias("own"), *_identity(id_column, text_column), F.col(text_column).cast("string").alias("content"))
@@ -130,9 +130,9 @@ def remove_runs(df: DataFrame, id_column: str, text_column: str, least: int = LE
     text = F.when(F.col("ranges").isNull(), F.col("content")).otherwise(F.array_join(kept, "\n"))
     return joined.select(
         *[(text if c == text_column else F.col("own")[c]).alias(c) for c in columns],
-        F.coalesce(F.size("lines"), F.lit(0)).cast("long").alias("__lines"),
-        F.coalesce(removed, F.lit(0)).cast("long").alias("__removed"),
-        F.coalesce(F.size("ranges"), F.lit(0)).cast("long").alias("__runs"),
+        F.coalesce(F.size("lines"), F.lit(0)).cast("long").alias(names[0]),
+        F.coalesce(removed, F.lit(0)).cast("long").alias(names[1]),
+        F.coalesce(F.size("ranges"), F.lit(0)).cast("long").alias(names[2]),
     )
 
 

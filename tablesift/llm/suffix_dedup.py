@@ -30,23 +30,22 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tablesift.llm.common import chunks, ship, table
+from tablesift.llm.shared_hashes import LISTED, Filters, bucket_count, bucket_of, listed, low_bits, slices
 from tablesift.llm.two_stage import Strings
 
 LENGTH = 50
 GRAM = 20
 _WINDOW = LENGTH - GRAM + 1
 _HALF = (LENGTH - GRAM) // 2
-CHUNK = 8 << 20
-#: Bits of the filters over all buckets, whatever the corpus.
-FILTER_BITS, HOT_BITS = 1 << 27, 1 << 23
+CHUNK = 4 << 20
+BLOCK = 1 << 18
 #: Hashes found in so many chunks are dealt by more bytes.
-HOT = 24
+HOT = (24,)
 #: Stretches sorted in one shard; one hash is never split between shards.
-SHARD = 16_384
+SHARD = 4096
 
 _P, _Q = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
 _BYTE = (np.arange(1, 257, dtype=np.uint64) * _P) ^ ((np.arange(1, 257, dtype=np.uint64) * _Q) >> np.uint64(23))
-_PLACE_BITS = np.uint64(24)
 _PLACE = np.uint64((1 << 24) - 1)
 
 
@@ -60,155 +59,88 @@ def _joined(a: np.ndarray, b: np.ndarray, shift: int) -> np.ndarray:
 
 
 class Anchors:
-    """The anchors of a chunk's texts, each with the range of strings whose anchor it is."""
+    """The anchors of a chunk's texts, each with the range of strings whose anchor it is; places count through the chunk."""
 
     def __init__(self, texts: list[bytes]) -> None:
         self.data = np.frombuffer(b"".join(texts), dtype=np.uint8)
         sizes = np.fromiter(map(len, texts), dtype=np.int64, count=len(texts))
-        self.ends = np.cumsum(sizes)
-        starts = self.ends - sizes
-        none = np.zeros(0, dtype=np.int64)
-        self.row = self.at = self.first = self.last = none
-        self.hash = np.zeros(0, dtype=np.uint64)
-        if len(self.data) < LENGTH:
-            return
-        h1 = _BYTE[self.data]
-        h2 = _joined(h1, h1, 1)
-        h4 = _joined(h2, h2, 2)
-        h8 = _joined(h4, h4, 4)
-        h16 = _joined(h8, h8, 8)
-        gram = _joined(h16, h4, 16)
-        least = (gram & ~_PLACE) | np.arange(len(gram), dtype=np.uint64)
-        for width in (1, 2, 4, 8):
-            least = np.minimum(least[:-width], least[width:])
-        least = np.minimum(least[: -(_WINDOW - 16)], least[_WINDOW - 16 :])
-        place = (least & _PLACE).astype(np.int32)
-        # strings that lie within one text
-        inside = np.zeros(len(place) + 1, dtype=np.int8)
-        long = sizes >= LENGTH
-        np.add.at(inside, starts[long], 1)
-        np.add.at(inside, self.ends[long] - LENGTH + 1, -1)
-        inside = np.cumsum(inside[:-1], dtype=np.int8) > 0
-        edge = np.empty(len(place), dtype=bool)
-        edge[0] = inside[0]
-        edge[1:] = inside[1:] & ((place[1:] != place[:-1]) | ~inside[:-1])
-        stop = np.empty(len(place), dtype=bool)
-        stop[-1] = inside[-1]
-        stop[:-1] = inside[:-1] & ((place[1:] != place[:-1]) | ~inside[1:])
-        self.first, self.last = np.flatnonzero(edge), np.flatnonzero(stop)
-        # the last string of a text and the first of the next never have one anchor: their ranges don't overlap
-        self.at = place[self.first].astype(np.int64)
-        self.hash = gram[self.at]
-        self.row = np.searchsorted(self.ends, self.first, side="right")
-        self.begins = starts
-
-
-def _bucket(h: np.ndarray, buckets: int) -> np.ndarray:
-    return ((h >> np.uint64(40)) % np.uint64(buckets)).astype(np.int64)
-
-
-def _probes(low: np.ndarray, bits: int) -> Iterator[np.ndarray]:
-    x = low.astype(np.uint64) * _P
-    for shift in (0, 17, 31):
-        yield ((x >> np.uint64(shift)) * _Q >> np.uint64(20)) % np.uint64(bits)
-
-
-class Filters:
-    """Bloom filters cut into one slice for each bucket: hashes of several documents, and hot hashes."""
-
-    def __init__(self, buckets: int, slices: list) -> None:
-        self.buckets = buckets
-        self.sizes = (FILTER_BITS // buckets // 8 * 8, HOT_BITS // buckets // 8 * 8)
-        self.tables = [np.zeros((buckets, size // 8), dtype=np.uint8) for size in self.sizes]
-        for r in slices:
-            for t, name in zip(self.tables, ("shared", "hot"), strict=True):
-                t[r["bucket"]] = np.frombuffer(r[name], dtype=np.uint8)
-
-    def has(self, which: int, bucket: np.ndarray, low: np.ndarray) -> np.ndarray:
-        found = np.ones(len(low), dtype=bool)
-        for at in _probes(low, self.sizes[which]):
-            at = at.astype(np.int64)
-            found &= (self.tables[which][bucket, at >> 3] >> (at & 7).astype(np.uint8) & 1).astype(bool)
-        return found
-
-
-def _slice(low: np.ndarray, bits: int) -> bytes:
-    out = np.zeros(bits, dtype=np.uint8)
-    for at in _probes(low, bits):
-        out[at.astype(np.int64)] = 1
-    return np.packbits(out, bitorder="little").tobytes()
-
-
-def _texts(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, np.ndarray, list[bytes]]]:
-    """(ids, checks, texts) by chunks; the anchors' places need 24 bits, so a longer text is a chunk of its own pieces."""
+        ends = np.cumsum(sizes)
+        self.begins = ends - sizes
+        found = [np.zeros((4, 0), dtype=np.int64)]
+        hashes = [np.zeros(0, dtype=np.uint64)]
+        row = 0
+        while row < len(texts):
+            # a block of whole texts: the hashes of a position take some hundred bytes
+            stop = max(row + 1, int(np.searchsorted(ends, self.begins[row] + BLOCK, side="right")))
+            base = int(self.begins[row])
+            first, last, at, own = _anchored(self.data[base : int(ends[stop - 1])], sizes[row:stop], hashes)
+            found.append(np.stack([first + base, last + base, at + base, own + row]))
+            row = stop
+        self.first, self.last, self.at, self.row = np.concatenate(found, axis=1)
+        self.hash = np.concatenate(hashes)
+
+
+def _anchored(data: np.ndarray, sizes: np.ndarray, hashes: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(first string, last string, anchor, text) of each anchor in a block; their hashes are appended."""
+    none = np.zeros(0, dtype=np.int64)
+    if len(data) < LENGTH:
+        return none, none, none, none
+    ends = np.cumsum(sizes)
+    starts = ends - sizes
+    h1 = _BYTE[data]
+    h2 = _joined(h1, h1, 1)
+    h4 = _joined(h2, h2, 2)
+    del h1, h2
+    h8 = _joined(h4, h4, 4)
+    gram = _joined(_joined(h8, h8, 8), h4, 16)
+    del h4, h8
+    least = (gram & ~_PLACE) | np.arange(len(gram), dtype=np.uint64)
+    for width in (1, 2, 4, 8):
+        least = np.minimum(least[:-width], least[width:])
+    least = np.minimum(least[: -(_WINDOW - 16)], least[_WINDOW - 16 :])
+    place = (least & _PLACE).astype(np.int32)
+    # strings that lie within one text
+    inside = np.zeros(len(place) + 1, dtype=np.int8)
+    long = sizes >= LENGTH
+    np.add.at(inside, starts[long], np.int8(1))
+    np.add.at(inside, ends[long] - LENGTH + 1, np.int8(-1))
+    inside = np.cumsum(inside[:-1], dtype=np.int8) > 0
+    moved = place[1:] != place[:-1]
+    edge = inside.copy()
+    edge[1:] &= moved | ~inside[:-1]
+    stop = inside.copy()
+    stop[:-1] &= moved | ~inside[1:]
+    first, last = np.flatnonzero(edge), np.flatnonzero(stop)
+    at = place[first].astype(np.int64)
+    hashes.append(gram[at])
+    return first, last, at, np.searchsorted(ends, first, side="right")
+
+
+def _chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, list[bytes]]]:
+    """(ids, checks, offsets, pieces) by chunks: a text longer than a block is cut into pieces that overlap by LENGTH - 1."""
     for batch in batches:
         ids, checks = batch.column(0).to_numpy(), batch.column(1).to_numpy()
         for start, part in chunks(batch, "text", CHUNK):
-            yield ids[start : start + len(part)], checks[start : start + len(part)], [t.encode() for t in part]
-
-
-def _pieces(ids: np.ndarray, checks: np.ndarray, texts: list[bytes]) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, list[bytes]]]:
-    """Sub-chunks of less than 2 ** 24 bytes, with the offset of each piece; pieces of a long text overlap by LENGTH - 1."""
-    most = (1 << 24) - 1
-    rows: list[int] = []
-    offsets: list[int] = []
-    held: list[bytes] = []
-    size = 0
-    for i, text in enumerate(texts):
-        for a in range(0, max(1, len(text) - LENGTH + 1), most - LENGTH + 1):
-            piece = text[a : a + most]
-            if size + len(piece) > most:
-                yield ids[rows], checks[rows], np.array(offsets), held
-                rows, offsets, held, size = [], [], [], 0
-            rows.append(i)
-            offsets.append(a)
-            held.append(piece)
-            size += len(piece)
-    if rows:
-        yield ids[rows], checks[rows], np.array(offsets), held
-
-
-def _all_pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, list[bytes]]]:
-    for ids, checks, texts in _texts(batches):
-        yield from _pieces(ids, checks, texts)
-
-
-def _shared_hashes(texts: DataFrame, buckets: int) -> DataFrame:
-    """(bucket, shared, hot): the filter slices."""
-
-    def listed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for ids, _, _, pieces in _all_pieces(batches):
+            rows, offsets, pieces = [], [], []
+            for i, text in enumerate(part):
+                raw = text.encode()
+                for a in range(0, max(1, len(raw) - LENGTH + 1), BLOCK - LENGTH + 1):
+                    rows.append(start + i)
+                    offsets.append(a)
+                    pieces.append(raw[a : a + BLOCK])
+            yield ids[rows], checks[rows], np.array(offsets, dtype=np.int64), pieces
+
+
+def _shared_hashes(texts: DataFrame, buckets: int) -> list[dict]:
+    """The slices of the filters."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for ids, _, _, pieces in _chunks(batches):
             anchors = Anchors(pieces)
-            if not len(anchors.hash):
-                continue
-            key = _bucket(anchors.hash, buckets) << 32 | (anchors.hash & np.uint64(0xFFFFFFFF)).astype(np.int64)
-            doc = ids[anchors.row]
-            order = np.argsort(key, kind="stable")
-            key, doc = key[order], doc[order]
-            start = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
-            several = np.minimum.reduceat(doc, start) < np.maximum.reduceat(doc, start)
-            key = key[start]
-            bucket, low = key >> 32, (key & 0xFFFFFFFF).astype("<u4")
-            cut = np.flatnonzero(np.concatenate([[True], bucket[1:] != bucket[:-1]]))
-            ends = [*cut[1:].tolist(), len(bucket)]
-            spans = list(zip(cut.tolist(), ends, strict=True))
-            yield pa.RecordBatch.from_arrays([pa.array(bucket[cut], pa.int64()), pa.array([low[a:e].tobytes() for a, e in spans], pa.binary()), pa.array([low[a:e][several[a:e]].tobytes() for a, e in spans], pa.binary())], names=["bucket", "hashes", "several"])
-
-    def filtered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: dict[int, tuple[list[np.ndarray], list[np.ndarray]]] = {}
-        for batch in batches:
-            for i, bucket in enumerate(batch.column(0).to_pylist()):
-                own = held.setdefault(bucket, ([], []))
-                for k in (0, 1):
-                    own[k].append(np.frombuffer(batch.column(1 + k)[i].as_buffer(), dtype="<u4"))
-        sizes = Filters(buckets, []).sizes if held else (0, 0)
-        for bucket, (hashes, several) in held.items():
-            low, count = np.unique(np.concatenate(hashes), return_counts=True)
-            shared = np.union1d(low[count > 1], np.concatenate(several))
-            if len(shared):
-                yield pa.RecordBatch.from_arrays([pa.array([bucket], pa.int64()), pa.array([_slice(shared, sizes[0])], pa.binary()), pa.array([_slice(low[count >= HOT], sizes[1])], pa.binary())], names=["bucket", "shared", "hot"])
+            if len(anchors.hash):
+                yield listed(anchors.hash, ids[anchors.row], buckets)
 
-    return texts.mapInArrow(listed, "bucket long, hashes binary, several binary").repartition("bucket").mapInArrow(filtered, "bucket long, shared binary, hot binary")
+    return slices(texts.mapInArrow(run, LISTED), buckets, HOT)
 
 
 _FILTERS: dict[str, Filters] = {}
@@ -229,15 +161,15 @@ def _stretches(texts: DataFrame, buckets: int, shared, key: str) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         if key not in _FILTERS:
             _FILTERS.clear()
-            _FILTERS[key] = Filters(buckets, shared.value)
+            _FILTERS[key] = Filters(buckets, HOT, shared.value)
         filters = _FILTERS[key]
         number = 0
-        for ids, checks, offsets, pieces in _all_pieces(batches):
+        for ids, checks, offsets, pieces in _chunks(batches):
             number += 1
             anchors = Anchors(pieces)
             if not len(anchors.hash):
                 continue
-            bucket, low = _bucket(anchors.hash, buckets), (anchors.hash & np.uint64(0xFFFFFFFF)).astype(np.int64)
+            bucket, low = bucket_of(anchors.hash, buckets), low_bits(anchors.hash)
             kept = np.flatnonzero(filters.has(0, bucket, low))
             if not len(kept):
                 continue
@@ -259,7 +191,7 @@ def _stretches(texts: DataFrame, buckets: int, shared, key: str) -> DataFrame:
                     h[mine] ^= h[mine] >> np.uint64(29)
                 order = np.lexsort((first, row))
                 first, last, row, h = first[order], last[order], row[order], h[order]
-                bucket, low = _bucket(h * _P, buckets), (h & np.uint64(0xFFFFFFFF)).astype(np.int64)
+                bucket, low = bucket_of(h * _P, buckets), low_bits(h)
             size = last - first + LENGTH
             doc = ids[row]
             # equal stretches of the chunk: only the smallest document's travel
@@ -367,11 +299,10 @@ def repeated_ranges(df: DataFrame, id_column: str, text_column: str) -> DataFram
     """(doc, check, start, stop): byte ranges to remove; a document is its id and the crc32 of its text. Ranges may overlap."""
     spark: SparkSession = df.sparkSession
     ship(spark)
-    buckets = max(64, 4 * int(spark.conf.get("spark.sql.shuffle.partitions")))
+    buckets = bucket_count(spark)
     text = F.col(text_column).cast("string")
     texts = df.select(F.col(id_column).cast("long").alias("doc"), F.crc32(text.cast("binary")).alias("check"), text.alias("text")).filter(F.col("doc").isNotNull() & (F.octet_length("text") >= LENGTH))
-    slices = _shared_hashes(texts, buckets).collect()
-    shared = spark.sparkContext.broadcast([r.asDict() for r in slices])
+    shared = spark.sparkContext.broadcast(_shared_hashes(texts, buckets))
     return _removed(_stretches(texts, buckets, shared, uuid.uuid4().hex))
 
 
@@ -380,7 +311,7 @@ def remove_repeats(df: DataFrame, id_column: str, text_column: str, with_kept: b
     ranges = repeated_ranges(df, id_column, text_column).groupBy("doc", "check").agg(F.collect_list(F.struct("start", "stop")).alias("ranges"))
     text = F.coalesce(F.col(text_column).cast("string"), F.lit("")).cast("binary")
     rows = df.select(F.col(id_column).alias("id"), text.alias("text")).withColumns({"doc": F.col("id").cast("long"), "check": F.crc32("text")})
-    found = rows.join(ranges, ["doc", "check"], "left").select("id", "text", F.col("ranges.start").alias("starts"), F.col("ranges.stop").alias("stops"))
+    found = rows.join(ranges.hint("shuffle_hash"), ["doc", "check"], "left").select("id", "text", F.col("ranges.start").alias("starts"), F.col("ranges.stop").alias("stops"))
     names = ["id", "n_bytes", "n_removed", "n_spans", "kept_sha256"] + ["kept"] * with_kept
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -23,10 +23,12 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tablesift.llm.common import chunks, crc_mod, ship, table
+from tablesift.llm.common import chunks, crc_mod, fresh, ship, table
 from tablesift.llm.decontaminate import WORD_BYTES
 
 BITS = 20
+#: Bytes of text whose features are held at a time.
+CHUNK = 1 << 20
 MOST_POSITIVE = 5000
 MOST_NEGATIVE = 10000
 #: FTRL: alpha, beta, L1, L2 and passes over the sample.
@@ -123,7 +125,7 @@ def train(df: DataFrame, labels: DataFrame, id_column: str, text_column: str, la
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for start, texts in chunks(batch, "text"):
+            for start, texts in chunks(batch, "text", CHUNK):
                 row, slot = features(texts)
                 keys = np.unique(row << BITS | slot)
                 ends = np.searchsorted(keys >> BITS, np.arange(len(texts)), side="right")
@@ -156,6 +158,7 @@ def score(df: DataFrame, text_column: str, weights: tuple[np.ndarray, np.ndarray
     at, values, intercept = weights
     shared, key = df.sparkSession.sparkContext.broadcast((at, values.astype(np.float32))), uuid.uuid4().hex
     columns = df.columns
+    whole = fresh([*columns, name], "whole_text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         if key not in _DENSE:
@@ -164,7 +167,7 @@ def score(df: DataFrame, text_column: str, weights: tuple[np.ndarray, np.ndarray
             _DENSE[key][shared.value[0]] = shared.value[1]
         dense = _DENSE[key]
         for batch in batches:
-            for start, texts in chunks(batch, "__text"):
+            for start, texts in chunks(batch, whole, CHUNK):
                 row, slot = features(texts)
                 w = dense[slot]
                 live = np.flatnonzero(w)
@@ -174,7 +177,7 @@ def score(df: DataFrame, text_column: str, weights: tuple[np.ndarray, np.ndarray
                 yield pa.RecordBatch.from_arrays([batch.column(i).slice(start, len(texts)) for i in range(len(columns))] + [pa.array(p, pa.float64())], names=[*columns, name])
 
     schema = ", ".join(f"`{c}` {df.schema[c].dataType.simpleString()}" for c in columns) + f", `{name}` double"
-    return df.select("*", F.col(text_column).cast("string").alias("__text")).mapInArrow(run, schema)
+    return df.select("*", F.col(text_column).cast("string").alias(whole)).mapInArrow(run, schema)
 
 
 def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
