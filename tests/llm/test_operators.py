@@ -13,7 +13,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from tablesift.llm import bpe, catalog, decontaminate, fm_index, jaccard_join, line_dedup, lm_score, packing, suffix_dedup, token_counts, topk, toxicity, two_stage, url_filter
+from tablesift.llm import bpe, catalog, components, decontaminate, fm_index, jaccard_join, line_dedup, lm_score, packing, suffix_dedup, token_counts, topk, toxicity, two_stage, url_filter
 from tests.compare import duck, duck_rows, spark_rows
 from tests.llm.conftest import DOCUMENTS, odd_rows, words
 
@@ -238,6 +238,15 @@ def test_components_of_many_edits(spark, monkeypatch):
     assert 4 < len({e[2] for e in expected}) < len(rows)
 
 
+@pytest.mark.parametrize("small", [0, 10**6])
+def test_components_of_paths_stars_and_cycles(spark, monkeypatch, small):
+    monkeypatch.setattr(components, "SMALL", small)
+    edges = [(i, i + 1) for i in range(100, 140)] + [(0, i) for i in range(1, 60)] + [(200, 201), (201, 202), (202, 200), (300, 300), (59, 400)]
+    found = {r.node: r.root for r in components.components(spark.createDataFrame(edges, "a long, b long")).collect()}
+    assert found == {**{i: 100 for i in range(100, 141)}, **{i: 0 for i in range(60)}, 400: 0, 200: 200, 201: 200, 202: 200}
+    assert components.components(spark.createDataFrame([], "a long, b long")).count() == 0
+
+
 def test_one_of_each_keeps_clean_rows(odd):
     kept = jaccard_join.one_of_each(odd, "doc_id", "text")
     assert kept.columns == odd.columns
