@@ -181,3 +181,13 @@ def test_drops_give_the_batch_result(spark, tmp_path):
     got = sorted(tuple(r) for r in incremental.gated(spark, str(tmp_path / "out")).select("table_id", "status", "overall").collect())
     assert got == sorted(tuple(r) for r in small_gate(whole).collect())
     assert len(list((tmp_path / "out").glob("batch=*"))) == 2
+
+
+def test_command_line(tmp_path, capsys):
+    from tablesift.cli import main
+
+    (tmp_path / "a.yaml").write_text(yaml.safe_dump(SCHEMA))
+    assert main(["schemas", str(tmp_path)]) == 0 and capsys.readouterr().out == "f1\n"
+    (tmp_path / "a.yaml").write_text(yaml.safe_dump(SCHEMA | {"panels": []}))
+    assert main(["schemas", str(tmp_path)]) == 1
+    assert main(["list"]) == 0 and "gate_status" in capsys.readouterr().out
