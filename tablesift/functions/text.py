@@ -42,13 +42,24 @@ def quoted(c: Column) -> Column:
     return F.when(double, F.concat(F.lit('"'), escaped, F.lit('"'))).otherwise(F.concat(F.lit("'"), F.replace(escaped, F.lit("'"), F.lit("\\'")), F.lit("'")))
 
 
+def _is_whole(number: Column, kind: Column) -> Column:
+    return (kind == "integer") & number.rlike(r"\A[+-]?[0-9]+\z")
+
+
+def parse_failed(value: Column, number: Column, data_type: Column) -> Column:
+    """Whether typed_parts has a parse_error, without its text."""
+    kind = F.lower(data_type)
+    bad_integer = (kind == "integer") & F.coalesce(~_is_whole(number, kind) | number.try_cast("long").isNull(), F.lit(True))
+    return value.isNotNull() & (bad_integer | ((kind == "float") & number.try_cast("double").isNull()))
+
+
 def typed_parts(value: Column, number: Column, data_type: Column, variable: Column) -> dict[str, Column]:
     """int_value, dbl_value, str_value and parse_error from the null-marked text and its cleaned number.
 
     An integer outside 64 bits keeps its text in str_value and gives the error RANGE.
     """
     kind = F.lower(data_type)
-    whole = (kind == "integer") & number.rlike(r"\A[+-]?[0-9]+\z")
+    whole = _is_whole(number, kind)
     as_int, as_double = number.try_cast("long"), number.try_cast("double")
     problem = (
         F.when((kind == "integer") & ~whole, F.concat(F.lit(": expected integer for "), quoted(value)))
@@ -69,8 +80,11 @@ def typed(raw: Column, data_type: Column, variable: Column) -> Column:
     return F.struct(*[c.alias(n) for n, c in typed_parts(value, clean_number(value), data_type, variable).items()])
 
 
-def review_flag(raw: Column, data_type: Column, variable: Column, error: Column, value: Column | None = None) -> Column:
-    """Why a reader should look at a cell; the raw text decides, not the cleaned one. value: its null-marked text, if at hand."""
+def review_flag(raw: Column, data_type: Column, variable: Column, failed: Column, value: Column | None = None) -> Column:
+    """Why a reader should look at a cell; the raw text decides, not the cleaned one.
+
+    failed: whether the cell has a parse error; value: its null-marked text, if at hand.
+    """
     value = null_mark(raw) if value is None else value
     codes = value.rlike(rf"(?i)\A{CODE}(?:/{CODE})*\z")
     numeric = F.nullif(
@@ -84,7 +98,7 @@ def review_flag(raw: Column, data_type: Column, variable: Column, error: Column,
     )
     night = variable == NIGHT_SOIL
     return (
-        F.when(error.isNotNull(), "AMBIGUOUS_OCR")
+        F.when(failed, "AMBIGUOUS_OCR")
         .when(night & value.isNull(), None)
         .when(night & ~codes, "AMBIGUOUS_HISTORIC_CODE")
         .when(~F.lower(data_type).isin(*INTEGER_TYPES) | value.isNull(), None)

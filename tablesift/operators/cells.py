@@ -27,7 +27,7 @@ def typed_cells(cells: DataFrame) -> DataFrame:
     marked = cells.withColumn("__value", T.null_mark(F.col("raw_value"))).withColumn("__number", T.clean_number(F.col("__value")))
     kind, variable = F.col("data_type"), F.col("variable")
     parsed = marked.withColumns(T.typed_parts(F.col("__value"), F.col("__number"), kind, variable))
-    flag = T.review_flag(F.col("raw_value"), kind, variable, F.col("parse_error"), F.col("__value"))
+    flag = T.review_flag(F.col("raw_value"), kind, variable, T.parse_failed(F.col("__value"), F.col("__number"), kind), F.col("__value"))
     return parsed.withColumn("flag", flag).drop("__value", "__number")
 
 

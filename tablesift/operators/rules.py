@@ -33,8 +33,8 @@ def type_parse(typed: DataFrame) -> DataFrame:
 
 
 def ambiguous(typed: DataFrame) -> DataFrame:
-    """Flags of cells that did parse."""
-    flagged = typed.filter(F.col("parse_error").isNull() & F.col("flag").isNotNull())
+    """Flags of cells that did parse; those that did not have a flag of their own."""
+    flagged = typed.filter(F.col("flag") != "AMBIGUOUS_OCR")
     message = F.concat(F.col("variable"), F.lit(": "), F.col("flag"), F.lit(" for "), T.quoted(F.col("raw_value")))
     return _findings(flagged, "ambiguous_ocr", message, F.col("row_index"), F.col("variable"))
 
@@ -129,8 +129,64 @@ def union(parts: Sequence[DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, [p.select(*COLUMNS) for p in parts])
 
 
+def _found(code: str, message: Column, variable: Column, when: Column) -> Column:
+    return F.when(when, F.struct(F.lit(code).alias("code"), message.alias("message"), variable.cast("string").alias("variable")))
+
+
+def _exploded(df: DataFrame, found: Column) -> DataFrame:
+    """Rows with an array of findings, some NULL, as findings."""
+    each = df.select("table_id", F.col("row_index").cast("long").alias("row_index"), F.explode(F.filter(found, lambda f: f.isNotNull())).alias("f"))
+    return each.select("table_id", "f.code", F.lit("ERROR").alias("severity"), "f.message", "row_index", "f.variable")
+
+
+def cell_findings(typed: DataFrame) -> DataFrame:
+    """type_parse, ambiguous and negative in one pass over the cells."""
+    value = F.coalesce(F.col("int_value").cast("double"), F.col("dbl_value"))
+    number = F.coalesce(F.col("int_value").cast("string"), F.col("dbl_value").cast("string"))
+    variable = F.col("variable")
+    found = F.array(
+        _found("type_parse", F.col("parse_error"), variable, F.col("parse_error").isNotNull()),
+        _found("ambiguous_ocr", F.concat(variable, F.lit(": "), F.col("flag"), F.lit(" for "), T.quoted(F.col("raw_value"))), variable, F.col("flag") != "AMBIGUOUS_OCR"),
+        _found("nonnegative", F.concat(F.lit("Negative count/value "), number), variable, (value < 0) & (variable != SERIAL)),
+    )
+    return _exploded(typed, found)
+
+
+def row_findings(rows: DataFrame, identity: str = IDENTITY) -> DataFrame:
+    """serial_progression, identity_missing and duplicate_identity in one pass over the rows."""
+    name = F.trim(F.coalesce("identity", F.lit("")))
+    number = F.when(F.col("serial").rlike(r"\A[0-9]+\z") & (F.col("serial") != "0"), F.col("serial").try_cast("long"))
+    before = Window.partitionBy("table_id").orderBy("row_index").rowsBetween(Window.unboundedPreceding, -1)
+    same = Window.partitionBy("table_id", "key").orderBy("row_index").rowsBetween(Window.unboundedPreceding, -1)
+    placed = rows.withColumn("number", number).withColumn("key", T.identity_key(name)).withColumn("blank", name == "")
+    placed = placed.withColumn("previous", F.coalesce(F.last("number", ignorenulls=True).over(before), F.lit(0))).withColumn("seen", F.count_if(~F.col("blank")).over(same))
+    found = F.array(
+        _found("serial_progression", F.concat(F.lit("Serial "), F.col("number"), F.lit(" follows "), F.col("previous")), F.lit(SERIAL), F.col("number") <= F.col("previous")),
+        _found("identity_missing", F.lit("Row identity is blank"), F.lit(identity), F.col("blank")),
+        _found("duplicate_identity", F.concat(F.lit("Duplicate identity "), T.quoted(name)), F.lit(identity), ~F.col("blank") & (F.col("seen") > 0) & (F.col("row_type") == "ORDINARY")),
+    )
+    return _exploded(placed, found)
+
+
+def record_findings(valued: DataFrame, identity: str = IDENTITY) -> DataFrame:
+    """cross_reference_purity and ocr_completeness from one aggregate of each record's data cells."""
+    data = valued.filter(~F.col("variable").isin(SERIAL, identity))
+    reference = F.col("row_type") == "CROSS_REFERENCE"
+    named = F.struct("column_no", "variable")
+    grouped = data.groupBy(*KEY, "row_type").agg(
+        F.sort_array(F.collect_list(F.when(reference & F.col("value").isNotNull(), named))).alias("impure"),
+        F.bool_or(F.trim("raw_value") != "").alias("any"),
+        F.collect_set("variable").alias("variables"),
+    )
+    names = F.concat(F.lit("Cross-reference has data in ['"), F.array_join(F.col("impure.variable"), "', '"), F.lit("']"))
+    impure = F.array(_found("cross_reference_purity", names, F.lit(None), reference & (F.size("impure") > 0)))
+    empty = F.transform("variables", lambda v: _found("ocr_completeness", F.lit("Row has no transcribed data cells"), v, ~reference & ~F.col("any")))
+    return _exploded(grouped, F.concat(impure, empty))
+
+
 def all_findings(typed: DataFrame, rows: DataFrame, valued: DataFrame, with_totals: bool = False) -> DataFrame:
-    parts = [type_parse(typed), ambiguous(typed), negative(typed), serial_progression(rows), identity_missing(rows), duplicate_identity(rows), reference_purity(valued), row_completeness(valued), column_completeness(valued)]
+    """Every rule, in one pass for each grain: cells, rows, records, columns."""
+    parts = [cell_findings(typed), row_findings(rows), record_findings(valued), column_completeness(valued)]
     if with_totals:
         parts += [total_presence(rows), total_sum(valued, rows)]
     return union(parts)
