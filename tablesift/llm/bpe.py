@@ -16,13 +16,13 @@ from collections.abc import Iterable
 
 import regex
 
+from tablesift.llm.common import held
+
 os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
 
 #: Fixed value: the pre-token pattern of byte-level BPE files with use_regex.
 PRE_TOKEN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 
-_LOADED: dict[str, "BpeTokenizer"] = {}
-
 
 def _byte_letters() -> dict[str, int]:
     """The letter that stands for each byte in a vocabulary file: itself if printable, else the next one from 256."""
@@ -106,6 +106,4 @@ class BpeTokenizer:
 
 def loaded(path: str) -> BpeTokenizer:
     """One tokenizer for each worker process and file."""
-    if path not in _LOADED:
-        _LOADED[path] = BpeTokenizer(path)
-    return _LOADED[path]
+    return held("bpe", f"tokenizer/{path}", lambda: BpeTokenizer(path))

@@ -5,7 +5,8 @@ from __future__ import annotations
 import atexit
 import tempfile
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from typing import TypeVar
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -13,7 +14,9 @@ from pyspark.sql import functions as F
 
 from tablesift.session import ship, table
 
-__all__ = ["ship", "table", "shared_folder", "staged", "chunks", "fresh", "crc_mod", "words_sql"]
+__all__ = ["ship", "table", "shared_folder", "staged", "chunks", "fresh", "held", "held_latest", "crc_mod", "words_sql"]
+
+T = TypeVar("T")
 
 _MADE: list[tuple[SparkSession, str]] = []
 
@@ -66,6 +69,28 @@ def chunks(batch: pa.RecordBatch, column: str, most: int = 8 << 20) -> Iterator[
         yield start, values.slice(start, rows).to_pylist()
 
 
+_HELD: dict[str, object] = {}
+
+
+def held(owner: str, key: str, make: Callable[[], T]) -> T:
+    """What a Python worker keeps between tasks for one operator. Another operator's things go first, since workers are reused."""
+    if _HELD.get("owner") != owner:
+        _HELD.clear()
+        _HELD["owner"] = owner
+    if key not in _HELD:
+        _HELD[key] = make()
+    return _HELD[key]
+
+
+def held_latest(owner: str, key: str, make: Callable[[], T]) -> T:
+    """As held, but a new key replaces the owner's older ones of the same name; key: name/version."""
+    if _HELD.get("owner") == owner and key not in _HELD:
+        name = key.partition("/")[0]
+        for old in [k for k in _HELD if k.partition("/")[0] == name]:
+            del _HELD[old]
+    return held(owner, key, make)
+
+
 def fresh(columns: list[str], name: str) -> str:
     """The name, lengthened until no column has it."""
     taken = {c.lower() for c in columns}

@@ -2,19 +2,27 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tablesift.llm.common import staged
 
+#: A graph of no more edges (8 MB) is solved by one task.
+SMALL = 500_000
+
 
 def components(edges: DataFrame) -> DataFrame:
     """(node, root): each node of an edge (a, b) and the smallest node that it reaches.
 
     Minima are taken by aggregates with map-side combine and joined back, so that a hub's edges never meet in one
-    task as a group; each round is written to the shared folder.
+    task as a group; each round is written to the shared folder. A graph of at most SMALL edges needs no rounds.
     """
     now = staged(_oriented(edges.select("a", "b")), "edges")
+    if now.count() <= SMALL:
+        return staged(now.coalesce(1).mapInArrow(_solved, "node long, root long"), "roots")
     state = None
     while True:
         both = now.unionByName(now.select(F.col("b").alias("a"), F.col("a").alias("b")))
@@ -32,6 +40,25 @@ def components(edges: DataFrame) -> DataFrame:
     return now.select(F.col("a").alias("node"), F.col("b").alias("root")).unionByName(now.select(F.col("b").alias("node"), F.col("b").alias("root"))).distinct()
 
 
+def _solved(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    parent: dict[int, int] = {}
+
+    def root(x: int) -> int:
+        while parent[x] != x:
+            parent[x] = parent[parent[x]]
+            x = parent[x]
+        return x
+
+    for batch in batches:
+        for a, b in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+            parent.setdefault(a, a)
+            parent.setdefault(b, b)
+            x, y = root(a), root(b)
+            parent[max(x, y)] = min(x, y)
+    nodes = list(parent)
+    yield pa.RecordBatch.from_arrays([pa.array(nodes, pa.int64()), pa.array([root(n) for n in nodes], pa.int64())], names=["node", "root"])
+
+
 def _oriented(edges: DataFrame) -> DataFrame:
     """Distinct edges from the greater to the smaller node."""
     return edges.filter("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()

@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tablesift.llm.common import chunks, fresh, ship, table
+from tablesift.llm.common import chunks, fresh, held_latest, ship, table
 from tablesift.llm.fm_index import FMIndex
 
 WINDOW = 10
@@ -104,16 +104,9 @@ class Phrases:
         return place[index.locate(rows)], self.lengths[phrase], phrase
 
 
-_BLOCKS: dict[str, Phrases] = {}
-
-
 def _phrases(key: str, block: int, shared, window: int) -> Phrases:
     """The phrases of one block; a worker keeps the latest only."""
-    name = f"{key}/{block}"
-    if name not in _BLOCKS:
-        _BLOCKS.clear()
-        _BLOCKS[name] = Phrases(shared.value, window)
-    return _BLOCKS[name]
+    return held_latest("decontaminate", f"block/{key}/{block}", lambda: Phrases(shared.value, window))
 
 
 def _benchmark_blocks(benchmark: DataFrame, id_column: str, text_column: str) -> list:

@@ -30,7 +30,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tablesift.llm.common import chunks, fresh, ship, staged, table
+from tablesift.llm.common import chunks, fresh, held, held_latest, ship, staged, table
 from tablesift.llm.components import components
 from tablesift.llm.shared_hashes import LISTED, Filters, bucket_count, bucket_of, listed, low_bits, slices
 
@@ -45,8 +45,7 @@ CHUNK = 4 << 20
 
 LOWER = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
 _P, _Q = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
-_WORD_CACHE: dict[bytes, int] = {}
-_MOST_WORDS = 400_000
+_MOST_WORDS = 200_000
 
 
 def least_overlap(n: np.ndarray, m: np.ndarray) -> np.ndarray:
@@ -57,12 +56,13 @@ def least_overlap(n: np.ndarray, m: np.ndarray) -> np.ndarray:
 def shingles(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
     """(row, hash) of the distinct shingles of each text, by row and hash."""
     split = [t.encode().translate(LOWER).split() if t else [] for t in texts]
-    if len(_WORD_CACHE) > _MOST_WORDS:
-        _WORD_CACHE.clear()
+    known: dict[bytes, int] = held("jaccard", "words", dict)
+    if len(known) > _MOST_WORDS:
+        known.clear()
     words = [w for s in split for w in s]
-    for w in set(words).difference(_WORD_CACHE):
-        _WORD_CACHE[w] = xxhash.xxh64_intdigest(w)
-    h = np.fromiter(map(_WORD_CACHE.__getitem__, words), dtype=np.uint64, count=len(words))
+    for w in set(words).difference(known):
+        known[w] = xxhash.xxh64_intdigest(w)
+    h = np.fromiter(map(known.__getitem__, words), dtype=np.uint64, count=len(words))
     sizes = np.array([len(s) for s in split], dtype=np.int64)
     row = np.repeat(np.arange(len(texts)), sizes)
     n = max(0, len(h) - WORDS + 1)
@@ -85,9 +85,6 @@ def shingles(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
     return row, h
 
 
-_FILTERS: dict[str, Filters] = {}
-
-
 def _sets(texts: DataFrame, kind: str) -> DataFrame:
     """(id, n_shingles, cls, shared, prefix) of every row; the last three are null for rows that can't have a link.
 
@@ -107,10 +104,7 @@ def _sets(texts: DataFrame, kind: str) -> DataFrame:
     shared_filters, key = spark.sparkContext.broadcast(found), uuid.uuid4().hex
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        if key not in _FILTERS:
-            _FILTERS.clear()
-            _FILTERS[key] = Filters(buckets, HOT, shared_filters.value)
-        filters = _FILTERS[key]
+        filters = held_latest("jaccard", f"filters/{key}", lambda: Filters(buckets, HOT, shared_filters.value))
         for batch in batches:
             for start, part in chunks(batch, "text", CHUNK):
                 row, h = shingles(part)

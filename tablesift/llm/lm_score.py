@@ -33,7 +33,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tablesift.llm.common import chunks, crc_mod, ship, staged, table
+from tablesift.llm.common import chunks, crc_mod, held_latest, ship, staged, table
 
 #: Coded words; other words are spelled.
 ALPHABET = 1 << 17
@@ -209,18 +209,6 @@ class Speller:
         return np.diff(np.concatenate([[0.0], np.cumsum(-np.log2(p))])[np.concatenate([[0], ends])])
 
 
-_CODERS: dict[str, object] = {}
-
-
-def _held(key: str, make) -> object:
-    """One value for each worker process: the latest."""
-    if key not in _CODERS:
-        for old in [k for k in _CODERS if k.rpartition("/")[2] == key.rpartition("/")[2]]:
-            del _CODERS[old]
-        _CODERS[key] = make()
-    return _CODERS[key]
-
-
 def word_counts(texts: DataFrame) -> DataFrame:
     """(word, n) over the column text: words as bytes, and the empty word for ends."""
 
@@ -280,8 +268,8 @@ def _trained(texts: DataFrame, coder_shared, key: str) -> DataFrame:
     """(kind, part, width, content): each task's tables after its online pass."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        coder: Coder = _held(f"{key}/coder", lambda: coder_shared.value)
-        known: dict[bytes, int] = _held(f"{key}/coded", lambda: {w: i for i, w in enumerate(coder.words)})
+        coder: Coder = held_latest("lm", f"coder/{key}", lambda: coder_shared.value)
+        known: dict[bytes, int] = held_latest("lm", f"coded/{key}", lambda: {w: i for i, w in enumerate(coder.words)})
         tables = [np.zeros(n, dtype=np.int32) for n in _SIZES.values()]
         mixer, spelled, number = Mixer(), set(), 0
         for batch in batches:
@@ -427,10 +415,10 @@ def score_texts(df: DataFrame, id_column: str, text_column: str, folds: int = 5,
     below = math.log10(tokens + 0.5 * (distinct + 1))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own: Model = _held(f"{key}/model", lambda: model_shared.value)
-        known: dict[bytes, int] = _held(f"{key}/known", lambda: {w: i for i, w in enumerate(known_shared.value[0])})
+        own: Model = held_latest("lm", f"model/{key}", lambda: model_shared.value)
+        known: dict[bytes, int] = held_latest("lm", f"known/{key}", lambda: {w: i for i, w in enumerate(known_shared.value[0])})
         logs = known_shared.value[1]
-        spelled: dict[bytes, float] = _held(f"{key}/spelled", dict)
+        spelled: dict[bytes, float] = held_latest("lm", f"spelled/{key}", dict)
         part_id, row = TaskContext.get().partitionId(), 0
         for batch in batches:
             for start, texts in chunks(batch, "text", 2 << 20):

@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tablesift.llm.common import chunks, ship, table
+from tablesift.llm.common import chunks, held_latest, ship, table
 from tablesift.llm.shared_hashes import LISTED, Filters, bucket_count, bucket_of, listed, low_bits, slices
 from tablesift.llm.two_stage import Strings
 
@@ -143,7 +143,6 @@ def _shared_hashes(texts: DataFrame, buckets: int) -> list[dict]:
     return slices(texts.mapInArrow(run, LISTED), buckets, HOT)
 
 
-_FILTERS: dict[str, Filters] = {}
 _SPAN = [("doc", pa.int64()), ("check", pa.int64()), ("start", pa.int64()), ("stop", pa.int64())]
 _SPANS = "doc long, check long, start long, stop long"
 
@@ -159,10 +158,7 @@ def _stretches(texts: DataFrame, buckets: int, shared, key: str) -> DataFrame:
     """(bucket, kind, content): packed stretches of each chunk for a bucket, and (kind 1) ranges that are copies within the chunk."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        if key not in _FILTERS:
-            _FILTERS.clear()
-            _FILTERS[key] = Filters(buckets, HOT, shared.value)
-        filters = _FILTERS[key]
+        filters = held_latest("suffix_dedup", f"filters/{key}", lambda: Filters(buckets, HOT, shared.value))
         number = 0
         for ids, checks, offsets, pieces in _chunks(batches):
             number += 1

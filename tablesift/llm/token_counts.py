@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tablesift.llm.bpe import BpeTokenizer, loaded
-from tablesift.llm.common import chunks, ship, staged, table
+from tablesift.llm.common import chunks, held_latest, ship, staged, table
 
 FREQUENT = 1 << 17
 CACHE = 400_000
@@ -78,9 +78,6 @@ class TwoTier:
         return [sum(map(get, pieces)) for pieces in split]
 
 
-_TIERS: dict[str, TwoTier] = {}
-
-
 def count_tokens(df: DataFrame, id_column: str, text_column: str, tokenizer_path: str, limit: int = 1024, frequent: int = FREQUENT) -> DataFrame:
     """(id, n_bytes, n_tokens, over_limit) for each row."""
     spark: SparkSession = df.sparkSession
@@ -94,10 +91,7 @@ def count_tokens(df: DataFrame, id_column: str, text_column: str, tokenizer_path
     key = uuid.uuid4().hex
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tier = _TIERS.get(key)
-        if tier is None:
-            _TIERS.clear()
-            tier = _TIERS[key] = TwoTier(loaded(tokenizer_path), *shared.value)
+        tier = held_latest("bpe", f"tiers/{key}", lambda: TwoTier(loaded(tokenizer_path), *shared.value))
         for batch in batches:
             for start, part in chunks(batch, "text"):
                 tokens = tier.counts(part)

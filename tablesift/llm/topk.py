@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tablesift.llm.common import ship, table
+from tablesift.llm.common import held_latest, ship, table
 
 K = 5
 EVERY = 50
@@ -34,8 +34,6 @@ DEPTHS = (0.25, 0.5, 0.75)
 #: Components beyond this are scored with Python's integers.
 _SAFE = 1 << 25
 
-_QUERIES: dict[str, list[tuple[np.ndarray, np.ndarray]]] = {}
-
 
 class SortedLists:
     """One ascending list per dimension over the vectors of a shard."""
@@ -140,11 +138,7 @@ def top_k(df: DataFrame, id_column: str, vector_column: str, k: int = K, every:
     def scan(ids: np.ndarray, matrix: np.ndarray) -> Iterator[pa.RecordBatch]:
         lists = SortedLists(ids, matrix)
         for number, part in enumerate(shared):
-            name = f"{key}/{number}"
-            if name not in _QUERIES:
-                _QUERIES.clear()
-                _QUERIES[name] = part.value
-            for query_ids, wanted in _QUERIES[name]:
+            for query_ids, wanted in held_latest("topk", f"block/{key}/{number}", lambda part=part: part.value):
                 if wanted.shape[1] != matrix.shape[1] or not len(query_ids):
                     continue
                 found = list(lists.best(query_ids, wanted, k))

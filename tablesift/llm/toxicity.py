@@ -23,14 +23,14 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tablesift.llm.common import chunks, crc_mod, fresh, ship, table
+from tablesift.llm.common import chunks, crc_mod, fresh, held, held_latest, ship, table
 from tablesift.llm.decontaminate import WORD_BYTES
 
 BITS = 20
 #: Bytes of text whose features are held at a time.
 CHUNK = 1 << 20
-MOST_POSITIVE = 5000
-MOST_NEGATIVE = 10000
+MOST_POSITIVE = 4000
+MOST_NEGATIVE = 8000
 #: FTRL: alpha, beta, L1, L2 and passes over the sample.
 ALPHA, BETA, L1, L2, EPOCHS = 0.5, 1.0, 5.0, 0.1, 4
 REJECT = 0.7
@@ -38,19 +38,19 @@ REJECT = 0.7
 #: Bytes of the word stems that count beside the whole word, so that unseen endings of a known stem still tell.
 STEMS = (4, 5, 6)
 
-_WORD_CACHE: dict[bytes, bytes] = {}
-_MOST_WORDS = 400_000
+_MOST_WORDS = 200_000
 _PAIR, _SKIP = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
 
 
 def _hashes(words: list[bytes]) -> np.ndarray:
     """A row for each word: the hash of the word and of its stems (0 where the word is no longer than the stem)."""
-    if len(_WORD_CACHE) > _MOST_WORDS:
-        _WORD_CACHE.clear()
-    for w in set(words).difference(_WORD_CACHE):
+    known: dict[bytes, bytes] = held("toxicity", "words", dict)
+    if len(known) > _MOST_WORDS:
+        known.clear()
+    for w in set(words).difference(known):
         own = [xxhash.xxh64_intdigest(w)] + [xxhash.xxh64_intdigest(w[:n] + b"*") if len(w) > n else 0 for n in STEMS]
-        _WORD_CACHE[w] = np.array(own, dtype=np.uint64).tobytes()
-    return np.frombuffer(b"".join(map(_WORD_CACHE.__getitem__, words)), dtype=np.uint64).reshape(-1, 1 + len(STEMS))
+        known[w] = np.array(own, dtype=np.uint64).tobytes()
+    return np.frombuffer(b"".join(map(known.__getitem__, words)), dtype=np.uint64).reshape(-1, 1 + len(STEMS))
 
 
 def _slots(h: np.ndarray) -> np.ndarray:
@@ -134,12 +134,13 @@ def train(df: DataFrame, labels: DataFrame, id_column: str, text_column: str, la
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(start, len(texts)), batch.column(1).slice(start, len(texts)), pa.array(own, pa.binary())], names=["h", "label", "slots"])
 
     found = sample.select("h", "label", "text").mapInArrow(run, "h long, label int, slots binary").toArrow().sort_by([("h", "ascending"), ("slots", "ascending")])
-    y, slots = found.column("label").to_pylist(), found.column("slots").to_pylist()
+    y, slots = found.column("label").to_pylist(), found.column("slots").combine_chunks()
+    del found
     model = FTRL(1 << BITS)
     rng = np.random.default_rng(10)
     for _ in range(EPOCHS):
         for i in rng.permutation(len(y)).tolist():
-            model.learn(np.frombuffer(slots[i], dtype="<u4").astype(np.int64), y[i])
+            model.learn(np.frombuffer(slots[i].as_buffer(), dtype="<u4").astype(np.int64), y[i])
     if not 0 < sum(y) < len(y):
         return *none, 40.0 if sum(y) else -40.0
     w = model.weights(slice(0, -1))
@@ -148,9 +149,6 @@ def train(df: DataFrame, labels: DataFrame, id_column: str, text_column: str, la
     return at, w[at], model.intercept() + shift
 
 
-_DENSE: dict[str, np.ndarray] = {}
-
-
 def score(df: DataFrame, text_column: str, weights: tuple[np.ndarray, np.ndarray, float], name: str = "score") -> DataFrame:
     """The frame with the probability of label 1 as a further column; an own column of that name is replaced."""
     ship(df.sparkSession)
@@ -161,11 +159,12 @@ def score(df: DataFrame, text_column: str, weights: tuple[np.ndarray, np.ndarray
     whole = fresh([*columns, name], "whole_text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        if key not in _DENSE:
-            _DENSE.clear()
-            _DENSE[key] = np.zeros(1 << BITS, dtype=np.float32)
-            _DENSE[key][shared.value[0]] = shared.value[1]
-        dense = _DENSE[key]
+        def laid_out() -> np.ndarray:
+            table = np.zeros(1 << BITS, dtype=np.float32)
+            table[shared.value[0]] = shared.value[1]
+            return table
+
+        dense = held_latest("toxicity", f"dense/{key}", laid_out)
         for batch in batches:
             for start, texts in chunks(batch, whole, CHUNK):
                 row, slot = features(texts)

@@ -26,7 +26,7 @@ from pyspark import SparkFiles
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tablesift.llm.common import ship, table
+from tablesift.llm.common import held_latest, ship, table
 
 #: The contract's rules as (host, path, verdict).
 RULES = (
@@ -36,8 +36,6 @@ RULES = (
     ("org", "/fr/", "allow"),
 )
 
-_OPEN: dict[str, "DigestIndex"] = {}
-
 
 def build_index(rules: Sequence[tuple[str, str, str]]) -> dict[str, bytes]:
     """The index files by name: keys (sorted uint64), offsets into strings, host lengths, verdicts, path lengths in use."""
@@ -114,11 +112,7 @@ class DigestIndex:
 
 
 def _opened(names: dict[str, str]) -> DigestIndex:
-    key = names["keys"]
-    if key not in _OPEN:
-        _OPEN.clear()
-        _OPEN[key] = DigestIndex({k: SparkFiles.get(v) for k, v in names.items()})
-    return _OPEN[key]
+    return held_latest("urls", f"index/{names['keys']}", lambda: DigestIndex({k: SparkFiles.get(v) for k, v in names.items()}))
 
 
 def filter_urls(df: DataFrame, id_column: str, url_column: str, rules: Sequence[tuple[str, str, str]] = RULES, default: str = "allow") -> DataFrame:
