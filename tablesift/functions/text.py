@@ -188,3 +188,9 @@ def sequence_quality(score: Column) -> Column:
     """Quality of an accepted panel, from 0.95 to 1."""
     share = F.least(F.greatest((score - 0.62) / 0.38, F.lit(0.0)), F.lit(1.0))
     return F.round(0.95 + share * 0.05, 4)
+
+
+def required_int(c: Column, name: str) -> Column:
+    """As optional_int, but an empty cell is an error that stops the job."""
+    value = optional_int(c)
+    return F.when(value.isNull(), F.raise_error(F.lit(f"{name} is required"))).otherwise(value)

@@ -75,3 +75,29 @@ def exit_code(manifest: DataFrame) -> DataFrame:
     """1 if any record failed, else 2 if any is quarantined, else 0."""
     failed, held = F.coalesce(F.bool_or(F.col("status") == "ERROR"), F.lit(False)), F.coalesce(F.bool_or(F.col("status") == "QUARANTINED"), F.lit(False))
     return manifest.agg(F.when(failed, 1).when(held, 2).otherwise(0).alias("exit_code"))
+
+
+def dry_run_score(panels: DataFrame) -> DataFrame:
+    """(table_id, score): the least panel quality, which is all that a dry run knows."""
+    return panels.groupBy("table_id").agg(F.min("quality").alias("score"))
+
+
+def usage(results: DataFrame) -> DataFrame:
+    """Requests, cache hits and misses, and tokens of each table; counters that are absent count 0."""
+    tokens = [F.sum(F.coalesce(F.col(c), F.lit(0))).alias(c) for c in ("prompt_tokens", "completion_tokens", "total_tokens")]
+    return results.groupBy("table_id").agg(F.count("*").alias("requests"), F.count_if("cache_hit").alias("hits"), F.count_if(~F.col("cache_hit")).alias("misses"), *tokens)
+
+
+def with_errors(manifest: DataFrame, errors: DataFrame) -> DataFrame:
+    """A run's records with the documents that failed, whatever failed, as ERROR records; errors: pdf_id, error."""
+    first = errors.groupBy("pdf_id").agg(F.min("error").alias("error"))
+    kept = manifest.join(first.select("pdf_id"), "pdf_id", "left_anti")
+    failed = first.select(*[F.lit("ERROR").alias(c) if c == "status" else F.col(c) if c in ("pdf_id", "error") else F.lit(None).cast(manifest.schema[c].dataType).alias(c) for c in manifest.columns])
+    return kept.unionByName(failed)
+
+
+def retried(cells: DataFrame, second: DataFrame) -> DataFrame:
+    """Cells with a second reading that has text in place of the first; second: table_id, row_index, variable, raw_value."""
+    again = second.filter(F.trim(F.coalesce("raw_value", F.lit(""))) != "").groupBy("table_id", "row_index", "variable").agg(F.max("raw_value").alias("again"))
+    joined = cells.join(again, ["table_id", "row_index", "variable"], "left")
+    return joined.withColumn("raw_value", F.coalesce("again", "raw_value")).drop("again").select(*cells.columns)

@@ -244,3 +244,63 @@ def j_complete_or_project(spark, sf_dir):
     matches = G.positional(left, sql(spark, sf_dir, _RIGHT), ["table_id"], 0.15).select("table_id", "row_index", F.col("other_y").alias("y0"), (F.col("other_y") + 1).alias("y1"))
     moved = left.select("table_id", "row_index", F.col("y").alias("y0"), (F.col("y") + 1).alias("y1"))
     return G.complete_or_projected(matches, moved, ["table_id"])
+
+
+_ANGLED = "SELECT CAST(user_id % 20 AS BIGINT) AS page, CAST(event_id % 9 AS INT) AS ord, (event_id % 9 - 4) / CAST(2 AS DOUBLE) AS angle, CAST(event_id % 50 AS BIGINT) AS y, CAST(event_id * event_id % 23 AS DOUBLE) AS ink FROM events"
+
+
+@query("g_skew", f"WITH p AS ({_ANGLED}), v AS (SELECT page, ord, angle, round(var_pop(ink), 6) AS spread FROM p GROUP BY page, ord, angle) SELECT page, angle FROM v QUALIFY row_number() OVER (PARTITION BY page ORDER BY spread DESC, ord) = 1")
+def g_skew(spark, sf_dir):
+    return G.skew(sql(spark, sf_dir, _ANGLED).withColumnRenamed("ord", "order"), ["page"])
+
+
+_EXTENTS = "SELECT event_id AS id, CAST(event_id % 500 AS INT) AS header, CASE WHEN event_id % 3 = 0 THEN CAST(event_id % 500 + 700 AS DOUBLE) END AS later, 2000 AS content, CASE WHEN event_id % 4 = 0 THEN CAST(event_id % 900 + 600 AS INT) END AS title FROM events"
+
+
+@query("g_body_extent", f"WITH e AS ({_EXTENTS}), b AS (SELECT id, header + 5 AS top, coalesce(CAST(trunc(later - CAST(0.35 AS DOUBLE) * 300) AS INTEGER), content) AS below, title FROM e) SELECT id, top, least(below, coalesce(title - 10, below)) AS bottom FROM b")
+def g_body_extent(spark, sf_dir):
+    extent = G.body_extent(F.col("header"), F.col("later"), F.col("content"), F.col("title"), F.lit(300))
+    return sql(spark, sf_dir, _EXTENTS).select("id", extent.alias("e")).select("id", "e.top", "e.bottom")
+
+
+_CROPS = "SELECT event_id AS id, CAST(event_id % 400 + 500 AS INT) AS right_edge, CAST(event_id % 100 AS INT) AS a, CAST(event_id % 100 + 60 AS INT) AS b, CAST(event_id % 300 + 200 AS INT) AS c, CAST(event_id % 300 + 900 AS INT) AS d FROM events"
+
+
+@query("g_crop_right", f"WITH e AS ({_CROPS}) SELECT id, CASE WHEN id % 5 = 0 THEN right_edge ELSE least(right_edge, c + (b - a) + 8) END AS x1 FROM e")
+def g_crop_right(spark, sf_dir):
+    spans = F.array(F.struct(F.col("a").alias("x_start"), F.col("b").alias("x_end")), F.struct(F.col("c").alias("x_start"), F.col("d").alias("x_end")))
+    spans = F.when(F.col("id") % 5 == 0, F.slice(spans, 1, 1)).otherwise(spans)
+    return sql(spark, sf_dir, _CROPS).select("id", G.crop_right(F.col("right_edge"), spans).alias("x1"))
+
+
+@query(
+    "g_cell_crop",
+    f"WITH e AS ({_CROPS}), p AS (SELECT id, a, d, greatest(8, CAST(floor((d - a) * CAST(0.08 AS DOUBLE)) AS INTEGER)) AS pad FROM e), q AS (SELECT id, greatest(0, a - pad) AS x0, least(1000, d + pad) AS x1 FROM p) SELECT id, x0, x1, (x1 - x0) * 2 AS width FROM q",
+)
+def g_cell_crop(spark, sf_dir):
+    crop = G.cell_crop(F.col("a"), F.lit(100), F.col("d"), F.lit(140), F.lit(1000), F.lit(1000))
+    return sql(spark, sf_dir, _CROPS).select("id", crop.alias("c")).select("id", "c.x0", "c.x1", "c.width")
+
+
+_NEEDED = "SELECT CAST(user_id AS BIGINT) AS table_id, 'p' || CAST(event_id % 4 AS STRING) AS panel_id, CAST(event_id % 2 + 1 AS INT) AS page, event_id AS id FROM events"
+
+
+@query(
+    "g_missing_panels",
+    f"""WITH e AS ({_NEEDED}), p AS (SELECT DISTINCT table_id, panel_id, page FROM e), c AS (SELECT DISTINCT table_id, panel_id FROM e WHERE id % 7 = 0), n AS (SELECT table_id, CASE WHEN table_id % 6 = 0 THEN 3 ELSE 2 END AS page_count FROM p GROUP BY table_id HAVING table_id % 11 <> 0),
+x AS (SELECT table_id, max(page) AS expected FROM p GROUP BY table_id) SELECT x.table_id, 'expected exactly ' || expected || ' pages; got ' || coalesce(page_count, 0) AS error FROM x LEFT JOIN n USING (table_id) WHERE page_count IS DISTINCT FROM expected
+UNION ALL SELECT table_id, 'missing printed columns of panel ' || panel_id FROM p WHERE NOT EXISTS (SELECT 1 FROM c WHERE c.table_id = p.table_id AND c.panel_id = p.panel_id)""",
+)
+def g_missing_panels(spark, sf_dir):
+    rows = sql(spark, sf_dir, _NEEDED)
+    panels = rows.select("table_id", "panel_id", "page").distinct()
+    counts = panels.select("table_id").distinct().filter("table_id % 11 <> 0").withColumn("page_count", F.when(F.col("table_id") % 6 == 0, 3).otherwise(2))
+    return G.missing_panels(panels, rows.filter("id % 7 = 0"), counts, ["table_id"])
+
+
+@query("g_widened_rows", f"WITH b AS ({SECTIONS}), r AS (SELECT page, CAST(row_number() OVER (PARTITION BY page ORDER BY start, stop) - 1 AS INTEGER) AS row_index, start AS y0, stop AS y1 FROM b) SELECT *, 100 AS x0, 900 + CAST(page AS INTEGER) AS x1 FROM r")
+def g_widened_rows(spark, sf_dir):
+    boxes = G.row_boxes(sql(spark, sf_dir, SECTIONS).withColumns({"x0": F.lit(0), "x1": F.lit(90), "top": F.lit(0), "bottom": F.lit(2000), "page_width": F.lit(2000), "page_height": F.lit(2000)}), ["page"], 0)
+    rows = boxes.select("page", "row_index", F.col("box_y0").alias("y0"), F.col("box_y1").alias("y1"))
+    bodies = rows.select("page").distinct().select("page", F.lit(100).alias("x0"), (F.col("page").cast("int") + 900).alias("x1"))
+    return G.widened_rows(rows, bodies, ["page"])

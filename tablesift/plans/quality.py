@@ -11,6 +11,7 @@ from tablesift.operators import gate as G
 from tablesift.operators import rules as R
 from tablesift.plans.bindings import CELLS, ROW_CLASSES, TYPED, VARIABLES, WIDE, sql, wide
 from tablesift.plans.registry import query
+from tablesift.sources.sinks import export_types as typed_export
 from tablesift.sources.sinks import routed
 
 NAMES = [v for v, _ in VARIABLES]
@@ -252,3 +253,42 @@ def status_counts(spark, sf_dir):
 @query("exit_code", _LATEST + " SELECT CASE WHEN bool_or(status = 'ERROR') THEN 1 WHEN bool_or(status = 'QUARANTINED') THEN 2 ELSE 0 END AS exit_code FROM l")
 def exit_code(spark, sf_dir):
     return G.exit_code(G.latest(sql(spark, sf_dir, _MANIFEST)))
+
+
+_RESULTS = "SELECT CAST(user_id % 60 AS BIGINT) AS table_id, event_id % 3 = 0 AS cache_hit, CASE WHEN event_id % 5 <> 0 THEN event_id % 90 END AS prompt_tokens, event_id % 40 AS completion_tokens, event_id % 130 AS total_tokens, (event_id % 100) / CAST(100 AS DOUBLE) AS quality, CASE WHEN event_id % 9 = 0 THEN 'HTTP 500' END AS error, event_id % 2 = 0 AS usable, CASE WHEN event_id % 4 = 0 THEN ' ' ELSE 'x' END AS raw_text FROM events"
+
+
+@query("q_usage", f"WITH r AS ({_RESULTS}) SELECT table_id, count(*) AS requests, count(*) FILTER (cache_hit) AS hits, count(*) FILTER (NOT cache_hit) AS misses, CAST(sum(coalesce(prompt_tokens, 0)) AS BIGINT) AS prompt_tokens, CAST(sum(completion_tokens) AS BIGINT) AS completion_tokens, CAST(sum(total_tokens) AS BIGINT) AS total_tokens FROM r GROUP BY table_id")
+def q_usage(spark, sf_dir):
+    return G.usage(sql(spark, sf_dir, _RESULTS))
+
+
+@query("q_ocr_success", f"WITH r AS ({_RESULTS}) SELECT table_id, count(*) FILTER (error IS NULL AND (usable OR trim(raw_text) <> '')) AS ocr_ok, count(*) AS ocr_total FROM r GROUP BY table_id")
+def q_ocr_success(spark, sf_dir):
+    return G.usable_results(sql(spark, sf_dir, _RESULTS))
+
+
+@query("q_dry_run", f"WITH r AS ({_RESULTS}) SELECT table_id, min(quality) AS score FROM r GROUP BY table_id")
+def q_dry_run(spark, sf_dir):
+    return G.dry_run_score(sql(spark, sf_dir, _RESULTS))
+
+
+_SECOND = "SELECT CAST(o_custkey % 50 AS BIGINT) AS table_id, CAST(row_number() OVER (PARTITION BY o_custkey % 50 ORDER BY o_orderkey) - 1 AS BIGINT) AS row_index, 'latrines' AS variable, CASE WHEN o_orderkey % 3 = 0 THEN ' ' ELSE CAST(o_orderkey % 77 AS STRING) END AS raw_value FROM orders"
+
+
+@query("x_retried_cells", f"WITH wide AS ({WIDE}), {CELLS}, s AS ({_SECOND}) SELECT c.table_id, c.row_index, c.column_no, c.variable, c.data_type, coalesce(nullif(CASE WHEN trim(s.raw_value) = '' THEN '' ELSE s.raw_value END, ''), c.raw_value) AS raw_value FROM cells c LEFT JOIN s USING (table_id, row_index, variable)")
+def x_retried_cells(spark, sf_dir):
+    return G.retried(_long(spark, sf_dir), sql(spark, sf_dir, _SECOND))
+
+
+@query("manifest_errors", _LATEST + " SELECT pdf_id, CASE WHEN completed_at % 4 = 0 THEN NULL ELSE completed_at END AS completed_at, CASE WHEN completed_at % 4 = 0 THEN 'ERROR' ELSE status END AS status FROM l")
+def manifest_errors(spark, sf_dir):
+    latest = G.latest(sql(spark, sf_dir, _MANIFEST))
+    errors = latest.filter("completed_at % 4 = 0").select("pdf_id", F.lit("broken").alias("error"))
+    return G.with_errors(latest, errors)
+
+
+@query("export_types", f"SELECT table_id, row_index, CAST(k AS VARCHAR) AS year_text, TRY_CAST(CAST(k % 3000 AS VARCHAR) AS BIGINT) AS year, TRY_CAST(CASE WHEN k % 2 = 0 THEN 'true' ELSE 'x' END AS BOOLEAN) AS requires_review, TRY_CAST(CASE WHEN k % 3 = 0 THEN 'n' ELSE '1.5' END AS DOUBLE) AS pucca_road_km FROM ({_SOUND}) r")
+def export_types(spark, sf_dir):
+    raw = sql(spark, sf_dir, f"SELECT table_id, row_index, k AS year_text, CAST(k % 3000 AS STRING) AS year, CASE WHEN k % 2 = 0 THEN 'true' ELSE 'x' END AS requires_review, CASE WHEN k % 3 = 0 THEN 'n' ELSE '1.5' END AS pucca_road_km FROM ({_SOUND}) r")
+    return typed_export(raw, longs=("table_id", "row_index", "year"))

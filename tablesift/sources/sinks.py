@@ -58,3 +58,30 @@ def upsert_manifest(old: DataFrame, new: DataFrame) -> DataFrame:
     """The latest record of each document in each run."""
     both = old.unionByName(new)
     return latest(both.withColumn("__key", F.struct("run_id", "pdf_id")), "__key").drop("__key")
+
+
+def export_types(df: DataFrame, doubles: Sequence[str] = ("pucca_road_km", "kutcha_road_km"), longs: Sequence[str] = ("row_index", "year", "source_page_start", "source_page_end", "anchor_printed_page", "continuation_printed_page"), booleans: Sequence[str] = ("requires_review",)) -> DataFrame:
+    """The types of an export: road lengths, counters and marks by name, everything else text."""
+    kinds = {**dict.fromkeys(doubles, "double"), **dict.fromkeys(longs, "long"), **dict.fromkeys(booleans, "boolean")}
+    return df.select(*[F.col(c).try_cast(kinds.get(c, "string")).alias(c) for c in df.columns])
+
+
+def trim_report(ranges: DataFrame) -> DataFrame:
+    """(volume, report): each volume's page ranges and warnings as JSON."""
+    warnings = F.filter(
+        F.array(
+            F.when(F.col("civic_start").isNull(), "civic title not found"),
+            F.when(F.col("civic_start").isNotNull() & F.col("medical_start").isNull(), "medical title not found"),
+            F.when(F.col("civic_start").isNotNull() & F.col("appendix_start").isNull(), "appendix not found (volume may be truncated)"),
+        ),
+        lambda w: w.isNotNull(),
+    )
+    parts = [F.when(F.col(f"{k}_start").isNotNull(), F.array(F.col(f"{k}_start"), F.col(f"{k}_end"))).alias(k) for k in ("civic", "medical", "appendix")]
+    return ranges.select("volume", F.to_json(F.struct(*parts, warnings.alias("warnings"))).alias("report"))
+
+
+def write_dashboard(rows: DataFrame, overall: DataFrame, states: DataFrame, folder: str) -> None:
+    """The archive's rows and its yearly statistics, with those of their states, as JSON lines."""
+    rows.write.mode("overwrite").json(f"{folder}/data")
+    nested = states.groupBy("year").agg(F.sort_array(F.collect_list(F.struct("state", *[c for c in states.columns if c not in ("year", "state")]))).alias("state_stats"))
+    overall.join(nested, "year", "left").write.mode("overwrite").json(f"{folder}/stats")

@@ -10,8 +10,12 @@ import yaml
 from pyspark.sql import functions as F
 
 from tablesift import prompts
+from tablesift.config import from_environment
+from tablesift.functions import text as T
 from tablesift.operators import cells as C
 from tablesift.operators import gate as G
+from tablesift.operators import geometry as M
+from tablesift.operators import rollup as U
 from tablesift.operators import rules as R
 from tablesift.sources import files, metadata, ocr, registry, sinks
 from tablesift.streaming import incremental
@@ -191,3 +195,42 @@ def test_command_line(tmp_path, capsys):
     (tmp_path / "a.yaml").write_text(yaml.safe_dump(SCHEMA | {"panels": []}))
     assert main(["schemas", str(tmp_path)]) == 1
     assert main(["list"]) == 0 and "gate_status" in capsys.readouterr().out
+
+
+def test_trim_reports_and_dashboard(spark, tmp_path):
+    ranges = spark.createDataFrame([("a", 18, 19, 20, 23, 58, 59), ("b", None, None, None, None, None, None), ("c", 5, 6, None, None, None, None)], "volume string, civic_start int, civic_end int, medical_start int, medical_end int, appendix_start int, appendix_end int")
+    got = {r.volume: json.loads(r.report) for r in sinks.trim_report(ranges).collect()}
+    assert got["a"] == {"civic": [18, 19], "medical": [20, 23], "appendix": [58, 59], "warnings": []}
+    assert got["b"] == {"warnings": ["civic title not found"]}
+    assert len(got["c"]["warnings"]) == 2
+    rows = U.cleaned(spark.createDataFrame([("A", "d", "Yes", "Yes", 1971), ("B", "e", "No", None, 1971)], "state string, district string, available string, language string, year int"))
+    sinks.write_dashboard(rows, U.overall(rows), U.by_state(rows), str(tmp_path))
+    stats = spark.read.json(str(tmp_path / "stats")).first()
+    assert stats.total == 2 and [s.state for s in stats.state_stats] == ["A", "B"]
+    assert spark.read.json(str(tmp_path / "data")).count() == 2
+
+
+def test_required_numbers(spark):
+    good = spark.createDataFrame([("3",)], "n string")
+    assert good.select(T.required_int(F.col("n"), "n").alias("v")).first().v == 3
+    with pytest.raises(Exception, match="n is required"):
+        spark.createDataFrame([("",)], "n string").select(T.required_int(F.col("n"), "n").alias("v")).collect()
+
+
+def test_settings(monkeypatch):
+    assert not from_environment().can_request
+    monkeypatch.setenv("TABLESIFT_ATTEMPTS", "7")
+    monkeypatch.setenv("TABLESIFT_API_KEY", "abcdefgh")
+    config = from_environment().override(dpi=200, timeout_seconds=None)
+    assert (config.attempts, config.dpi, config.timeout_seconds, config.can_request) == (7, 200, 90.0, True)
+
+
+def test_audit_and_fallback_words(spark, tmp_path):
+    records = spark.createDataFrame([("p1", "request", None), ("p2", "table", "x")], "pdf_id string, record_type string, detail string")
+    sinks.write_audit(records, str(tmp_path / "audit"))
+    sinks.write_audit(records, str(tmp_path / "audit"))
+    assert spark.read.json(str(tmp_path / "audit")).count() == 4
+    embedded = spark.createDataFrame([("a", 0, 1)], "page string, start long, stop long")
+    grounded = spark.createDataFrame([("a", 5, 6), ("b", 7, 8)], "page string, start long, stop long")
+    assert sorted(r.page for r in M.usable_words(embedded, grounded, ["page"]).collect()) == ["a", "b"]
+    assert M.usable_words(embedded, grounded, ["page"], dry_run=True).count() == 1
