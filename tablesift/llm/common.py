@@ -8,13 +8,15 @@ import uuid
 from collections.abc import Callable, Iterator
 from typing import TypeVar
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tablesift.session import ship, table
 
-__all__ = ["ship", "table", "shared_folder", "staged", "chunks", "fresh", "held", "held_latest", "crc_mod", "words_sql"]
+__all__ = ["ship", "table", "shared_folder", "staged", "chunks", "fresh", "held", "held_latest", "crc_mod"]
 
 T = TypeVar("T")
 
@@ -61,12 +63,15 @@ atexit.register(_clear)
 
 
 def chunks(batch: pa.RecordBatch, column: str, most: int = 8 << 20) -> Iterator[tuple[int, list[str | None]]]:
-    """(first row, texts) in slices of about `most` bytes, so that Python objects of only one slice live at a time."""
+    """(first row, texts) in slices of at most `most` bytes, or of one longer text, so that Python objects of only one slice live at a time."""
     values = batch.column(batch.schema.get_field_index(column))
-    total = values.nbytes
-    rows = max(1, len(values) * most // max(total, 1))
-    for start in range(0, len(values), rows):
-        yield start, values.slice(start, rows).to_pylist()
+    ends = np.cumsum(pc.fill_null(pc.binary_length(values), 0).to_numpy(zero_copy_only=False), dtype=np.int64)
+    start = 0
+    while start < len(values):
+        passed = int(ends[start - 1]) if start else 0
+        stop = max(start + 1, int(np.searchsorted(ends, passed + most, side="right")))
+        yield start, values.slice(start, stop - start).to_pylist()
+        start = stop
 
 
 _HELD: dict[str, object] = {}
@@ -102,9 +107,3 @@ def fresh(columns: list[str], name: str) -> str:
 def crc_mod(column: str, mod: int) -> Column:
     """crc32 of an id written as text, modulo `mod`; a null id counts as the empty text."""
     return F.pmod(F.crc32(F.coalesce(F.col(column).cast("string"), F.lit("")).cast("binary")), F.lit(mod))
-
-
-#: DuckDB: the words of a text column under the two word contracts.
-def words_sql(text: str, keep: str) -> str:
-    lowered = f"translate({text}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
-    return f"regexp_extract_all({lowered}, '{keep}')"

@@ -359,9 +359,7 @@ def test_the_model_is_a_distribution():
     model = lm_score.Model(coder, one, two, lm_score.Speller(tables), mixer, mixer.rates())
     symbols = np.arange(32)
     d = lm_score.Decisions(coder, symbols, np.full(32, 3), np.full(32, 4))
-    a, b = model.one[d.one], model.two[d.two]
-    odds = (d.odds, (a >> 3) * np.float32(1 / 256), (b >> 3) * np.float32(1 / 256))
-    bits = mixer.bits(odds, (b & 7).astype(int) * 8 + (a & 7), b & 7, d.bits, model.rates)
+    bits = mixer.bits(d.odds, model.one[d.one], model.two[d.two], d.bits, model.rates)
     assert np.isclose((2.0 ** -np.add.reduceat(bits.astype(float), d.offset)).sum(), 1, atol=1e-3)
     each = np.array([model.speller.bits([bytes([c])])[0] - model.speller.bits([bytes([c]) + b" "])[0] for c in range(1, 3)])
     assert (each < 0).all()
@@ -518,3 +516,14 @@ def test_brute_force_on_the_smallest_tables(spark, sf_dir):
     linked = jaccard_join.op3_jaccard_join(spark, sf_dir).collect()
     assert sorted((str(r.doc_id), r.n_shingles, str(r.component_id)) for r in linked) == sorted(plain_components(rows))
     assert DOCUMENTS.startswith("doc_id")
+
+
+def test_chunks_are_bounded_by_bytes():
+    import pyarrow as pa
+
+    from tablesift.llm.common import chunks
+
+    texts = [None, "", "ab", "c" * 9, "é", None, "d"]
+    batch = pa.RecordBatch.from_pydict({"text": pa.array(texts, pa.string())})
+    assert list(chunks(batch, "text", 4)) == [(0, [None, "", "ab"]), (3, ["c" * 9]), (4, ["é", None, "d"])]
+    assert [t for _, part in chunks(batch.slice(2), "text", 1) for t in part] == texts[2:]
