@@ -43,14 +43,15 @@ BITS_ONE, BITS_TWO = 20, 21
 BITS_SPELL, BITS_SPELL_THREE = 12, 14
 #: Parts into which a task's tables are cut for merging.
 RANGES = 64
+#: Levels of what a context has seen; three bits in the merged tables.
 LEVELS = 8
 BUCKETS = 32
 #: Every n-th block of words corrects weights and refinement before it is counted.
-LEARN_EVERY = 8
+LEARN_EVERY = 16
 RATE = 0.1
-BLOCK = 32_768
+BLOCK = 49_152
 _FLUSH = 300_000
-_STEP = 256.0
+_STEP = np.float32(256)
 
 LOWER = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
 
@@ -172,13 +173,26 @@ class Mixer:
         self.refined += both.reshape(-1, 2)
         self.decisions += len(bits)
 
-    def bits(self, odds: tuple[np.ndarray, ...], gate: np.ndarray, level: np.ndarray, bits: np.ndarray, rates: np.ndarray) -> np.ndarray:
-        """Cost of each decision in bits."""
-        x = self.mix(odds, gate)
-        p = np.float32(0.5) / (1 + np.exp(-x))
-        p += np.float32(0.5) * rates[self.buckets(x, level)]
-        p = np.where(bits, p, 1 - p)
-        return -np.log2(np.maximum(p, np.float32(1e-6)))
+    def bits(self, odds: np.ndarray, one: np.ndarray, two: np.ndarray, bits: np.ndarray, rates: np.ndarray) -> np.ndarray:
+        """Cost of each decision in bits; odds: the node's own, one and two: entries of the merged tables."""
+        bias, own, first, second = (np.ascontiguousarray(self.weights[:, i]) for i in (3, 0, 1, 2))
+        gate = (((two & 7) << 3) | (one & 7)).astype(np.intp)
+        x = own.take(gate)
+        x *= odds
+        x += bias.take(gate)
+        x += (first / _STEP).take(gate) * (one >> 3)
+        x += (second / _STEP).take(gate) * (two >> 3)
+        np.minimum(x, np.float32(11), out=x)
+        np.maximum(x, np.float32(-11), out=x)
+        bucket = ((x + np.float32(11)) * np.float32((BUCKETS - 0.01) / 22)).astype(np.intp)
+        bucket += (gate >> 3) * BUCKETS
+        p = np.exp(-x)
+        p += np.float32(1)
+        np.divide(np.float32(0.5), p, out=p)
+        p += (rates * np.float32(0.5)).take(bucket)
+        p = np.where(bits, p, np.float32(1) - p)
+        np.maximum(p, np.float32(1e-6), out=p)
+        return -np.log2(p, out=p)
 
 
 def _spelled(words: list[bytes]) -> tuple[np.ndarray, list[np.ndarray], np.ndarray]:
@@ -346,11 +360,8 @@ class Model:
         cost = np.empty(len(symbols))
         for a in range(0, len(symbols), BLOCK):
             d = Decisions(self.coder, symbols[a : a + BLOCK], before[a : a + BLOCK], before_two[a : a + BLOCK])
-            one, two = self.one[d.one], self.two[d.two]
-            seen_one, seen_two = one & 7, two & 7
-            odds = (d.odds, (one >> 3) * np.float32(1 / _STEP), (two >> 3) * np.float32(1 / _STEP))
-            each = self.mixer.bits(odds, seen_two.astype(np.intp) * LEVELS + seen_one, seen_two, d.bits, self.rates)
-            cost[a : a + BLOCK] = np.add.reduceat(each, d.offset, dtype=np.float64) if len(each) else 0
+            each = self.mixer.bits(d.odds, self.one[d.one], self.two[d.two], d.bits, self.rates)
+            cost[a : a + BLOCK] = np.add.reduceat(each, d.offset) if len(each) else 0
         outside = np.flatnonzero((at < 0) | (at >= coded))
         others = [words[i] for i in outside.tolist()]
         if len(spelled) > _FLUSH:
