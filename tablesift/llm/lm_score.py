@@ -36,9 +36,9 @@ from pyspark.sql import functions as F
 from tablesift.llm.common import chunks, crc_mod, held_latest, ship, staged, table
 
 #: Coded words; other words are spelled.
-ALPHABET = 1 << 17
-#: A word whose share of all tokens reaches 1 / FREQUENT has its count broadcast: at most FREQUENT words.
-FREQUENT = 1 << 19
+ALPHABET = 1 << 16
+#: Words whose counts are broadcast, the most frequent ones.
+FREQUENT = 1 << 18
 BITS_ONE, BITS_TWO = 20, 21
 BITS_SPELL, BITS_SPELL_THREE = 12, 14
 #: Parts into which a task's tables are cut for merging.
@@ -48,7 +48,7 @@ LEVELS = 8
 BUCKETS = 32
 #: Every n-th block of words corrects weights and refinement before it is counted.
 LEARN_EVERY = 16
-RATE = 0.1
+RATE = 0.25
 BLOCK = 49_152
 _FLUSH = 300_000
 _STEP = np.float32(256)
@@ -285,7 +285,7 @@ def _trained(texts: DataFrame, coder_shared, key: str) -> DataFrame:
         coder: Coder = held_latest("lm", f"coder/{key}", lambda: coder_shared.value)
         known: dict[bytes, int] = held_latest("lm", f"coded/{key}", lambda: {w: i for i, w in enumerate(coder.words)})
         tables = [np.zeros(n, dtype=np.int32) for n in _SIZES.values()]
-        mixer, spelled, number = Mixer(), set(), 0
+        mixer, spelled, met, number = Mixer(), set(), np.zeros(len(coder.words), dtype=bool), 0
         for batch in batches:
             for _, part in chunks(batch, "text", 3 << 20):
                 words, at, sizes = _looked_up([split(t) for t in part], known)
@@ -302,9 +302,14 @@ def _trained(texts: DataFrame, coder_shared, key: str) -> DataFrame:
                     np.add.at(tables[0], one + bits, each)
                     np.add.at(tables[1], two + bits, each)
                     number += 1
+                # the speller learns from each word once in a task, coded or not
                 new = {words[i] for i in np.flatnonzero(at < 0).tolist()} - spelled
-                if new:
-                    data, contexts, _ = _spelled(list(new))
+                here = np.zeros(len(met), dtype=bool)
+                here[at[at >= 0]] = True
+                coded = np.flatnonzero(here & ~met).tolist()
+                met |= here
+                if new or coded:
+                    data, contexts, _ = _spelled([*new, *(coder.words[i] for i in coded)])
                     each = np.ones(len(data), dtype=np.int32)
                     for table_of, context in zip(tables[2:], contexts, strict=True):
                         np.add.at(table_of, context * 256 + data, each)
@@ -381,6 +386,17 @@ def _table_of(rows: list, kind: int, size: int, dtype: str) -> np.ndarray:
     return np.concatenate([parts.get(i, np.zeros(n, dtype=dtype)) for i, n in enumerate(sizes)])
 
 
+def _least_count(counts: DataFrame, most: int) -> int:
+    """A count that at most `most` words reach, from a histogram of counts in eighths of powers of two."""
+    step = F.floor(F.log2("n") * 8).cast("int")
+    passed = 0
+    for r in counts.groupBy(step.alias("step")).agg(F.count("*").alias("words"), F.max("n").alias("most")).orderBy(F.desc("step")).collect():
+        passed += r["words"]
+        if passed > most:
+            return r["most"] + 1
+    return 1
+
+
 def _rare_words(words: list[bytes], doc: np.ndarray, at: np.ndarray, docs: int) -> pa.ListArray:
     """For each document its distinct words among the given places, with their numbers."""
     names: dict[bytes, int] = {}
@@ -401,7 +417,7 @@ def score_texts(df: DataFrame, id_column: str, text_column: str, folds: int = 5,
     training = rows.filter(~F.col("held_out")).select("text")
     counts = staged(word_counts(training), "words")
     tokens, distinct = counts.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*")).first()
-    top = counts.filter((F.col("n") * FREQUENT >= tokens) & (F.octet_length("word") > 0)).toArrow().combine_chunks()
+    top = counts.filter((F.col("n") >= _least_count(counts, FREQUENT)) & (F.octet_length("word") > 0)).toArrow().combine_chunks()
     top = top.sort_by([("n", "descending"), ("word", "ascending")])
     words, numbers = top.column("word").to_pylist(), top.column("n").to_pylist()
     ends = counts.filter(F.octet_length("word") == 0).agg(F.sum("n")).first()[0] or 0
