@@ -19,6 +19,7 @@ def local_session(cpus: int = 8, app: str = "tablesift") -> SparkSession:
         .appName(app)
         .config("spark.sql.shuffle.partitions", str(cpus))
         .config("spark.driver.memory", os.environ.get("TABLESIFT_DRIVER_MEMORY", "8g"))
+        .config("spark.sql.adaptive.coalescePartitions.minPartitionSize", "64k")  # few bytes can be much work here
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
