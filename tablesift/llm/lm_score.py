@@ -46,10 +46,9 @@ RANGES = 64
 #: Levels of what a context has seen; three bits in the merged tables.
 LEVELS = 8
 BUCKETS = 32
-#: Every n-th block of words corrects weights and refinement before it is counted.
-LEARN_EVERY = 16
 RATE = 0.25
-BLOCK = 49_152
+#: Symbols that are predicted before they are counted; a task's first blocks double up to BLOCK, so that small tasks too learn from what they counted.
+FIRST_BLOCK, BLOCK = 1024, 49_152
 _FLUSH = 300_000
 _STEP = np.float32(256)
 
@@ -131,7 +130,7 @@ _SEEN = np.minimum(np.frompyfunc(lambda n: int(n).bit_length(), 1, 1)(np.arange(
 def _odds(zeros: np.ndarray, ones: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Log odds of a bit 1 and how much the context has seen, from 0 to LEVELS - 1."""
     seen = zeros + ones
-    odds = np.log((ones + np.float32(0.4)) / (zeros + np.float32(0.4))).astype(np.float32)
+    odds = np.log((ones.astype(np.float32) + np.float32(0.4)) / (zeros.astype(np.float32) + np.float32(0.4)))
     return odds, _SEEN[np.minimum(seen, 255)]
 
 
@@ -285,23 +284,23 @@ def _trained(texts: DataFrame, coder_shared, key: str) -> DataFrame:
         coder: Coder = held_latest("lm", f"coder/{key}", lambda: coder_shared.value)
         known: dict[bytes, int] = held_latest("lm", f"coded/{key}", lambda: {w: i for i, w in enumerate(coder.words)})
         tables = [np.zeros(n, dtype=np.int32) for n in _SIZES.values()]
-        mixer, spelled, met, number = Mixer(), set(), np.zeros(len(coder.words), dtype=bool), 0
+        mixer, spelled, met, block = Mixer(), set(), np.zeros(len(coder.words), dtype=bool), FIRST_BLOCK
         for batch in batches:
             for _, part in chunks(batch, "text", 3 << 20):
                 words, at, sizes = _looked_up([split(t) for t in part], known)
                 symbols, before, before_two, _ = _symbols(len(known), at, sizes)
-                for a in range(0, len(symbols), BLOCK):
-                    d = Decisions(coder, symbols[a : a + BLOCK], before[a : a + BLOCK], before_two[a : a + BLOCK])
+                a = 0
+                while a < len(symbols):
+                    d = Decisions(coder, symbols[a : a + block], before[a : a + block], before_two[a : a + block])
                     one, two, bits = d.one.astype(np.int64) * 2, d.two.astype(np.int64) * 2, d.bits
-                    if number % LEARN_EVERY == 0:
-                        odds_one, seen_one = _odds(tables[0][one], tables[0][one + 1])
-                        odds_two, seen_two = _odds(tables[1][two], tables[1][two + 1])
-                        gate = seen_two.astype(np.int64) * LEVELS + seen_one
-                        mixer.learn((d.odds, odds_one, odds_two), gate, seen_two, bits)
+                    odds_one, seen_one = _odds(tables[0][one], tables[0][one + 1])
+                    odds_two, seen_two = _odds(tables[1][two], tables[1][two + 1])
+                    gate = seen_two.astype(np.int64) * LEVELS + seen_one
+                    mixer.learn((d.odds, odds_one, odds_two), gate, seen_two, bits)
                     each = np.ones(len(bits), dtype=np.int32)
                     np.add.at(tables[0], one + bits, each)
                     np.add.at(tables[1], two + bits, each)
-                    number += 1
+                    a, block = a + block, min(2 * block, BLOCK)
                 # the speller learns from each word once in a task, coded or not
                 new = {words[i] for i in np.flatnonzero(at < 0).tolist()} - spelled
                 here = np.zeros(len(met), dtype=bool)

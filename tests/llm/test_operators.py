@@ -372,6 +372,28 @@ def test_the_model_beats_unigrams_on_repeated_context(spark):
     assert held and all(r.score > 0.3 * r.base_score for r in held)
 
 
+def test_every_decision_corrects_the_mixer(spark):
+    text = words(1, 60_000)
+    counts = Counter(lm_score.split(text))
+    coder = lm_score.build_coder(list(counts), list(counts.values()), 1, 1)
+    rows = lm_score._trained(spark.createDataFrame([(text,)], "text string").coalesce(1), spark.sparkContext.broadcast(coder), "every").collect()
+    weighed = next(np.frombuffer(r["content"]) for r in rows if r["kind"] == lm_score._WEIGHTS)
+    counted = sum(int(np.frombuffer(r["content"], dtype={2: "<u2", 8: "<i8"}[r["width"]]).sum()) for r in rows if r["kind"] == 0)
+    assert weighed[-1] == counted > lm_score.BLOCK
+    refined = next(np.frombuffer(r["content"]) for r in rows if r["kind"] == lm_score._REFINED)
+    assert refined.sum() == counted
+
+
+def test_a_task_of_one_block_learns_the_contexts(spark):
+    text = words(1, 20_000)
+    counts = Counter(lm_score.split(text))
+    coder = lm_score.build_coder(list(counts), list(counts.values()), 1, 1)
+    rows = lm_score._trained(spark.createDataFrame([(text,)], "text string").coalesce(1), spark.sparkContext.broadcast(coder), "small").collect()
+    weighed = next(np.frombuffer(r["content"]) for r in rows if r["kind"] == lm_score._WEIGHTS)
+    learned = (weighed[:-1] / weighed[-1]).reshape(-1, 4) - lm_score.Mixer().weights
+    assert (np.abs(learned[:, 1:3]) > 1e-3).any()
+
+
 # --- 8: top k ----------------------------------------------------------------------------------------------------
 
 
