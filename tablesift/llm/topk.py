@@ -4,7 +4,7 @@ Each task lays its vectors out as one sorted list per dimension. For a query, a
 weight favours; after reading to some depth, a vector's score lies between a lower bound (unread components at the
 list's far end) and an upper bound (unread components at the last value read). Bounds of all queries at a depth are
 two matrix products. Vectors whose upper bound is below the query's k-th lower bound can't qualify and drop out;
-reading stops when few candidates are left or the lists end, and only these get their exact integer scores. The
+reading goes on until at most k candidates are left or the lists end, and only these get their exact integer scores. The
 task's k best of each query meet in a small ranked merge. Queries are broadcast in blocks of `QUERY_BLOCK`.
 
 Cases: vectors that are null, hold a null or a non-finite component, or have a null id take no part. Only vectors
@@ -29,12 +29,17 @@ EVERY = 50
 SCALE = 256
 QUERY_BLOCK = 4096
 SHARD = 32_768
-#: Depths at which bounds are compared, as shares of the lists.
-DEPTHS = (0.25, 0.5, 0.75)
+#: Depths at which bounds are compared, as shares of the lists; at the last all is read and bounds are scores.
+DEPTHS = (0.25, 0.5, 0.75, 0.875, 1.0)
 #: Components beyond this are scored with Python's integers.
 _SAFE = 1 << 25
 
 
+def _candidates(rows: np.ndarray, lower: np.ndarray, upper: np.ndarray, k: int, slack: float) -> np.ndarray:
+    """The rows whose upper bound reaches the k-th lower bound."""
+    return rows[upper >= np.partition(lower, len(rows) - k)[len(rows) - k] - slack]
+
+
 class SortedLists:
     """One ascending list per dimension over the vectors of a shard."""
 
@@ -68,36 +73,29 @@ class SortedLists:
             return
         largest = int(np.abs(self.vectors).max(initial=0)) * int(np.abs(queries).max(initial=0)) * max(dims, 1)
         kind = np.float32 if largest < 1 << 24 else np.float64
+        # beyond 2^53 sums are rounded, and bounds that are nearly equal don't decide
+        slack = largest * 2.0**-40 if largest >= 1 << 53 else 0.0
         up, down = np.maximum(queries, 0).astype(kind), np.minimum(queries, 0).astype(kind)
         step = max(1, (16 << 20) // max(n, 1) // 8)
         for a in range(0, len(queries), step):
-            yield from self._block(range(a, min(len(queries), a + step)), query_ids, queries, up, down, k)
+            yield from self._block(range(a, min(len(queries), a + step)), query_ids, queries, up, down, k, slack)
 
-    def _block(self, block: range, query_ids: np.ndarray, queries: np.ndarray, up: np.ndarray, down: np.ndarray, k: int) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    def _block(self, block: range, query_ids: np.ndarray, queries: np.ndarray, up: np.ndarray, down: np.ndarray, k: int, slack: float) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
         n = len(self.ids)
-        own = {q: np.flatnonzero(self.ids == query_ids[q]) for q in block}
-        left: dict[int, np.ndarray | None] = dict.fromkeys(block)
+        left = {q: np.flatnonzero(self.ids != query_ids[q]) for q in block}
         for share in DEPTHS:
             depth = max(1, int(n * share))
-            dense = [q for q in block if left[q] is None]
-            if dense:
-                lower, upper = self._bounds(up[dense], down[dense], depth, None)
-                for i, q in enumerate(dense):
-                    lower[i, own[q]] = upper[i, own[q]] = -np.inf
-                    if n > k:
-                        bar = np.partition(lower[i], n - k)[n - k]
-                        rows = np.flatnonzero(upper[i] >= bar)
-                        left[q] = rows if len(rows) <= n // 8 else None
-            for q in block:
-                rows = left[q]
-                if q not in dense and rows is not None and len(rows) > 16 * k:
-                    lower, upper = self._bounds(up[[q]], down[[q]], depth, rows)
-                    lower[0, np.isin(rows, own[q])] = -np.inf
-                    bar = np.partition(lower[0], len(rows) - k)[len(rows) - k]
-                    left[q] = rows[upper[0] >= bar]
+            wide = [q for q in block if len(left[q]) > max(k, n // 8)]
+            if wide:
+                lower, upper = self._bounds(up[wide], down[wide], depth, None)
+                for i, q in enumerate(wide):
+                    left[q] = _candidates(left[q], lower[i, left[q]], upper[i, left[q]], k, slack)
+            for q in set(block).difference(wide):
+                if len(left[q]) > k:
+                    lower, upper = self._bounds(up[[q]], down[[q]], depth, left[q])
+                    left[q] = _candidates(left[q], lower[0], upper[0], k, slack)
         for q in block:
-            rows = np.arange(n) if left[q] is None else left[q]
-            yield q, *self._ranked(rows, self.vectors[rows] @ queries[q], query_ids[q], k)
+            yield q, *self._ranked(left[q], self.vectors[left[q]] @ queries[q], query_ids[q], k)
 
     def _ranked(self, rows: np.ndarray, scores: np.ndarray, query_id: int, k: int) -> tuple[np.ndarray, np.ndarray]:
         others = self.ids[rows] != query_id

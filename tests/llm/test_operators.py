@@ -433,6 +433,17 @@ def test_nra_is_exact(seed, n, dims):
         assert [(-s, i) for s, i in zip(scores.tolist(), found.tolist(), strict=True)] == best
 
 
+def test_only_survivors_of_the_bounds_are_scored(monkeypatch):
+    rng = np.random.default_rng(5)
+    vectors, queries = rng.integers(-200, 201, (400, 64)), rng.integers(-200, 201, (6, 64))
+    ids, scored, ranked = np.arange(400), [], topk.SortedLists._ranked
+    monkeypatch.setattr(topk.SortedLists, "_ranked", lambda self, rows, *rest: scored.append(len(rows)) or ranked(self, rows, *rest))
+    for q, found, scores in topk.SortedLists(ids, vectors).best(np.full(6, -1), queries, 5):
+        best = sorted((-int(v @ queries[q]), i) for i, v in enumerate(vectors))[:5]
+        assert [(-s, i) for s, i in zip(scores.tolist(), found.tolist(), strict=True)] == best
+    assert len(scored) == 6 and max(scored) <= 8
+
+
 # --- 9: repeated bytes -------------------------------------------------------------------------------------------
 
 
