@@ -76,8 +76,9 @@ OBSERVED = "SELECT CAST(user_id AS BIGINT) AS line, event_id % 9 + 1 AS value, r
 
 @query("g_lcs_score")
 def g_lcs_score(spark, sf_dir):
-    lines = sql(spark, sf_dir, OBSERVED).filter("n <= 9").groupBy("line").agg(F.sort_array(F.collect_list(F.struct("n", F.col("value").cast("int").alias("value")))).alias("v"))
-    return lines.select("line", G.sequence_score(F.sequence(F.lit(1), F.lit(9)), F.col("v.value")).alias("score"))
+    numbered = sql(spark, sf_dir, OBSERVED).withColumn("block", F.expr("(n - 1) div 9"))
+    lines = numbered.groupBy("line", "block").agg(F.sort_array(F.collect_list(F.struct("n", F.col("value").cast("int").alias("value")))).alias("v"))
+    return lines.select("line", "block", G.sequence_score(F.sequence(F.lit(1), F.lit(9)), F.col("v.value")).alias("score"))
 
 
 @query("g_number_rows")

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import itertools
 import json
+from collections import defaultdict
 
 import pytest
 from hypothesis import given, settings
@@ -192,6 +193,17 @@ def test_lcs(spark, pairs):
         assert got[i][1] == pytest.approx(n / len(a) * (0.85 + 0.15 * rising) if a and b else 0.0, abs=6e-5)
 
 
+def test_lcs_blocks_hold_all_events(spark, sf_dir):
+    from tablesift.plans import layout
+
+    events = defaultdict(list)
+    for r in spark.read.parquet(f"{sf_dir}/events.parquet").select("user_id", "event_id").orderBy("event_id").collect():
+        events[r.user_id].append(r.event_id)
+    blocks = sorted((u, i // 9) for u, own in events.items() for i in range(0, len(own), 9))
+    assert max(map(len, events.values())) > 9
+    assert sorted((r.line, r.block) for r in layout.g_lcs_score(spark, sf_dir).collect()) == blocks
+
+
 def test_sequence_scores(spark):
     df = spark.createDataFrame([([1, 2, 3, 4],), ([4, 3, 2, 1],), ([1, 2, 4],)], "o array<int>")
     s = [r.s for r in df.select(M.sequence_score(F.array(*map(F.lit, (1, 2, 3, 4))), F.col("o")).alias("s")).collect()]
