@@ -5,7 +5,7 @@ from __future__ import annotations
 import atexit
 import tempfile
 import uuid
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 from typing import TypeVar
 
 import numpy as np
@@ -16,11 +16,11 @@ from pyspark.sql import functions as F
 
 from tablesift.session import ship, table
 
-__all__ = ["ship", "table", "shared_folder", "staged", "chunks", "fresh", "held", "held_latest", "crc_mod"]
+__all__ = ["ship", "table", "shared_folder", "staged", "release", "scratch", "release_paths", "salted", "chunks", "fresh", "held", "held_latest", "crc_mod"]
 
 T = TypeVar("T")
 
-_MADE: list[tuple[SparkSession, str]] = []
+_MADE: dict[str, SparkSession] = {}
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -41,26 +41,74 @@ def shared_folder(spark: SparkSession) -> str:
 
 
 def staged(df: DataFrame, name: str) -> DataFrame:
-    """The frame written once to the shared folder and read again: lineage ends here and a lost executor costs no rework. The folders go when the driver ends."""
+    """The frame written once to the shared folder and read again: lineage ends here and a lost executor costs no rework.
+
+    The folder goes by `release`, or when the driver ends.
+    """
     spark = df.sparkSession
     path = f"{shared_folder(spark)}/tablesift_{name}_{uuid.uuid4().hex}"
     df.write.parquet(path)
-    _MADE.append((spark, path))
-    return spark.read.schema(df.schema).parquet(path)
+    _MADE[path] = spark
+    out = spark.read.schema(df.schema).parquet(path)
+    out._tablesift_path = path
+    return out
+
+
+def release(*frames: DataFrame) -> None:
+    """Deletes tables of `staged` that nothing reads any more."""
+    for frame in frames:
+        _delete(frame._tablesift_path)
+
+
+def scratch() -> set[str]:
+    """The tables of `staged` that exist now."""
+    return set(_MADE)
+
+
+def release_paths(paths: Iterable[str]) -> None:
+    for path in paths:
+        _delete(path)
+
+
+def _delete(path: str) -> None:
+    spark = _MADE.pop(path, None)
+    if spark is not None:
+        where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+        where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
 
 
 def _clear() -> None:
-    for spark, path in _MADE:
+    for path in list(_MADE):
         try:
-            jvm = spark.sparkContext._jvm
-            where = jvm.org.apache.hadoop.fs.Path(path)
-            where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
+            _delete(path)
         except Exception:  # noqa: BLE001  the session may be gone already; scratch is not worth a failing exit
-            return
+            continue
 
 
 atexit.register(_clear)
 
+#: Rows of one key that a task takes whatever the table's size.
+KEY_ROWS = 2048
+
+
+def salted(left: DataFrame, right: DataFrame, keys: list[str], spread: str, how: str = "inner", counts: DataFrame | None = None, rows: int | None = None) -> DataFrame:
+    """left.join(right, keys, how) in which no key of `left` is the work of one task.
+
+    A key with more than its share of left's rows (KEY_ROWS, or a quarter of the mean of a shuffle partition) is dealt by
+    a hash of the column `spread`, and right's rows for it are repeated. There are at most four such keys for each shuffle partition,
+    so they are broadcast. left: a staged table, since it is counted, unless counts (keys and n) and rows (their sum)
+    are known already.
+    """
+    parts = int(left.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    share = max(KEY_ROWS, (left.count() if rows is None else rows) // (4 * parts))
+    found = left.groupBy(*keys).agg(F.count("*").alias("n")) if counts is None else counts
+    names = [fresh([*left.columns, *right.columns], n) for n in ("salts", "salt")]
+    hot = F.broadcast(found.filter(F.col("n") > share).select(*keys, F.ceil(F.col("n") / share).cast("int").alias(names[0])))
+    salts = F.coalesce(F.col(names[0]), F.lit(1))
+    dealt = left.join(hot, keys, "left").withColumn(names[1], F.pmod(F.xxhash64(spread), salts).cast("int")).drop(names[0])
+    copies = right.join(hot, keys, "left").withColumn(names[1], F.explode(F.sequence(F.lit(0), salts - 1))).drop(names[0])
+    return dealt.join(copies, [*keys, names[1]], how).drop(names[1])
+
 
 def chunks(batch: pa.RecordBatch, column: str, most: int = 8 << 20) -> Iterator[tuple[int, list[str | None]]]:
     """(first row, texts) in slices of at most `most` bytes, or of one longer text, so that Python objects of only one slice live at a time."""

@@ -4,19 +4,25 @@ A document is the set of its distinct shingles; two link if their sets' Jaccard
 result names each document's component of links, so links inside a component already known need no check.
 
 1. Shingles of one document only can't be shared. A document with a link has PERCENT of its shingles in another, so
-   one with fewer shared shingles (found by filters of fixed size) is its own component at once.
-2. The others, collapsed to classes of equal sets, are ordered by one global order: shared shingles after unshared
-   ones, hot ones last. Linked sets share a shingle in their prefixes, so prefix shingles deal the classes into
-   clusters (components of the graph of classes and prefix shingles).
-3. Within a cluster the adaptive join runs on exact frequencies, sets by size: a set's prefix is lengthened by l - 1
-   shingles and l shared prefix shingles are asked for, l chosen by the estimated cost of scanning the longer lists
-   and of checking the candidates they leave. Candidates already connected are skipped, others are verified on their
-   whole sets. Clusters beyond `BLOCK` sets are joined block against block, in tasks of their own.
-4. The links found (a spanning forest of each task) give the components.
+   one with fewer shared shingles (found by filters) is its own component at once. The others collapse to classes of
+   equal sets, told apart by their size and two 64-bit hashes.
+2. A class's shared shingles stand in one global order: unshared ones before them, hot ones last. Its prefix for l
+   matches has l - 1 shingles more than the plain one; linked classes share l shingles of their prefixes for l.
+3. Stars: each prefix shingle has a pivot, the first class that has it; each class is verified against the one pivot
+   with which it shares most. Families of near copies become components here, with one check for each member.
+4. The adaptive join runs on what is left: shingles whose classes lie in several components. Each class chooses l by
+   the estimated cost of its lists and of the candidates they leave. Entries of a list meet by an equi-join that
+   forms no pair within a component, none whose sizes differ too much, and none whose places leave too few common
+   shingles (at most those before plus those after both places). Pairs with l matches are verified on whole sets.
+5. The verified links give the components.
+Joins on shingles and classes deal hot keys over several tasks (`common.salted`). Tables in the shared folder are
+deleted as soon as nothing reads them.
 
 Cases: a null text, or one without words, has an empty set and links with nothing; fewer than WORDS words are one
-shingle. Rows that repeat, or share an id, are documents of one class. A null id is no smallest id; its row gets the
-smallest other id of its component, or null. Extra columns are ignored by `linked`, kept by `one_of_each`.
+shingle. A text of any length is one row of at most 8 bytes a shingle; one longer than a chunk is a chunk of its own.
+Rows that repeat, or share an id, are documents of one class. A null id is no smallest id; its row gets the
+smallest other id of its component, or null. An empty table gives no row. Extra columns, whatever their names, are
+ignored by `linked`, kept by `one_of_each`. Shingles are compared as 64-bit hashes.
 """
 
 from __future__ import annotations
@@ -27,32 +33,25 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tablesift.llm.common import chunks, fresh, held, held_latest, ship, staged, table
+from tablesift.llm.common import chunks, fresh, held, held_latest, release, salted, ship, staged, table
 from tablesift.llm.components import components
 from tablesift.llm.shared_hashes import LISTED, Filters, bucket_count, bucket_of, listed, low_bits, slices
 
 WORDS = 5
 PERCENT = 80
-#: Sets in a block of a large cluster, and shingles in it.
-BLOCK, BLOCK_SHINGLES = 1024, 1 << 20
 #: Shingles found in so many chunks come last in the order, in two steps.
 HOT = (16, 64)
 MOST_MATCHES = 8
 CHUNK = 4 << 20
 
 LOWER = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
-_P, _Q = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
+_P = np.uint64(0x9E3779B97F4A7C15)
 _MOST_WORDS = 200_000
 
 
-def least_overlap(n: np.ndarray, m: np.ndarray) -> np.ndarray:
-    """Shared shingles that sets of n and m need: 100 * shared >= PERCENT * union."""
-    return -(-PERCENT * (n + m) // (100 + PERCENT))
-
-
 def shingles(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
     """(row, hash) of the distinct shingles of each text, by row and hash."""
     split = [t.encode().translate(LOWER).split() if t else [] for t in texts]
@@ -86,9 +85,9 @@ def shingles(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _sets(texts: DataFrame, kind: str) -> DataFrame:
-    """(id, n_shingles, cls, shared, prefix) of every row; the last three are null for rows that can't have a link.
+    """(id, n_shingles, cls, check, shared) of every row; the last three are null for rows that can't have a link.
 
-    cls: hash of the set; shared: its shared shingles; prefix: those of its prefix, by the global order.
+    cls and check: hashes of the set; shared: its shared shingles in the global order.
     """
     spark = texts.sparkSession
     buckets = bucket_count(spark)
@@ -110,148 +109,118 @@ def _sets(texts: DataFrame, kind: str) -> DataFrame:
                 row, h = shingles(part)
                 bucket, low = bucket_of(h, buckets), low_bits(h)
                 shared = filters.has(0, bucket, low)
-                n = np.bincount(row, minlength=len(part))
-                able = np.bincount(row[shared], minlength=len(part)) * 100 >= n * PERCENT
-                able &= n > 0
+                size = len(part)
+                n = np.bincount(row, minlength=size)
+                able = (np.bincount(row[shared], minlength=size) * 100 >= n * PERCENT) & (n > 0)
                 ends = np.cumsum(n)
-                cls: list[int | None] = [None] * len(part)
-                own: list[bytes | None] = [None] * len(part)
-                prefix: list[np.ndarray | None] = [None] * len(part)
+                cls: list[int | None] = [None] * size
+                check: list[int | None] = [None] * size
                 for i in np.flatnonzero(able).tolist():
-                    at = slice(int(ends[i] - n[i]), int(ends[i]))
-                    cls[i] = xxhash.xxh64_intdigest(h[at].tobytes(), seed=int(n[i])) - (1 << 63)
-                    mine = shared[at]
-                    tokens = h[at][mine]
-                    own[i] = tokens.tobytes()
-                    heat = sum(filters.has(k, bucket[at][mine], low[at][mine]).astype(np.int8) for k in range(1, len(HOT) + 1))
-                    length = int(n[i]) - -(-PERCENT * int(n[i]) // 100) + 1 - (int(n[i]) - len(tokens))
-                    order = np.lexsort((tokens, heat))[: max(0, length)]
-                    prefix[i] = tokens[order].view(np.int64)
-                size = len(part)
-                columns = [batch.column(0).slice(start, size), pa.array(n, pa.int64()), pa.array(cls, pa.int64()), pa.array(own, pa.binary()), pa.array(prefix, pa.list_(pa.int64()))]
-                yield pa.RecordBatch.from_arrays(columns, names=["id", "n_shingles", "cls", "shared", "prefix"])
-
-    return texts.mapInArrow(run, f"id {kind}, n_shingles long, cls long, shared binary, prefix array<long>")
-
-
-class AdaptiveJoin:
-    """The join of the sets of one task; sizes count all shingles, tokens only the shared ones."""
-
-    def __init__(self, sizes: np.ndarray, sets: list[np.ndarray], side: np.ndarray | None) -> None:
-        order = np.argsort(sizes, kind="stable")
-        self.order, self.sizes = order, sizes[order]
-        self.side = None if side is None else side[order]
-        held = [len(sets[i]) for i in order.tolist()]
-        tokens = np.concatenate([sets[i] for i in order.tolist()]) if held else np.zeros(0, np.uint64)
-        _, name, count = np.unique(tokens, return_inverse=True, return_counts=True)
-        # rare shingles first
-        by_rarity = np.empty(len(count), dtype=np.int64)
-        by_rarity[np.argsort(count, kind="stable")] = np.arange(len(count))
-        owner = np.repeat(np.arange(len(held)), held)
-        ranked = by_rarity[name]
-        at = np.lexsort((ranked, owner))
-        self.tokens, self.count = ranked[at], np.sort(count)
-        self.ends = np.cumsum(held)
-        self.starts = self.ends - held
-        #: Shingles that stand before the tokens in the order: those of this set only.
-        self.unshared = self.sizes - np.array(held)
-        place = np.arange(len(at)) - np.repeat(self.starts, held) + self.unshared[owner]
-        #: With how many matches asked for a token enters its set's prefix.
-        least = least_overlap(self.sizes, -(-PERCENT * self.sizes // 100))
-        self.level = np.maximum(1, place - (self.sizes - least)[owner] + 1)
-        inside = self.level <= MOST_MATCHES
-        listed_at = np.flatnonzero(inside)[np.argsort(self.tokens[inside], kind="stable")]
-        self.list_docs, self.list_levels = owner[listed_at], self.level[listed_at]
-        self.list_ends = np.cumsum(np.bincount(self.tokens[inside], minlength=len(count)))
-        self.parent = list(range(len(held)))
-
-    def root(self, i: int) -> int:
-        while self.parent[i] != i:
-            self.parent[i] = self.parent[self.parent[i]]
-            i = self.parent[i]
-        return i
-
-    def _matches(self, i: int, lengths: np.ndarray, levels: np.ndarray) -> int:
-        """How many shared prefix tokens to ask for: scanned entries plus candidates times a check's cost, least."""
-        size = int(self.sizes[i])
-        most = min(MOST_MATCHES, -(-PERCENT * size // 100))
-        best, cost = 1, None
-        for matches in range(1, most + 1):
-            scanned = int(lengths[levels <= matches].sum())
-            now = scanned + scanned / matches * size / 4
-            if cost is None or now < cost:
-                best, cost = matches, now
-        return best
-
-    def links(self) -> list[tuple[int, int]]:
-        """A spanning forest of the links, as places in the input."""
-        found = []
-        marked = np.zeros(len(self.count), dtype=bool)
-        for i in range(len(self.sizes)):
-            own = slice(int(self.starts[i]), int(self.ends[i]))
-            levels = self.level[own]
-            use = levels <= MOST_MATCHES
-            tokens, levels = self.tokens[own][use], levels[use]
-            stop = self.list_ends[tokens]
-            begin = np.where(tokens > 0, self.list_ends[np.maximum(tokens - 1, 0)], 0)
-            matches = self._matches(i, stop - begin, levels)
-            take = levels <= matches
-            begin, size = begin[take], (stop - begin)[take]
-            at = np.arange(int(size.sum())) - np.repeat(np.cumsum(size) - size - begin, size)
-            docs = self.list_docs[at[self.list_levels[at] <= matches]]
-            docs = docs[docs < i]
-            if not len(docs):
-                continue
-            candidates, shared = np.unique(docs, return_counts=True)
-            candidates = candidates[(shared >= matches) & (100 * self.sizes[candidates] >= PERCENT * self.sizes[i])]
-            if self.side is not None:
-                candidates = candidates[self.side[candidates] != self.side[i]]
-            root = self.root(i)
-            candidates = [c for c in candidates.tolist() if self.root(c) != root]
-            if not candidates:
-                continue
-            marked[self.tokens[own]] = True
-            for c in candidates:
-                a, b = self.root(i), self.root(c)
-                if a == b:
-                    continue
-                overlap = np.count_nonzero(marked[self.tokens[self.starts[c] : self.ends[c]]])
-                if overlap >= least_overlap(self.sizes[i], self.sizes[c]):
-                    self.parent[max(a, b)] = min(a, b)
-                    found.append((int(self.order[i]), int(self.order[c])))
-            marked[self.tokens[own]] = False
-        return found
-
-
-def _joined(classes: DataFrame, clusters: DataFrame) -> DataFrame:
-    """(a, b): links of the classes of each cluster; classes: cls, n_shingles, shared; clusters: node, root."""
-    members = classes.join(clusters.select(F.col("node").alias("cls"), F.col("root").alias("cluster")), "cls")
-    size = members.groupBy("cluster").agg(F.greatest(F.ceil(F.count("*") / BLOCK), F.ceil(F.sum(F.octet_length("shared")) / (8 * BLOCK_SHINGLES))).cast("int").alias("blocks"))
-    dealt = members.join(size, "cluster").withColumn("block", F.pmod(F.xxhash64("cls"), F.col("blocks")).cast("int"))
-    # a block meets itself and every other block
-    other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
-    tasks = dealt.withColumn("other", other).select("cluster", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block", "cls", "n_shingles", "shared")
+                    raw = h[ends[i] - n[i] : ends[i]].tobytes()
+                    cls[i], check[i] = (xxhash.xxh64_intdigest(raw, seed=s) - (1 << 63) for s in (3, 4))
+                kept = np.flatnonzero(shared & able[row])
+                heat = sum(filters.has(k, bucket[kept], low[kept]).astype(np.int8) for k in range(1, len(HOT) + 1))
+                kept = kept[np.lexsort((h[kept], heat, row[kept]))]
+                offsets = np.concatenate([[0], np.cumsum(np.bincount(row[kept], minlength=size))])
+                own = pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(h[kept].view(np.int64)), mask=pa.array(~able))
+                columns = [batch.column(0).slice(start, size), pa.array(n, pa.int64()), pa.array(cls, pa.int64()), pa.array(check, pa.int64()), own]
+                yield pa.RecordBatch.from_arrays(columns, names=["id", "n_shingles", "cls", "check", "shared"])
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        key, held = None, []
+    return texts.mapInArrow(run, f"id {kind}, n_shingles long, cls long, check long, shared array<long>")
 
-        def solved() -> pa.RecordBatch:
-            sets = [np.frombuffer(s, dtype=np.uint64) for _, _, s, _ in held]
-            side = None if key[1] == key[2] else np.array([b for *_, b in held])
-            pairs = AdaptiveJoin(np.array([n for _, n, _, _ in held]), sets, side).links()
-            return pa.RecordBatch.from_arrays([pa.array([held[i][0] for i, _ in pairs], pa.int64()), pa.array([held[j][0] for _, j in pairs], pa.int64())], names=["a", "b"])
 
-        for batch in batches:
-            for cluster, i, j, block, cls, n, shared in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                if (cluster, i, j) != key:
-                    if len(held) > 1:
-                        yield solved()
-                    key, held = (cluster, i, j), []
-                held.append((cls, n, shared, block))
-        if len(held) > 1:
-            yield solved()
+def _least(n: Column | str) -> Column:
+    """Shared shingles that a set of n needs with any other: PERCENT of its own."""
+    return F.ceil(F.col(n) * PERCENT / 100)
 
-    return tasks.repartition("cluster", "i", "j").sortWithinPartitions("cluster", "i", "j", "cls").mapInArrow(run, "a long, b long")
+
+def _overlap(n: Column, m: Column) -> Column:
+    """Shared shingles that sets of n and m need: 100 * shared >= PERCENT * union."""
+    return F.ceil((n + m) * PERCENT / (100 + PERCENT))
+
+
+def _postings(classes: DataFrame) -> DataFrame:
+    """(token, c, n, m, at, level): each class's prefix shingles for up to MOST_MATCHES matches.
+
+    n: its shingles; m: the shared ones; at: the token's place among these; level: from how many matches on the token
+    is in the prefix. Unshared shingles stand before all others.
+    """
+    spare = F.col("n") - _least("n")
+    own = classes.withColumn("m", F.size("shared")).withColumn("unshared", F.col("n") - F.col("m"))
+    length = F.greatest(F.lit(0), spare + MOST_MATCHES - F.col("unshared")).cast("int")
+    rows = own.select("c", "n", "m", "unshared", F.posexplode(F.slice("shared", 1, length)).alias("at", "token"))
+    level = F.greatest(F.lit(1), F.col("unshared") + F.col("at") - spare + 1).cast("int")
+    return rows.select("token", "c", "n", "m", "at", level.alias("level"))
+
+
+def _possible(x: str, y: str) -> Column:
+    """Can the classes x and y of a common token link? Their sizes, and the places of the token in both, must leave enough."""
+    n, m = F.col(f"{x}n"), F.col(f"{y}n")
+    after = F.least(F.col(f"{x}m") - F.col(f"{x}at"), F.col(f"{y}m") - F.col(f"{y}at"))
+    return (F.least(n, m) * 100 >= F.greatest(n, m) * PERCENT) & (F.least(f"{x}at", f"{y}at") + after >= _overlap(n, m))
+
+
+def _named(entries: DataFrame, side: str) -> DataFrame:
+    return entries.select("token", *[F.col(c).alias(f"{side}{c}") for c in entries.columns if c != "token"])
+
+
+def _star_pairs(postings: DataFrame, lists: DataFrame, rows: int) -> DataFrame:
+    """(a, b): each class with the pivot that shares most of its plain prefix."""
+    pivots = postings.join(lists.select("token", F.col("pivot").alias("c")), ["token", "c"])
+    met = salted(_named(postings.filter("level = 1"), "x_"), _named(pivots, "y_"), ["token"], "x_c", counts=lists, rows=rows)
+    pairs = met.filter((F.col("x_c") != F.col("y_c")) & _possible("x_", "y_")).groupBy("x_c", "y_c").agg(F.count("*").alias("matches"))
+    best = pairs.groupBy("x_c").agg(F.max(F.struct("matches", F.negative("y_c").alias("y"))).alias("best"))
+    return best.select(F.col("x_c").alias("a"), F.negative("best.y").alias("b"))
+
+
+def _adaptive_pairs(entries: DataFrame, lists: DataFrame, rows: int) -> DataFrame:
+    """(a, b): classes of different components that share as many prefix shingles as the larger one asks for."""
+    lengths = salted(entries.select("token", "c", "n", "level"), lists.select("token", "n_list"), ["token"], "c", counts=lists, rows=rows)
+    scanned = lengths.groupBy("c").agg(F.first("n").alias("n"), *[F.sum(F.when(F.col("level") <= k, F.col("n_list")).otherwise(0)).alias(f"s{k}") for k in range(1, MOST_MATCHES + 1)])
+    # scanned entries, and candidates times the cost of a check
+    costs = [F.struct((F.col(f"s{k}") * (1 + F.col("n") / (4.0 * k))).alias("cost"), F.lit(k).alias("k")) for k in range(1, MOST_MATCHES + 1)]
+    asked = scanned.select("c", F.array_min(F.filter(F.array(*costs), lambda x: (x["k"] == 1) | (x["k"] <= _least("n"))))["k"].alias("asked"))
+    probes = entries.join(asked, "c").filter("level <= asked")
+    met = salted(_named(probes, "x_"), _named(entries, "y_"), ["token"], "x_c", counts=lists, rows=rows)
+    larger = F.struct("x_n", "x_c") > F.struct(F.col("y_n").alias("x_n"), F.col("y_c").alias("x_c"))
+    met = met.filter((F.col("x_root") != F.col("y_root")) & larger & (F.col("y_level") <= F.col("x_asked")) & _possible("x_", "y_"))
+    pairs = met.groupBy("x_c", "y_c").agg(F.count("*").alias("matches"), F.first("x_asked").alias("asked"))
+    return pairs.filter("matches >= asked").select(F.col("x_c").alias("a"), F.col("y_c").alias("b"))
+
+
+def _verified(pairs: DataFrame, classes: DataFrame) -> DataFrame:
+    """The pairs whose whole sets reach PERCENT."""
+    sets = {side: classes.select(F.col("c").alias(side), F.col("n").alias(f"n_{side}"), F.col("shared").alias(f"set_{side}")) for side in "ab"}
+    rows = pairs.count()
+    own = salted(pairs, sets["a"], ["a"], "b", rows=rows)
+    both = salted(own, sets["b"], ["b"], "a", counts=pairs.groupBy("b").agg(F.count("*").alias("n")), rows=rows)
+    return both.filter(F.size(F.array_intersect("set_a", "set_b")) >= _overlap(F.col("n_a"), F.col("n_b"))).select("a", "b")
+
+
+def _roots(classes: DataFrame) -> DataFrame:
+    """(node, root) of the classes that have links, by stars and then by the adaptive join; classes: c, n, shared."""
+    postings = staged(_postings(classes), "postings")
+    rows = postings.count()
+    plain = F.when(F.col("level") == 1, F.col("c"))
+    lists = staged(postings.groupBy("token").agg(F.min(plain).alias("pivot"), F.count("*").alias("n")).filter("n > 1"), "lists")
+    pairs = staged(_star_pairs(postings, lists, rows), "star_pairs")
+    links = staged(_verified(pairs, classes), "star_links")
+    release(pairs)
+    known = components(links)
+    # of the shingles, those whose classes lie in several components
+    rooted = postings.join(known.select(F.col("node").alias("c"), "root"), "c", "left").withColumn("root", F.coalesce("root", "c"))
+    apart = staged(rooted, "rooted")
+    release(postings, lists, known)
+    several = staged(apart.groupBy("token").agg(F.min("root").alias("r"), F.max("root").alias("s"), F.count("*").alias("n")).filter("r < s").select("token", "n", F.col("n").alias("n_list")), "several")
+    entries = staged(salted(apart, several.select("token"), ["token"], "c", counts=several, rows=rows), "entries")
+    release(apart)
+    pairs = staged(_adaptive_pairs(entries, several, rows), "pairs")
+    release(entries, several)
+    more = staged(_verified(pairs, classes), "links")
+    release(pairs)
+    roots = components(links.unionByName(more))
+    release(links, more)
+    return roots
 
 
 def linked(df: DataFrame, id_column: str, text_column: str) -> DataFrame:
@@ -261,16 +230,21 @@ def linked(df: DataFrame, id_column: str, text_column: str) -> DataFrame:
     texts = df.select(F.col(id_column).alias("id"), F.col(text_column).cast("string").alias("text"))
     sets = staged(_sets(texts, kind), "sets")
     able = sets.filter(F.col("cls").isNotNull())
-    classes = staged(able.groupBy("cls").agg(F.min("id").alias("smallest"), F.first("n_shingles").alias("n_shingles"), F.first("shared").alias("shared"), F.first("prefix").alias("prefix")), "classes")
-    postings = classes.select("cls", F.explode("prefix").alias("token"))
-    lists = postings.groupBy("token").agg(F.min("cls").alias("least"), F.max("cls").alias("most")).filter("least < most")
-    clusters = components(postings.join(lists, "token").select(F.col("cls").alias("a"), F.col("least").alias("b")))
-    links = staged(_joined(classes.select("cls", "n_shingles", "shared"), clusters), "links")
-    roots = classes.select("cls", "smallest").join(components(links).select(F.col("node").alias("cls"), "root"), "cls", "left").withColumn("root", F.coalesce("root", "cls"))
-    component = staged(roots.join(roots.groupBy("root").agg(F.min("smallest").alias("component_id")), "root").select("cls", "component_id"), "components")
-    alone = sets.filter(F.col("cls").isNull()).select("id", "n_shingles", F.col("id").alias("component_id"))
-    found = alone.unionByName(able.join(component, "cls").select("id", "n_shingles", "component_id"))
-    return found.withColumnRenamed("id", id_column)
+    grouped = able.groupBy("cls", "check", F.col("n_shingles").alias("n")).agg(F.min("id").alias("smallest"), F.first("shared").alias("shared"))
+    classes = staged(grouped.withColumn("c", F.monotonically_increasing_id()), "classes")
+    rows = staged(sets.drop("shared"), "rows")
+    release(sets)
+    found = _roots(classes.select("c", "n", "shared"))
+    named = classes.select("cls", "check", F.col("n").alias("n_shingles"), "smallest", "c").join(found.withColumnRenamed("node", "c"), "c", "left").withColumn("root", F.coalesce("root", "c"))
+    rooted = staged(named, "rooted_classes")
+    release(classes, found)
+    smallest = rooted.groupBy("root").agg(F.min("smallest").alias("component_id"))
+    component = staged(salted(rooted, smallest, ["root"], "c").select("cls", "check", "n_shingles", "component_id"), "components")
+    release(rooted)
+    alone = rows.filter(F.col("cls").isNull()).select("id", "n_shingles", F.col("id").alias("component_id"))
+    able = rows.filter(F.col("cls").isNotNull())
+    joined = salted(able.withColumn("row", F.monotonically_increasing_id()), component, ["cls", "check", "n_shingles"], "row")
+    return alone.unionByName(joined.select("id", "n_shingles", "component_id")).withColumnRenamed("id", id_column)
 
 
 def one_of_each(df: DataFrame, id_column: str, text_column: str) -> DataFrame:

@@ -1,8 +1,9 @@
-"""Which hashes occur in more than one document? Bloom filters of fixed size, built without a row for each hash.
+"""Which hashes occur in more than one document? Bloom filters sized by the corpus, built without a row for each hash.
 
 Tasks list the hashes of each chunk of texts once, as sorted 32-bit values in a bucket that the upper bits choose.
 Each bucket is merged in one place, and hashes that several documents have become one slice of a filter; those that
-occur in many chunks also enter the filters of hot hashes. A hash that a filter wrongly names only costs work.
+occur in many chunks also enter the filters of hot hashes. A slice has BITS_EACH bits for each of its hashes, up to its
+share of MOST_BITS; beyond that it is fuller. A hash that a filter wrongly names only costs work.
 """
 
 from __future__ import annotations
@@ -13,8 +14,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
-#: Bits over all buckets, whatever the corpus: hashes of several documents, and each filter of hot ones.
-FILTER_BITS, HOT_BITS = 1 << 27, 1 << 23
+#: Bits for each hash of a slice; bits of a filter over all buckets, the bound of what is collected and broadcast (96 MB for three filters).
+BITS_EACH, MOST_BITS = 10, 1 << 28
 
 _P, _Q = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
 
@@ -32,17 +33,14 @@ def low_bits(hashes: np.ndarray) -> np.ndarray:
     return (hashes & np.uint64(0xFFFFFFFF)).astype(np.int64)
 
 
-def _probes(low: np.ndarray, bits: int) -> Iterator[np.ndarray]:
+def _probes(low: np.ndarray, bits: int | np.ndarray) -> Iterator[np.ndarray]:
     x = low.astype(np.uint64) * _P
     for shift in (0, 17, 31):
-        yield (((x >> np.uint64(shift)) * _Q >> np.uint64(20)) % np.uint64(bits)).astype(np.int64)
+        yield (((x >> np.uint64(shift)) * _Q >> np.uint64(20)) % np.asarray(bits, dtype=np.uint64)).astype(np.int64)
 
 
-def _sizes(buckets: int, hot: Sequence[int]) -> list[int]:
-    return [bits // buckets // 8 * 8 for bits in (FILTER_BITS, *[HOT_BITS] * len(hot))]
-
-
-def _slice(low: np.ndarray, bits: int) -> bytes:
+def _slice(low: np.ndarray, buckets: int) -> bytes:
+    bits = min(max(64, BITS_EACH * len(low)), MOST_BITS // buckets) // 8 * 8
     out = np.zeros(bits, dtype=np.uint8)
     for at in _probes(low, bits):
         out[at] = 1
@@ -53,16 +51,20 @@ class Filters:
     """The collected slices: filter 0 knows hashes of several documents, filter i the i-th kind of hot ones."""
 
     def __init__(self, buckets: int, hot: Sequence[int], slices: list[dict]) -> None:
-        self.buckets, self.sizes = buckets, _sizes(buckets, hot)
-        self.tables = [np.zeros((buckets, size // 8), dtype=np.uint8) for size in self.sizes]
+        empty = bytes(8)
+        parts = [[empty] * buckets for _ in range(1 + len(hot))]
         for r in slices:
-            for t, content in zip(self.tables, r["filters"], strict=True):
-                t[r["bucket"]] = np.frombuffer(content, dtype=np.uint8)
+            for k, content in enumerate(r["filters"]):
+                parts[k][r["bucket"]] = content
+        self.sizes = [np.array([len(x) for x in p], dtype=np.int64) for p in parts]
+        self.starts = [np.cumsum(s) - s for s in self.sizes]
+        self.tables = [np.frombuffer(b"".join(p), dtype=np.uint8) for p in parts]
 
     def has(self, which: int, bucket: np.ndarray, low: np.ndarray) -> np.ndarray:
         found = np.ones(len(low), dtype=bool)
-        for at in _probes(low, self.sizes[which]):
-            found &= (self.tables[which][bucket, at >> 3] >> (at & 7).astype(np.uint8) & 1).astype(bool)
+        start, bits = self.starts[which][bucket], (8 * self.sizes[which][bucket]).astype(np.uint64)
+        for at in _probes(low, bits):
+            found &= (self.tables[which][start + (at >> 3)] >> (at & 7).astype(np.uint8) & 1).astype(bool)
         return found
 
 
@@ -94,13 +96,12 @@ def slices(rows: DataFrame, buckets: int, hot: Sequence[int]) -> list[dict]:
                 own = held.setdefault(bucket, ([], []))
                 for k in (0, 1):
                     own[k].append(np.frombuffer(batch.column(1 + k)[i].as_buffer(), dtype="<u4"))
-        sizes = _sizes(buckets, hot)
         while held:
             bucket, (hashes, several) = held.popitem()
             low, count = np.unique(np.concatenate(hashes), return_counts=True)
             shared = np.union1d(low[count > 1], np.concatenate(several))
             if len(shared):
-                filters = [_slice(shared, sizes[0])] + [_slice(low[count >= n], size) for n, size in zip(hot, sizes[1:], strict=True)]
+                filters = [_slice(x, buckets) for x in (shared, *[low[count >= n] for n in hot])]
                 yield pa.RecordBatch.from_arrays([pa.array([bucket], pa.int64()), pa.array([filters], pa.list_(pa.binary()))], names=["bucket", "filters"])
 
     return [r.asDict() for r in rows.repartition("bucket").mapInArrow(run, "bucket long, filters array<binary>").collect()]

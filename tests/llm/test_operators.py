@@ -13,7 +13,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from tablesift.llm import bpe, catalog, components, decontaminate, fm_index, jaccard_join, line_dedup, lm_score, packing, suffix_dedup, token_counts, topk, toxicity, two_stage, url_filter
+from tablesift.llm import bpe, catalog, common, components, decontaminate, fm_index, jaccard_join, line_dedup, lm_score, packing, suffix_dedup, token_counts, topk, toxicity, two_stage, url_filter
 from tests.compare import duck, duck_rows, spark_rows
 from tests.llm.conftest import DOCUMENTS, odd_rows, words
 
@@ -220,8 +220,8 @@ def test_components_of_odd_rows(odd, empty):
 
 
 def test_components_of_many_edits(spark, monkeypatch):
-    """Families at and around the threshold, hot shingles, several blocks."""
-    monkeypatch.setattr(jaccard_join, "BLOCK", 10)
+    """Families at and around the threshold, hot shingles, hot keys dealt over several tasks."""
+    monkeypatch.setattr(common, "KEY_ROWS", 3)
     monkeypatch.setattr(jaccard_join, "HOT", (1, 2))
     rows = []
     for family in range(4):
@@ -241,6 +241,7 @@ def test_components_of_many_edits(spark, monkeypatch):
 @pytest.mark.parametrize("small", [0, 10**6])
 def test_components_of_paths_stars_and_cycles(spark, monkeypatch, small):
     monkeypatch.setattr(components, "SMALL", small)
+    monkeypatch.setattr(common, "KEY_ROWS", 2)
     edges = [(i, i + 1) for i in range(100, 140)] + [(0, i) for i in range(1, 60)] + [(200, 201), (201, 202), (202, 200), (300, 300), (59, 400)]
     found = {r.node: r.root for r in components.components(spark.createDataFrame(edges, "a long, b long")).collect()}
     assert found == {**{i: 100 for i in range(100, 141)}, **{i: 0 for i in range(60)}, 400: 0, 200: 200, 201: 200, 202: 200}
