@@ -8,12 +8,14 @@ result names each document's component of links, so links inside a component alr
    equal sets, told apart by their size and two 64-bit hashes.
 2. A class's shared shingles stand in one global order: unshared ones before them, hot ones last. Its prefix for l
    matches has l - 1 shingles more than the plain one; linked classes share l shingles of their prefixes for l.
-3. Stars: each prefix shingle has a pivot, the first class that has it; each class is verified against the one pivot
-   with which it shares most. Families of near copies become components here, with one check for each member.
+3. Stars: each prefix shingle has a pivot, of the classes that have it the one with fewest unshared shingles; each class
+   is verified against the one pivot with which it shares most. Families of near copies become components here, with
+   one check for each member.
 4. The adaptive join runs on what is left: shingles whose classes lie in several components. Each class chooses l by
    the estimated cost of its lists and of the candidates they leave. Entries of a list meet by an equi-join that
-   forms no pair within a component, none whose sizes differ too much, and none whose places leave too few common
-   shingles (at most those before plus those after both places). Pairs with l matches are verified on whole sets.
+   passes by pairs within a component, those whose sizes differ too much, and those whose places leave too few common
+   shingles (at most those before plus those after both places). Of the others it gives a pair once, at its first
+   common shingle, and only if the prefixes share l. These are verified on whole sets.
 5. The verified links give the components.
 Joins on shingles and classes deal hot keys over several tasks (`common.salted`). Tables in the shared folder are
 deleted as soon as nothing reads them.
@@ -129,9 +131,9 @@ def _sets(texts: DataFrame, kind: str) -> DataFrame:
     return texts.mapInArrow(run, f"id {kind}, n_shingles long, cls long, check long, shared array<long>")
 
 
-def _least(n: Column | str) -> Column:
+def _least(n: Column) -> Column:
     """Shared shingles that a set of n needs with any other: PERCENT of its own."""
-    return F.ceil(F.col(n) * PERCENT / 100)
+    return F.ceil(n * PERCENT / 100)
 
 
 def _overlap(n: Column, m: Column) -> Column:
@@ -145,11 +147,11 @@ def _postings(classes: DataFrame) -> DataFrame:
     n: its shingles; m: the shared ones; at: the token's place among these; level: from how many matches on the token
     is in the prefix. Unshared shingles stand before all others.
     """
-    spare = F.col("n") - _least("n")
-    own = classes.withColumn("m", F.size("shared")).withColumn("unshared", F.col("n") - F.col("m"))
-    length = F.greatest(F.lit(0), spare + MOST_MATCHES - F.col("unshared")).cast("int")
-    rows = own.select("c", "n", "m", "unshared", F.posexplode(F.slice("shared", 1, length)).alias("at", "token"))
-    level = F.greatest(F.lit(1), F.col("unshared") + F.col("at") - spare + 1).cast("int")
+    own = classes.withColumn("m", F.size("shared"))
+    length = _prefix_length(F.col("n"), F.col("m"), F.lit(MOST_MATCHES))
+    rows = own.select("c", "n", "m", F.posexplode(F.slice("shared", 1, length)).alias("at", "token"))
+    # the prefix for l matches has the first m - least + l of the shared shingles
+    level = F.greatest(F.lit(1), F.col("at") + 1 - F.col("m") + _least(F.col("n"))).cast("int")
     return rows.select("token", "c", "n", "m", "at", level.alias("level"))
 
 
@@ -166,26 +168,37 @@ def _named(entries: DataFrame, side: str) -> DataFrame:
 
 def _star_pairs(postings: DataFrame, lists: DataFrame, rows: int) -> DataFrame:
     """(a, b): each class with the pivot that shares most of its plain prefix."""
-    pivots = postings.join(lists.select("token", F.col("pivot").alias("c")), ["token", "c"])
+    pivots = postings.join(lists.select("token", F.col("pivot.c").alias("c")), ["token", "c"])
     met = salted(_named(postings.filter("level = 1"), "x_"), _named(pivots, "y_"), ["token"], "x_c", counts=lists, rows=rows)
     pairs = met.filter((F.col("x_c") != F.col("y_c")) & _possible("x_", "y_")).groupBy("x_c", "y_c").agg(F.count("*").alias("matches"))
     best = pairs.groupBy("x_c").agg(F.max(F.struct("matches", F.negative("y_c").alias("y"))).alias("best"))
     return best.select(F.col("x_c").alias("a"), F.negative("best.y").alias("b"))
 
 
-def _adaptive_pairs(entries: DataFrame, lists: DataFrame, rows: int) -> DataFrame:
+def _prefix_length(n: Column, m: Column, matches: Column) -> Column:
+    """Shared shingles in the prefix for so many matches."""
+    return F.greatest(F.lit(0), m - _least(n) + matches).cast("int")
+
+
+def _adaptive_pairs(entries: DataFrame, lists: DataFrame, classes: DataFrame, rows: int) -> DataFrame:
     """(a, b): classes of different components that share as many prefix shingles as the larger one asks for."""
     lengths = salted(entries.select("token", "c", "n", "level"), lists.select("token", "n_list"), ["token"], "c", counts=lists, rows=rows)
     scanned = lengths.groupBy("c").agg(F.first("n").alias("n"), *[F.sum(F.when(F.col("level") <= k, F.col("n_list")).otherwise(0)).alias(f"s{k}") for k in range(1, MOST_MATCHES + 1)])
     # scanned entries, and candidates times the cost of a check
     costs = [F.struct((F.col(f"s{k}") * (1 + F.col("n") / (4.0 * k))).alias("cost"), F.lit(k).alias("k")) for k in range(1, MOST_MATCHES + 1)]
-    asked = scanned.select("c", F.array_min(F.filter(F.array(*costs), lambda x: (x["k"] == 1) | (x["k"] <= _least("n"))))["k"].alias("asked"))
-    probes = entries.join(asked, "c").filter("level <= asked")
-    met = salted(_named(probes, "x_"), _named(entries, "y_"), ["token"], "x_c", counts=lists, rows=rows)
-    larger = F.struct("x_n", "x_c") > F.struct(F.col("y_n").alias("x_n"), F.col("y_c").alias("x_c"))
-    met = met.filter((F.col("x_root") != F.col("y_root")) & larger & (F.col("y_level") <= F.col("x_asked")) & _possible("x_", "y_"))
-    pairs = met.groupBy("x_c", "y_c").agg(F.count("*").alias("matches"), F.first("x_asked").alias("asked"))
-    return pairs.filter("matches >= asked").select(F.col("x_c").alias("a"), F.col("y_c").alias("b"))
+    asked = scanned.select("c", F.array_min(F.filter(F.array(*costs), lambda x: (x["k"] == 1) | (x["k"] <= _least(F.col("n")))))["k"].alias("asked"))
+    m = F.size("shared")
+    prefixes = classes.join(asked, "c").select("c", "asked", F.slice("shared", 1, _prefix_length(F.col("n"), m, F.lit(MOST_MATCHES))).alias("prefix"))
+    ready = staged(entries.join(prefixes, "c"), "prefixes")
+    x = _named(ready.filter("level <= asked").withColumn("prefix", F.slice("prefix", 1, _prefix_length(F.col("n"), F.col("m"), F.col("asked")))), "x_")
+    met = salted(x, _named(ready.drop("asked"), "y_"), ["token"], "x_c", counts=lists, rows=rows)
+    larger = (F.col("x_n") > F.col("y_n")) | ((F.col("x_n") == F.col("y_n")) & (F.col("x_c") > F.col("y_c")))
+    able = (F.col("x_root") != F.col("y_root")) & larger & (F.col("y_level") <= F.col("x_asked")) & _possible("x_", "y_")
+    common = F.array_intersect("x_prefix", F.slice("y_prefix", 1, _prefix_length(F.col("y_n"), F.col("y_m"), F.col("x_asked"))))
+    counted = F.when(able, (F.size(common) >= F.col("x_asked")) & (F.get(common, F.lit(0)) == F.col("token"))).otherwise(False)
+    pairs = staged(met.filter(counted).select(F.col("x_c").alias("a"), F.col("y_c").alias("b")), "pairs")
+    release(ready)
+    return pairs
 
 
 def _verified(pairs: DataFrame, classes: DataFrame) -> DataFrame:
@@ -201,8 +214,8 @@ def _roots(classes: DataFrame) -> DataFrame:
     """(node, root) of the classes that have links, by stars and then by the adaptive join; classes: c, n, shared."""
     postings = staged(_postings(classes), "postings")
     rows = postings.count()
-    plain = F.when(F.col("level") == 1, F.col("c"))
-    lists = staged(postings.groupBy("token").agg(F.min(plain).alias("pivot"), F.count("*").alias("n")).filter("n > 1"), "lists")
+    fewest = F.when(F.col("level") == 1, F.struct((F.col("n") - F.col("m")).alias("unshared"), "c"))
+    lists = staged(postings.groupBy("token").agg(F.min(fewest).alias("pivot"), F.count("*").alias("n")).filter("n > 1"), "lists")
     pairs = staged(_star_pairs(postings, lists, rows), "star_pairs")
     links = staged(_verified(pairs, classes), "star_links")
     release(pairs)
@@ -214,7 +227,7 @@ def _roots(classes: DataFrame) -> DataFrame:
     several = staged(apart.groupBy("token").agg(F.min("root").alias("r"), F.max("root").alias("s"), F.count("*").alias("n")).filter("r < s").select("token", "n", F.col("n").alias("n_list")), "several")
     entries = staged(salted(apart, several.select("token"), ["token"], "c", counts=several, rows=rows), "entries")
     release(apart)
-    pairs = staged(_adaptive_pairs(entries, several, rows), "pairs")
+    pairs = _adaptive_pairs(entries, several, classes, rows)
     release(entries, several)
     more = staged(_verified(pairs, classes), "links")
     release(pairs)
