@@ -1,136 +1,142 @@
 """Deletion of repeated runs of lines by a suffix array over line-ID sequences, built by distributed prefix doubling.
 
-A line's ID is the 64-bit hash of its exact text; blank lines have none and don't count. A run of consecutive lines
+A line's ID is two 64-bit hashes of its exact text; blank lines have none and don't count. A run of consecutive lines
 is deleted from a document if it has at least `least` characters and starts at an earlier place too; places are
 ordered by document id, then line. All runs of that kind count, so whole maximal repeats go.
 
 1. Lines whose ID is unique can't repeat; they, and the ends of documents, end a segment. What is left is ranked by
    ID: a rank is the first index of the line's group in the suffix array.
-2. Doubling: the rank at depth 2k of a suffix follows from its rank and that of the suffix k lines on: it is its old
-   rank plus the number of group members with a smaller following rank. Groups are counted by (rank, following rank)
-   with map-side sums, so a hot line costs one row for each task and following rank.
+2. Doubling: the rank at depth 2k of a suffix is that of the pair of its rank and the rank k lines on. Pairs are
+   counted with map-side sums and ranked by prefix sums over sorted ranges, so a hot line is no window of its own.
+   A suffix whose pair is unique can't be part of a longer repeat and drops out.
 3. Suffixes with equal ranks at depth m form an interval of common prefix m. A run needs as many lines as reach
    `least` characters, forwards from its first or backwards from its last line; its interval is named by the two
    overlapping ranks of the largest power of two that fits. All but the interval's first place are later copies.
-Doubling ends when that power reaches the longest run needed. Everything is DataFrame operations.
-
-Cases: a null text has no lines and stays null; an empty or blank text stays as it is. Rows with a null id are kept
-whole and are no source. Rows with the same id and text are one document, and each row has its result; of other rows
-that share an id the text's hash decides the order. Blank lines within a deleted run go with it. A document whose
-lines are all deleted has the empty text. Extra columns are ignored by `repeated_runs`, kept by `remove_runs`.
+Doubling ends when that power reaches the longest run needed, or no suffix is left. Everything is DataFrame
+operations; joins on ranks deal hot ones over several tasks.
+
+Cases: a null text has no lines and stays null; an empty or blank text stays as it is. Ids of any orderable type do.
+Rows with a null id are kept whole and are no source. Rows with the same id and text are one document, and each row
+has its result; of other rows that share an id the text's hash decides the order. Blank lines within a deleted run go
+with it. A document whose lines are all deleted has the empty text. A very long text is split as a whole, in one
+task; an empty table gives no row. Extra columns are ignored by `repeated_runs`, kept by `remove_runs`, whose own
+column names are the caller's to choose: one that clashes makes a second column of that name.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tablesift.llm.common import staged, table
+from tablesift.llm.common import release, salted, staged, table
 
 #: Characters in the lines of a run that is worth deleting.
 LEAST = 200
 
 
-def _identity(id_column: str, text_column: str) -> list[Column]:
+def _identity(id_column: str, text: Column) -> list[Column]:
     """A document's key: its id and the hash of its text."""
-    return [F.col(id_column).cast("long").alias("doc"), F.xxhash64(F.col(text_column).cast("string")).alias("version")]
+    return [F.col(id_column).alias("doc"), F.xxhash64(text).alias("version")]
 
 
 def _lines(df: DataFrame, id_column: str, text_column: str) -> DataFrame:
-    """(doc, version, line, chars, id) of every line that isn't blank."""
-    split = F.split(F.col(text_column).cast("string"), "\n", -1)
-    rows = df.filter(F.col(id_column).isNotNull()).select(*_identity(id_column, text_column), F.posexplode(split).alias("line", "content"))
-    return rows.filter(F.trim("content") != "").select("doc", "version", "line", F.length("content").cast("long").alias("chars"), F.xxhash64("content").alias("id"))
-
-
-def _first_ranks(ids: DataFrame) -> DataFrame:
-    """(id, rank): the first index of each ID's group; ids has id and n. Prefix sums over ranges, written once since ranges are sampled."""
-    ranged = staged(ids.repartitionByRange("id").withColumn("range", F.spark_partition_id()), "line_ids")
+    """(doc, version, at, line, chars, id, other) of every line that isn't blank; at numbers just these."""
+    text = F.col(text_column).cast("string")
+    numbered = F.transform(F.split(text, "\n", -1), lambda content, line: F.struct(line.alias("line"), content.alias("content")))
+    filled = F.filter(numbered, lambda x: F.trim(x["content"]) != "")
+    rows = df.filter(F.col(id_column).isNotNull()).select(*_identity(id_column, text), F.posexplode(filled).alias("at", "own"))
+    content = F.col("own.content")
+    return rows.select("doc", "version", "at", "own.line", F.length(content).cast("long").alias("chars"), F.xxhash64(content).alias("id"), F.xxhash64(F.lit(6), content).alias("other"))
+
+
+def _ranked(counts: DataFrame, keys: list[str]) -> DataFrame:
+    """keys and rank, the first index of each group; counts: keys and n, a staged table. Prefix sums over ranges, written once since ranges are sampled."""
+    ranged = staged(counts.repartitionByRange(*keys).withColumn("range", F.spark_partition_id()), "ranges")
     totals = ranged.groupBy("range").agg(F.sum("n").alias("total"))
+    # a row for each range
     before = totals.select("range", (F.sum("total").over(Window.orderBy("range")) - F.col("total")).alias("before"))
-    local = F.sum("n").over(Window.partitionBy("range").orderBy("id")) - F.col("n")
-    return ranged.withColumn("local", local).join(F.broadcast(before), "range").select("id", (F.col("before") + F.col("local") + 1).alias("rank"))
+    local = F.sum("n").over(Window.partitionBy("range").orderBy(*keys)) - F.col("n")
+    ranks = staged(ranged.withColumn("local", local).join(F.broadcast(before), "range").select(*keys, (F.col("before") + F.col("local") + 1).alias("rank")), "ranks")
+    release(ranged)
+    return ranks
 
 
 def _doubled(ranks: DataFrame, depth: int) -> DataFrame:
-    """The frame with the ranks at depth 2 * depth appended; ranks: doc, version, at, ranks (array, one for each power of two)."""
-    along = Window.partitionBy("doc", "version").orderBy("at")
-    own = F.element_at("ranks", -1)
-    following = F.when(F.lead("at", depth).over(along) == F.col("at") + depth, F.lead(own, depth).over(along))
-    pairs = ranks.withColumn("own", own).withColumn("following", F.coalesce(following, F.lit(0)))
-    counts = pairs.groupBy("own", "following").agg(F.count("*").alias("n"))
-    smaller = F.sum("n").over(Window.partitionBy("own").orderBy("following")) - F.col("n")
-    renamed = counts.select("own", "following", (F.col("own") + smaller).alias("next"))
-    joined = pairs.join(renamed, ["own", "following"])
-    return staged(joined.withColumn("ranks", F.array_append("ranks", F.col("next"))).drop("own", "following", "next"), "line_ranks")
+    """(doc, version, at, rank) at depth 2 * depth, of the suffixes that repeat there; ranks: the same at `depth`."""
+    along = Window.partitionBy("doc", "version").orderBy("at").rangeBetween(depth, depth)
+    pairs = staged(ranks.select("doc", "version", "at", F.col("rank").alias("own"), F.max("rank").over(along).alias("following")).filter("following is not null"), "pairs")
+    counts = staged(pairs.groupBy("own", "following").agg(F.count("*").alias("n")).filter("n > 1"), "pair_counts")
+    renamed = _ranked(counts, ["own", "following"])
+    out = staged(salted(pairs, renamed, ["own", "following"], "doc", counts=counts, rows=pairs.count()).select("doc", "version", "at", "rank"), "line_ranks")
+    release(pairs, counts, renamed)
+    return out
 
 
 def repeated_runs(df: DataFrame, id_column: str, text_column: str, least: int = LEAST) -> DataFrame:
-    """(doc, version, first, last): lines to delete in each document; ranges are maximal and don't touch."""
+    """(doc, version, first, last): lines to delete in each document; ranges are maximal and don't touch. A staged table."""
     lines = staged(_lines(df, id_column, text_column), "lines")
-    ids = lines.groupBy("id").agg(F.count("*").alias("n")).filter("n > 1")
-    known = lines.join(_first_ranks(ids), "id").dropDuplicates(["doc", "version", "line"])
-    # `at` numbers lines that aren't blank; a gap in it ends a segment
-    numbered = lines.select("doc", "version", "line").dropDuplicates().withColumn("at", F.row_number().over(Window.partitionBy("doc", "version").orderBy("line")))
-    places = known.select("doc", "version", "line", "chars", "rank").join(numbered, ["doc", "version", "line"])
+    counts = staged(lines.groupBy("id", "other").agg(F.count("*").alias("n")).filter("n > 1"), "line_counts")
+    named = _ranked(counts, ["id", "other"])
+    repeated = salted(lines, named, ["id", "other"], "doc", counts=counts, rows=lines.count()).drop("id", "other")
+    # a gap in `at` ends a segment
     along = Window.partitionBy("doc", "version").orderBy("at")
-    segment = F.col("at") - F.row_number().over(along)
     within = Window.partitionBy("doc", "version", "segment")
-    ranks = staged(
-        places.withColumn("segment", segment)
-        .withColumn("reached", F.sum("chars").over(within.orderBy("at")))
-        .withColumn("passed", F.col("reached") - F.col("chars"))
-        .select("doc", "version", "at", "line", "chars", "segment", "reached", "passed", F.array(F.col("rank").cast("long")).alias("ranks")),
-        "line_ranks",
-    )
+    segments = repeated.dropDuplicates(["doc", "version", "at"]).withColumn("segment", F.col("at") - F.row_number().over(along))
+    places = staged(segments.withColumn("reached", F.sum("chars").over(within.orderBy("at"))).withColumn("passed", F.col("reached") - F.col("chars")), "places")
+    release(lines, counts, named)
     # the shortest runs of `least` characters from each line on, and up to each line
     onwards = within.orderBy("passed").rangeBetween(0, least - 1)
     back = within.orderBy("reached").rangeBetween(-(least - 1), 0)
-    forward = ranks.select("doc", "version", F.col("at").alias("start"), F.count("*").over(onwards).alias("size"), F.sum("chars").over(onwards).alias("sum"))
-    backward = ranks.select("doc", "version", "at", F.count("*").over(back).alias("size"), F.sum("chars").over(back).alias("sum")).select("doc", "version", (F.col("at") - F.col("size") + 1).alias("start"), "size", "sum")
-    runs = staged(forward.unionByName(backward).filter(F.col("sum") >= least).select("doc", "version", F.col("start").cast("int"), F.col("size").cast("int")).distinct(), "line_runs")
+    found = [places.select("doc", "version", *[f(c).over(w).alias(n) for f, c, n in ((F.min, "at", "start"), (F.max, "at", "stop"), (F.min, "line", "first"), (F.max, "line", "last"), (F.sum, "chars", "sum"))]) for w in (onwards, back)]
+    size = (F.col("stop") - F.col("start") + 1).alias("size")
+    runs = staged(found[0].unionByName(found[1]).filter(F.col("sum") >= least).select("doc", "version", "start", "first", "last", size).distinct(), "runs")
     longest = runs.agg(F.max("size")).first()[0] or 0
-    depth = 1
+    levels, depth = [places.select("doc", "version", "at", "rank")], 1
+    made = [places]
     while 2 * depth <= longest:
-        ranks, depth = _doubled(ranks, depth), 2 * depth
+        levels.append(_doubled(levels[-1], depth))
+        made.append(levels[-1])
+        depth *= 2
+        if levels[-1].isEmpty():
+            break
+    ranks = reduce(DataFrame.unionByName, [x.withColumn("power", F.lit(k)) for k, x in enumerate(levels)])
     power = F.floor(F.log2(F.col("size") + F.lit(0.5))).cast("int")
     sized = runs.withColumn("power", power).withColumn("second", (F.col("start") + F.col("size") - F.pow(F.lit(2), F.col("power"))).cast("int"))
-    looked = ranks.select("doc", "version", "at", "line", "ranks")
-    first = looked.select("doc", "version", F.col("at").alias("start"), F.col("line").alias("first"), F.col("ranks").alias("ranks_first"))
-    second = looked.select("doc", "version", F.col("at").alias("second"), F.col("ranks").alias("ranks_second"))
-    end = looked.select("doc", "version", F.col("at").alias("end"), F.col("line").alias("last"))
-    named = staged(
-        sized.withColumn("end", F.col("start") + F.col("size") - 1)
-        .join(first, ["doc", "version", "start"])
-        .join(second, ["doc", "version", "second"])
-        .join(end, ["doc", "version", "end"])
-        .select("doc", "version", "first", "last", "size", F.element_at("ranks_first", F.col("power") + 1).alias("a"), F.element_at("ranks_second", F.col("power") + 1).alias("b")),
-        "line_intervals",
+    keys = ["doc", "version", "power"]
+    intervals = staged(
+        sized.join(ranks.withColumnsRenamed({"at": "start", "rank": "a"}), [*keys, "start"]).join(ranks.withColumnsRenamed({"at": "second", "rank": "b"}), [*keys, "second"]).select("doc", "version", "first", "last", "size", "a", "b"),
+        "intervals",
     )
+    release(runs, *made)
     place = F.struct("doc", "version", "first")
-    origins = named.groupBy("size", "a", "b").agg(F.min(place).alias("origin"), F.count("*").alias("n")).filter("n > 1").drop("n")
-    copies = named.join(origins, ["size", "a", "b"]).filter(place > F.col("origin")).select("doc", "version", "first", "last").distinct()
+    origins = staged(intervals.groupBy("size", "a", "b").agg(F.min(place).alias("origin"), F.count("*").alias("n")).filter("n > 1"), "origins")
+    copies = salted(intervals, origins.drop("n"), ["size", "a", "b"], "doc", counts=origins.drop("origin"), rows=intervals.count()).filter(place > F.col("origin")).select("doc", "version", "first", "last").distinct()
     ordered = Window.partitionBy("doc", "version").orderBy("first", "last")
     reach = F.max("last").over(ordered.rowsBetween(Window.unboundedPreceding, -1))
     # ranges that follow each other with nothing but blank lines between are left apart; deleting both leaves those lines
     islands = copies.withColumn("new", F.when(F.col("first") <= F.coalesce(reach, F.lit(-2)) + 1, 0).otherwise(1)).withColumn("island", F.sum("new").over(ordered))
-    return islands.groupBy("doc", "version", "island").agg(F.min("first").alias("first"), F.max("last").alias("last")).drop("island")
+    out = staged(islands.groupBy("doc", "version", "island").agg(F.min("first").alias("first"), F.max("last").alias("last")).drop("island"), "line_runs")
+    release(intervals, origins)
+    return out
 
 
 def remove_runs(df: DataFrame, id_column: str, text_column: str, least: int = LEAST, names: tuple[str, str, str] = ("__lines", "__removed", "__runs")) -> DataFrame:
     """The rows with text_column replaced by what is kept, and three columns of the given names: lines, lines removed, runs removed."""
     columns = df.columns
     ranges = repeated_runs(df, id_column, text_column, least).groupBy("doc", "version").agg(F.sort_array(F.collect_list(F.struct("first", "last"))).alias("ranges"))
-    keyed = df.select(F.struct(*[F.col(c) for c in columns]).alias("own"), *_identity(id_column, text_column), F.col(text_column).cast("string").alias("content"))
-    joined = keyed.join(ranges, ["doc", "version"], "left").withColumn("lines", F.split("content", "\n", -1))
+    keyed = df.select(F.struct(*[F.col(c) for c in columns]).alias("own"), *_identity(id_column, F.col(text_column).cast("string")))
+    joined = keyed.join(ranges, ["doc", "version"], "left").withColumn("content", F.col("own")[text_column].cast("string")).withColumn("lines", F.split("content", "\n", -1))
+    split = F.col("lines")
     starts = F.concat(F.array(F.lit(0)), F.transform("ranges", lambda r: r["last"] + 1))
-    stops = F.concat(F.transform("ranges", lambda r: r["first"]), F.array(F.size("lines")))
-    kept = F.flatten(F.transform(F.arrays_zip(starts.alias("a"), stops.alias("b")), lambda p: F.slice(F.col("lines"), p["a"] + 1, p["b"] - p["a"])))
+    stops = F.concat(F.transform("ranges", lambda r: r["first"]), F.array(F.size(split)))
+    kept = F.flatten(F.transform(F.arrays_zip(starts.alias("a"), stops.alias("b")), lambda p: F.slice(split, p["a"] + 1, p["b"] - p["a"])))
     removed = F.aggregate("ranges", F.lit(0).cast("long"), lambda n, r: n + r["last"] - r["first"] + 1)
     text = F.when(F.col("ranges").isNull(), F.col("content")).otherwise(F.array_join(kept, "\n"))
     return joined.select(
         *[(text if c == text_column else F.col("own")[c]).alias(c) for c in columns],
-        F.coalesce(F.size("lines"), F.lit(0)).cast("long").alias(names[0]),
+        F.coalesce(F.size(split), F.lit(0)).cast("long").alias(names[0]),
         F.coalesce(removed, F.lit(0)).cast("long").alias(names[1]),
         F.coalesce(F.size("ranges"), F.lit(0)).cast("long").alias(names[2]),
     )
