@@ -2,13 +2,17 @@
 
 Features: the words of a text (A-Z lower-cased; letters, digits and bytes from 0x80) and their stems, pairs of
 neighbours and pairs with one word between, hashed to 2 ** BITS slots; each counts once. Training visits a bounded sample of labelled
-documents (`most_positive` and `most_negative`, the smallest hashes of their ids) with per-coordinate learning rates;
-the L1 term leaves few weights, which are broadcast. The intercept is moved from the sample's share of positives to
-that of all labelled training rows. Labels, language, source and id are never inputs of a score.
-
-Cases: a null or empty text has no features and gets the intercept's score. Label rows with a null id or label are
-left out; an id with any label 1 counts as toxic; documents whose id repeats are each a sample. Without labels of
-both kinds the score is the share of positives (0 without labels).
+documents (`most_positive` and `most_negative`, the smallest hashes of their ids) with per-coordinate learning rates.
+Their features are written to the shared folder and stream through one task, EPOCHS times in different orders, sorted
+by Spark; the task holds the model and a batch. The L1 term leaves few weights, which are broadcast. The intercept is
+moved from the sample's share of positives to that of all labelled training rows. Labels, language, source and id are
+never inputs of a score.
+
+Cases: a null or empty text has no features and gets the intercept's score. A text of any length counts whole; one
+longer than a chunk is a chunk of its own. Label rows with a null id or label are left out; an id with any label 1
+counts as toxic; documents whose id repeats are each a sample. Without labels of both kinds, or documents that have
+them, the score is the share of positives (0 without labels). An empty table of documents gives no row. Extra columns
+are kept by `score`; one named like the score (in any case of letters) is replaced.
 """
 
 from __future__ import annotations
@@ -23,7 +27,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tablesift.llm.common import chunks, crc_mod, fresh, held, held_latest, ship, table
+from tablesift.llm.common import chunks, crc_mod, fresh, held, held_latest, release, ship, staged, table
 from tablesift.llm.decontaminate import WORD_BYTES
 
 BITS = 20
@@ -133,26 +137,34 @@ def train(df: DataFrame, labels: DataFrame, id_column: str, text_column: str, la
                 own = [kept[a:b].tobytes() for a, b in zip([0, *ends[:-1].tolist()], ends.tolist(), strict=True)]
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(start, len(texts)), batch.column(1).slice(start, len(texts)), pa.array(own, pa.binary())], names=["h", "label", "slots"])
 
-    found = sample.select("h", "label", "text").mapInArrow(run, "h long, label int, slots binary").toArrow().sort_by([("h", "ascending"), ("slots", "ascending")])
-    y, slots = found.column("label").to_pylist(), found.column("slots").combine_chunks()
-    del found
-    model = FTRL(1 << BITS)
-    rng = np.random.default_rng(10)
-    for _ in range(EPOCHS):
-        for i in rng.permutation(len(y)).tolist():
-            model.learn(np.frombuffer(slots[i].as_buffer(), dtype="<u4").astype(np.int64), y[i])
-    if not 0 < sum(y) < len(y):
-        return *none, 40.0 if sum(y) else -40.0
-    w = model.weights(slice(0, -1))
-    at = np.flatnonzero(w)
-    shift = math.log(positive / negative) - math.log(sum(y) / (len(y) - sum(y)))
-    return at, w[at], model.intercept() + shift
+    features_of = staged(sample.select("h", "label", "text").mapInArrow(run, "h long, label int, slots binary"), "features")
+    met = {r["label"]: r["n"] for r in features_of.groupBy("label").agg(F.count("*").alias("n")).collect()}
+    if len(met) < 2:
+        release(features_of)
+        return *none, 40.0 if 1 in met else -40.0
+
+    def learn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        model = FTRL(1 << BITS)
+        for batch in batches:
+            labels, slots = batch.column(0).to_pylist(), batch.column(1)
+            for i, label in enumerate(labels):
+                model.learn(np.frombuffer(slots[i].as_buffer(), dtype="<u4").astype(np.int64), label)
+        w = model.weights(slice(0, -1))
+        at = np.flatnonzero(w)
+        yield pa.RecordBatch.from_arrays([pa.array([at.astype("<i8").tobytes()]), pa.array([w[at].astype("<f8").tobytes()]), pa.array([model.intercept()])], names=["at", "weights", "intercept"])
+
+    visits = features_of.withColumn("epoch", F.explode(F.sequence(F.lit(1), F.lit(EPOCHS))))
+    ordered = visits.repartition(1).sortWithinPartitions("epoch", F.xxhash64("epoch", "h"), "h", "slots").select("label", "slots")
+    found = ordered.mapInArrow(learn, "at binary, weights binary, intercept double").first()
+    release(features_of)
+    shift = math.log(positive / negative) - math.log(met[1] / met[0])
+    return np.frombuffer(found["at"], dtype="<i8"), np.frombuffer(found["weights"], dtype="<f8"), found["intercept"] + shift
 
 
 def score(df: DataFrame, text_column: str, weights: tuple[np.ndarray, np.ndarray, float], name: str = "score") -> DataFrame:
     """The frame with the probability of label 1 as a further column; an own column of that name is replaced."""
     ship(df.sparkSession)
-    df = df.drop(name)
+    df = df.select(*[F.col(c) for c in df.columns if c.lower() != name.lower()])
     at, values, intercept = weights
     shared, key = df.sparkSession.sparkContext.broadcast((at, values.astype(np.float32))), uuid.uuid4().hex
     columns = df.columns

@@ -527,6 +527,52 @@ def test_toxic_words_are_learned(spark):
     assert got[9001] == got[9002] < 0.5 and 0 <= min(got.values()) and max(got.values()) <= 1
 
 
+def test_ftrl_is_the_plain_one():
+    """Against the published update, coordinate by coordinate."""
+    rng = np.random.default_rng(3)
+    rows = [(np.unique(rng.integers(0, 40, rng.integers(0, 12))), int(rng.integers(0, 2))) for _ in range(300)]
+    model, z, n = toxicity.FTRL(40), defaultdict(float), defaultdict(float)
+
+    def weight(i):
+        l1, l2 = (0.0, 0.0) if i == "b" else (toxicity.L1, toxicity.L2)
+        if abs(z[i]) <= l1:
+            return 0.0
+        return -(z[i] - math.copysign(l1, z[i])) / ((toxicity.BETA + math.sqrt(n[i])) / toxicity.ALPHA + l2)
+
+    for slots, y in rows:
+        model.learn(slots, y)
+        at = [*slots.tolist(), "b"]
+        w = {i: weight(i) for i in at}
+        g = 1 / (1 + math.exp(-sum(w.values()))) - y
+        for i in at:
+            z[i] += g - (math.sqrt(n[i] + g * g) - math.sqrt(n[i])) / toxicity.ALPHA * w[i]
+            n[i] += g * g
+    assert np.allclose(model.weights(slice(0, -1)), [weight(i) for i in range(40)])
+    assert math.isclose(model.intercept(), weight("b"))
+    assert any(weight(i) for i in range(40))
+
+
+def test_training_and_scores_equal_a_plain_run(spark):
+    """All of op10's way on a small table: sample, order of visits, weights and scores."""
+    rows = [(i, words(i, 25) + (" vileword" if i % 3 == 0 else "")) for i in range(150)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    labels = spark.createDataFrame([(i, int(i % 3 == 0)) for i in range(150)], "doc_id long, toxic int")
+    at, weights, intercept = toxicity.train(df, labels, "doc_id", "text", "toxic")
+    learned = [(i, t) for i, t in rows if zlib.crc32(str(i).encode()) % 3 != 1]
+    hashes = {(r.e, r.doc_id): (r.o, r.h) for r in df.select("doc_id", F.xxhash64(F.lit(10), "doc_id").alias("h"), F.explode(F.sequence(F.lit(1), F.lit(toxicity.EPOCHS))).alias("e")).withColumn("o", F.xxhash64("e", "h")).collect()}
+    slots = {i: np.unique(toxicity.features([t])[1]) for i, t in rows}
+    model = toxicity.FTRL(1 << toxicity.BITS)
+    for epoch in range(1, toxicity.EPOCHS + 1):
+        for i, _ in sorted(learned, key=lambda r: hashes[epoch, r[0]]):
+            model.learn(slots[i], int(i % 3 == 0))
+    w = model.weights(slice(0, -1))
+    assert at.tolist() == np.flatnonzero(w).tolist() and np.allclose(weights, w[at])
+    assert math.isclose(intercept, model.intercept())
+    got = {r.doc_id: r.score for r in toxicity.score(df, "text", (at, weights, intercept)).collect()}
+    for i, _ in rows:
+        assert math.isclose(got[i], 1 / (1 + math.exp(-(w[slots[i]].sum() + intercept))), rel_tol=1e-4)
+
+
 def test_labels_of_one_kind_or_none(odd, empty, spark):
     for rows, expected in (([], 0.0), ([(1, 0), (2, 0)], 0.0), ([(i, 1) for i in range(1, 16)], 1.0)):
         labels = spark.createDataFrame(rows, "doc_id long, toxic int")
