@@ -4,12 +4,15 @@ A shard is what one task holds at a time (about `shard_bytes` of texts). Its wor
 benchmark; a word outside that vocabulary can't be part of a phrase and ends a run, and runs shorter than the
 shortest phrase are left out, so the index holds just the text that phrases can match. The phrases (all windows of
 the benchmark items) are searched backwards through wavelet ranks, occurrences are located by sampled suffix
-positions, and their word ranges merge into removal spans. The benchmark is collected and broadcast in blocks of
-bounded size; a task searches its shard for one block after the other. Documents are never shuffled.
-
-Cases: a null text has no words, spans or items. Items with a null id or text, or no words, give no phrase. An item
-id that repeats stands for all its texts. Repeated documents each get their own row. An empty benchmark leaves all
-documents clean. Extra columns are ignored by `find_contamination` and kept by `remove_contamination`.
+positions, and their word ranges merge into removal spans. The benchmark streams through the driver once and is
+broadcast in blocks of bounded size; a task searches its shard for one block after the other and keeps the phrases of
+the latest only. Documents are never shuffled.
+
+Cases: a null text has no words, spans or items. A text longer than a shard is a shard of its own. Items with a null
+id or text, or no words, give no phrase. An item id that repeats stands for all its texts. Repeated documents each get
+their own row, ids of any type and null ids stay as they are. An empty benchmark leaves all documents clean, an empty
+table gives no row. Extra columns are ignored by `find_contamination` (with keep they stand before its own, and one
+that has the name of these makes a second column of it) and kept by `remove_contamination`, whatever their names.
 """
 
 from __future__ import annotations
@@ -106,20 +109,27 @@ class Phrases:
 
 def _phrases(key: str, block: int, shared, window: int) -> Phrases:
     """The phrases of one block; a worker keeps the latest only."""
-    return held_latest("decontaminate", f"block/{key}/{block}", lambda: Phrases(shared.value, window))
+
+    def build() -> Phrases:
+        phrases = Phrases(shared.value, window)
+        shared.__dict__.pop("_value", None)  # the list itself is read again from the worker's disk when wanted
+        return phrases
+
+    return held_latest("decontaminate", f"block/{key}/{block}", build)
 
 
 def _benchmark_blocks(benchmark: DataFrame, id_column: str, text_column: str) -> list:
-    """Broadcasts of at most about BLOCK_BYTES each."""
+    """Broadcasts of at most about BLOCK_BYTES each, or of one longer item; an item's texts may lie in several."""
     context = benchmark.sparkSession.sparkContext
     items = benchmark.select(F.col(id_column).cast("string").alias("item"), F.col(text_column).cast("string").alias("text")).dropna()
-    size = items.agg(F.sum(F.octet_length("text")).alias("n")).first()["n"] or 0
-    count = -(-size // BLOCK_BYTES)
-    out = []
-    for block in range(count):
-        part = items if count == 1 else items.filter(F.pmod(F.xxhash64("item", "text"), F.lit(count)) == block)
-        out.append(context.broadcast([(r["item"], r["text"]) for r in part.collect()]))
-    return out
+    out, block, size = [], [], 0
+    for r in items.toLocalIterator():
+        block.append((r["item"], r["text"]))
+        size += len(r["text"])
+        if size >= BLOCK_BYTES:
+            out.append(context.broadcast(block))
+            block, size = [], 0
+    return [*out, context.broadcast(block)] if block else out
 
 
 def find_contamination(df: DataFrame, id_column: str, text_column: str, benchmark: DataFrame, item_column: str, item_text: str, window: int = WINDOW, keep: bool = False) -> DataFrame:
