@@ -91,7 +91,9 @@ class BpeTokenizer:
         return array(self.wide, ids).tobytes()
 
     def pieces(self, text: str) -> list[str]:
-        """The pre-tokens, each encoded on its own by BPE; a special string is a piece."""
+        """The pre-tokens, each encoded on its own by BPE; a special string is a piece. Of a file that isn't proven, the whole text."""
+        if self._fast is None:
+            return [text] if text else []
         if self._cut is not None and any(s in text for s in self.special):
             out: list[str] = []
             for part in self._cut.split(text):

@@ -7,13 +7,14 @@ encoded in batches and kept in a bounded cache of the Python worker. Both tiers
 exact whatever they hold.
 
 Cases: a null text counts as empty (0 bytes, 0 tokens, not over the limit). Rows that repeat, or have a null id,
-each give a row. Extra columns are ignored.
+each give a row; ids of any type do. A text of any length counts whole; one longer than a chunk is a chunk of its own.
+An empty table gives no row. Extra columns, whatever their names, are ignored.
 """
 
 from __future__ import annotations
 
 import uuid
-from collections import Counter
+from collections import ChainMap, Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -26,6 +27,8 @@ from tablesift.llm.common import chunks, held_latest, ship, staged, table
 
 FREQUENT = 1 << 17
 CACHE = 400_000
+#: Longer pieces are encoded each time they come, so that tiers and caches are bounded in bytes too.
+LONGEST = 64
 
 
 def _pruned(counts: Counter, most: int) -> Counter:
@@ -46,7 +49,7 @@ def frequent_pieces(texts: DataFrame, tokenizer_path: str, most: int = FREQUENT)
             for _, part in chunks(batch, "text"):
                 for text in part:
                     if text:
-                        counts.update(tokenizer.pieces(text))
+                        counts.update(p for p in tokenizer.pieces(text) if len(p) <= LONGEST)
                 if len(counts) > 4 * most:
                     counts = _pruned(counts, most)
         counts = _pruned(counts, most)
@@ -73,8 +76,9 @@ class TwoTier:
             self.table = dict(self.first)
         known = self.table
         misses = list({p for pieces in split for p in pieces if p not in known})
-        known.update(zip(misses, self.tokenizer.lengths(misses), strict=True))
-        get = known.__getitem__
+        found = list(zip(misses, self.tokenizer.lengths(misses), strict=True))
+        known.update((p, n) for p, n in found if len(p) <= LONGEST)
+        get = ChainMap(known, {p: n for p, n in found if len(p) > LONGEST}).__getitem__ if any(len(p) > LONGEST for p in misses) else known.__getitem__
         return [sum(map(get, pieces)) for pieces in split]
 
 
