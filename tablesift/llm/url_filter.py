@@ -4,17 +4,22 @@ Rules (host, path prefix, verdict) are laid out once as a sorted array of 64-bit
 strings behind it. The index files go to every executor with addFile; each Python worker memory-maps them, so all
 workers of a host share one copy of the pages. A url probes the digests of its host suffixes joined with its path
 prefixes of the lengths that occur among the rules, by vectorised binary search; every digest hit is confirmed on
-the stored string, so a collision never decides.
+the stored string, so a collision never decides. Suffixes longer than the longest host of a rule can't fit, so only the
+end of a host and the start of a path reach Python.
 
 Cases: a null url or one without "://" has empty host and path and meets no rule; a path is compared from its
 first character; of several fitting rules the longest host + path wins, of equal ones the longest host; rules that
-repeat must agree. The verdict without a rule is `default` (allow). Repeated rows give repeated results.
+repeat must agree. The verdict without a rule is `default` (allow). Repeated rows give repeated results, ids of any
+type and null ids stay as they are. A very long url costs no more than the longest rule; an empty table gives no
+row, no rules give the default. Extra columns, whatever their names, are ignored.
 """
 
 from __future__ import annotations
 
+import atexit
 import mmap
 import os
+import shutil
 import tempfile
 import uuid
 from collections.abc import Iterator, Sequence
@@ -38,7 +43,7 @@ RULES = (
 
 
 def build_index(rules: Sequence[tuple[str, str, str]]) -> dict[str, bytes]:
-    """The index files by name: keys (sorted uint64), offsets into strings, host lengths, verdicts, path lengths in use."""
+    """The index files by name: keys (sorted uint64), offsets into strings, verdicts, the longest host, path lengths in use."""
     seen: dict[tuple[str, str], str] = {}
     for host, path, verdict in rules:
         if seen.setdefault((host.lower(), path), verdict) != verdict:
@@ -51,6 +56,7 @@ def build_index(rules: Sequence[tuple[str, str, str]]) -> dict[str, bytes]:
         "offsets": offsets.astype("<i8").tobytes(),
         "strings": b"".join(strings),
         "verdicts": np.array([r[3] == "block" for r in rows], dtype=np.uint8).tobytes(),
+        "longest": np.array([max((len(h) for _, h, _, _ in rows), default=0)], dtype="<i8").tobytes(),
         "lengths": np.unique(np.array([len(r[2]) for r in rows], dtype="<i8")).tobytes(),
     }
 
@@ -63,6 +69,7 @@ class DigestIndex:
         self.offsets = self._mapped(files["offsets"], "<i8")
         self.strings = self._mapped(files["strings"], "u1")
         self.verdicts = self._mapped(files["verdicts"], "u1")
+        self.longest = int(self._mapped(files["longest"], "<i8")[0])
         self.lengths = [int(x) for x in self._mapped(files["lengths"], "<i8")]
 
     @staticmethod
@@ -83,16 +90,14 @@ class DigestIndex:
             if not host:
                 continue
             prefixes = [path[:n] for n in self.lengths if n <= len(path)]
-            at = 0
-            while True:
+            # suffixes after a dot, or the whole host, that are no longer than a rule's host
+            at = 0 if len(host) <= self.longest else host.find(".", len(host) - self.longest - 1) + 1 or len(host)
+            while at < len(host):
                 suffix = host[at:]
                 for prefix in prefixes:
                     probes.append(f"{suffix}\n{prefix}".encode())
                     owner.append(row)
-                dot = host.find(".", at)
-                if dot < 0:
-                    break
-                at = dot + 1
+                at = host.find(".", at) + 1 or len(host)
         found: list[tuple[int, int, int] | None] = [None] * len(hosts)
         if probes and len(self.keys):
             digests = np.fromiter(map(xxhash.xxh64_intdigest, probes), dtype=np.uint64, count=len(probes))
@@ -121,8 +126,11 @@ def filter_urls(df: DataFrame, id_column: str, url_column: str, rules: Sequence[
     ship(spark)
     folder = os.path.realpath(tempfile.mkdtemp(prefix="tablesift_rules_"))
     tag = uuid.uuid4().hex[:12]
+    atexit.register(shutil.rmtree, folder, ignore_errors=True)
     names = {}
-    for kind, content in build_index(rules).items():
+    index = build_index(rules)
+    nearest, farthest = int(np.frombuffer(index["longest"], "<i8")[0]) + 1, max(np.frombuffer(index["lengths"], "<i8"), default=0)
+    for kind, content in index.items():
         names[kind] = f"url_rules_{tag}.{kind}"
         with open(os.path.join(folder, names[kind]), "wb") as f:
             f.write(content)
@@ -136,12 +144,13 @@ def filter_urls(df: DataFrame, id_column: str, url_column: str, rules: Sequence[
             F.translate(F.regexp_extract("rest", "^[^/?#]*", 0), "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz").alias("host"),
             F.regexp_extract("rest", "(?s)^[^/?#]*([^?#]*)", 1).alias("path"),
         )
+        .select("*", F.when(F.length("host") > nearest, F.substring("host", -nearest, nearest)).otherwise(F.col("host")).alias("near"), F.substring("path", 1, int(farthest)).alias("head"))
     )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         index = _opened(names)
         for batch in batches:
-            hosts, paths = batch.column(1).to_pylist(), batch.column(2).to_pylist()
+            hosts, paths = batch.column(3).to_pylist(), batch.column(4).to_pylist()
             won = index.match(hosts, paths)
             rule = pa.array([w and w[0] for w in won], pa.string())
             verdict = pa.array([default if w is None else "block" if w[1] else "allow" for w in won], pa.string())
