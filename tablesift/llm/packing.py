@@ -8,8 +8,10 @@ So the queues are prefix sums (carried from partition to partition by per-partit
 whole source. Windows follow each other in one stream of tokens, cut into sequences; only the last one needs padding.
 
 Cases: a null text is empty and still has its end token; a null source is a queue of its own; repeated rows and ids
-are packed as rows of their own; an empty table gives no piece. Sources that a given mixture doesn't name, or gives a
-share of 0, get the smallest quantum. Extra columns are ignored.
+(of any type, null too) are packed as rows of their own; a text of any length is one document, cut by sequences; an
+empty table gives no piece. Sources that a given mixture doesn't name, or gives a share of 0, are spread evenly over
+the windows that the others need. Without a mixture each source's target is its own share of all tokens. Extra columns,
+whatever their names, are ignored.
 """
 
 from __future__ import annotations
@@ -33,6 +35,8 @@ WINDOW = 32 * LENGTH
 END_ID = 1
 #: Windows that share one partial sum; keeps the last prefix sum to one row per 4096 windows.
 _GROUP = 4096
+#: Documents of a queue and file split that share one partial sum.
+_BLOCK = 512
 
 
 def tokenized(df: DataFrame, id_column: str, text_column: str, source_column: str, tokenizer_path: str, end_id: int = END_ID) -> DataFrame:
@@ -64,7 +68,10 @@ def round_robin(lengths: DataFrame, window: int = WINDOW, mixture: Mapping[str,
 
     lengths: part, idx, queue, n_tokens. mixture: target share of each source; without one, its share of all tokens.
     """
-    per_part = lengths.groupBy("queue", "part").agg(F.sum("n_tokens").alias("tokens"))
+    blocks = lengths.withColumn("block", F.expr(f"idx div {_BLOCK}"))
+    per_block = blocks.groupBy("queue", "part", "block").agg(F.sum("n_tokens").alias("tokens"))
+    in_part = per_block.select("queue", "part", "block", (F.sum("tokens").over(Window.partitionBy("queue", "part").orderBy("block")) - F.col("tokens")).alias("passed"))
+    per_part = per_block.groupBy("queue", "part").agg(F.sum("tokens").alias("tokens"))
     carried = per_part.withColumn("before", F.sum("tokens").over(Window.partitionBy("queue").orderBy("part")) - F.col("tokens"))
     totals = per_part.groupBy("queue").agg(F.sum("tokens").alias("queue_tokens"))
     everything = totals.agg(F.sum("queue_tokens").alias("n")).first()["n"] or 1
@@ -75,14 +82,19 @@ def round_robin(lengths: DataFrame, window: int = WINDOW, mixture: Mapping[str,
         quantum = F.lit(0.0)
         for source, share in sorted(mixture.items()):
             quantum = F.when(F.col("queue") == f"={source}", F.lit(window * share / whole)).otherwise(quantum)
-    quanta = totals.select("queue", F.greatest(quantum, F.lit(1.0)).alias("quantum"))
-    local = Window.partitionBy("queue", "part").orderBy("idx")
+    wanted = totals.withColumn("quantum", quantum)
+    needed = wanted.agg(F.max(F.when(F.col("quantum") > 0, F.ceil(F.col("queue_tokens") / F.col("quantum")))).alias("n")).first()["n"]
+    windows = int(needed or max(1, everything // window))
+    quanta = wanted.select("queue", F.when(F.col("quantum") > 0, F.col("quantum")).otherwise(F.col("queue_tokens") / F.lit(float(windows))).alias("quantum"))
+    local = Window.partitionBy("queue", "part", "block").orderBy("idx")
     placed = (
-        lengths.withColumn("so_far", F.sum("n_tokens").over(local))
+        blocks.withColumn("so_far", F.sum("n_tokens").over(local))
+        .join(in_part, ["queue", "part", "block"])
         .join(carried.select("queue", "part", "before"), ["queue", "part"])
         .join(quanta, "queue")
-        .withColumn("window", (F.ceil((F.col("before") + F.col("so_far")) / F.col("quantum")) - 1).cast("long"))
+        .withColumn("window", (F.ceil((F.col("before") + F.col("passed") + F.col("so_far")) / F.col("quantum")) - 1).cast("long"))
         .withColumn("group", F.expr(f"window div {_GROUP}"))
+        .drop("block")
     )
     per_window = placed.groupBy("group", "window").agg(F.sum("n_tokens").alias("tokens"))
     per_group = per_window.groupBy("group").agg(F.sum("tokens").alias("tokens"))
