@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from tablesift.session import ship, table
 
-__all__ = ["ship", "table", "shared_folder", "staged", "release", "scratch", "release_paths", "salted", "chunks", "fresh", "held", "held_latest", "crc_mod"]
+__all__ = ["ship", "table", "shared_folder", "staged", "release", "scratch", "release_paths", "salted", "chunks", "integer_id", "fresh", "held", "held_latest", "crc_mod"]
 
 T = TypeVar("T")
 
@@ -152,6 +152,12 @@ def fresh(columns: list[str], name: str) -> str:
     return name
 
 
+def integer_id(df: DataFrame, column: str) -> None:
+    """Ids that travel as 64-bit integers must be such; others are a TypeError instead of a failing task."""
+    if df.schema[column].dataType.typeName() not in ("byte", "short", "integer", "long"):
+        raise TypeError(f"{column} is {df.schema[column].dataType.simpleString()}; this operator needs an integer id")
+
+
 def crc_mod(column: str, mod: int) -> Column:
     """crc32 of an id written as text, modulo `mod`; a null id counts as the empty text."""
     return F.pmod(F.crc32(F.coalesce(F.col(column).cast("string"), F.lit("")).cast("binary")), F.lit(mod))

@@ -14,8 +14,9 @@ equal strings have the same anchor at the same offset. Strings are therefore dea
 The hashes only choose what is sorted together; what is removed is decided on bytes.
 
 Cases: a null text is empty; rows with a null id are kept whole and are no source; rows that share an id don't
-remove each other's text, and rows that also share the text have the same result. Bytes are UTF-8, cut without
-regard to characters. Extra columns are ignored.
+remove each other's text, and rows that also share the text have the same result. Ids are integers; any other type
+is a TypeError. Bytes are UTF-8, cut without regard to characters. A text of any length is read in overlapping pieces;
+texts shorter than LENGTH lose nothing; an empty table gives no row. Extra columns, whatever their names, are ignored.
 """
 
 from __future__ import annotations
@@ -29,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tablesift.llm.common import chunks, held_latest, ship, table
+from tablesift.llm.common import chunks, held_latest, integer_id, ship, table
 from tablesift.llm.shared_hashes import LISTED, Filters, bucket_count, bucket_of, listed, low_bits, slices
 from tablesift.llm.two_stage import Strings
 
@@ -43,6 +44,8 @@ BLOCK = 1 << 18
 HOT = (24,)
 #: Stretches sorted in one shard; one hash is never split between shards.
 SHARD = 4096
+#: Hot stretches that a task remembers to have sent.
+_SENT = 100_000
 
 _P, _Q = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
 _BYTE = (np.arange(1, 257, dtype=np.uint64) * _P) ^ ((np.arange(1, 257, dtype=np.uint64) * _Q) >> np.uint64(23))
@@ -160,6 +163,7 @@ def _stretches(texts: DataFrame, buckets: int, shared, key: str) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         filters = held_latest("suffix_dedup", f"filters/{key}", lambda: Filters(buckets, HOT, shared.value))
         number = 0
+        sent_before: dict[bytes, int] = {}
         for ids, checks, offsets, pieces in _chunks(batches):
             number += 1
             anchors = Anchors(pieces)
@@ -172,6 +176,7 @@ def _stretches(texts: DataFrame, buckets: int, shared, key: str) -> DataFrame:
             bucket, low = bucket[kept], low[kept]
             first, last, at, row, h = anchors.first[kept], anchors.last[kept], anchors.at[kept], anchors.row[kept], anchors.hash[kept]
             hot = filters.has(1, bucket, low)
+            is_hot = hot
             if hot.any():
                 # strings with 15 bytes or more left of the anchor are dealt by those, the others by 15 bytes right of it
                 by_left, by_right = hot & (first <= at - _HALF), hot & (last > at - _HALF)
@@ -179,14 +184,14 @@ def _stretches(texts: DataFrame, buckets: int, shared, key: str) -> DataFrame:
                 order = np.concatenate([np.flatnonzero(~hot), np.flatnonzero(by_left), np.flatnonzero(by_right)])
                 first = np.where(side == 2, np.maximum(first[order], at[order] - _HALF + 1), first[order])
                 last = np.where(side == 1, np.minimum(last[order], at[order] - _HALF), last[order])
-                at, row, h = at[order], row[order], h[order].copy()
+                at, row, h, is_hot = at[order], row[order], h[order].copy(), hot[order]
                 for s, offset in ((1, -_HALF), (2, GRAM)):
                     mine = np.flatnonzero(side == s)
                     for k in range(_HALF):
                         h[mine] = (h[mine] ^ _BYTE[anchors.data[at[mine] + offset + k]]) * _Q + np.uint64(s)
                     h[mine] ^= h[mine] >> np.uint64(29)
                 order = np.lexsort((first, row))
-                first, last, row, h = first[order], last[order], row[order], h[order]
+                first, last, row, h, is_hot = first[order], last[order], row[order], h[order], is_hot[order]
                 bucket, low = bucket_of(h * _P, buckets), low_bits(h)
             size = last - first + LENGTH
             doc = ids[row]
@@ -195,8 +200,19 @@ def _stretches(texts: DataFrame, buckets: int, shared, key: str) -> DataFrame:
             strings = [blob[a : a + n] for a, n in zip(first.tolist(), size.tolist(), strict=True)]
             numbers: dict[bytes, int] = {}
             name = np.fromiter((numbers.setdefault(s, len(numbers)) for s in strings), dtype=np.int64, count=len(strings))
+            strings_of = list(numbers)
             smallest = np.full(len(numbers), np.iinfo(np.int64).max)
             np.minimum.at(smallest, name, doc)
+            # a hot stretch that this task has sent for a smaller document needn't travel again
+            for i in np.unique(name[is_hot]).tolist() if is_hot.any() else ():
+                text = strings_of[i]
+                before = sent_before.get(text)
+                if before is None or smallest[i] < before:
+                    if len(sent_before) >= _SENT:
+                        sent_before.clear()
+                    sent_before[text] = int(smallest[i])
+                else:
+                    smallest[i] = before
             copy = doc > smallest[name]
             place = first - anchors.begins[row] + offsets[row]
             rows: list[tuple[int, int, bytes]] = []
@@ -210,7 +226,7 @@ def _stretches(texts: DataFrame, buckets: int, shared, key: str) -> DataFrame:
             for a, e in zip(cut.tolist(), [*cut[1:].tolist(), len(own)], strict=False):
                 part = sent[a:e]
                 head = np.array([len(part)], dtype="<i8").tobytes()
-                fixed = [doc[part].astype("<i8"), checks[row[part]].astype("<u4"), place[part].astype("<i8"), low[part].astype("<u4"), size[part].astype("u1")]
+                fixed = [doc[part].astype("<i8"), checks[row[part]].astype("<i8"), place[part].astype("<u4"), low[part].astype("<u4"), size[part].astype("u1")]
                 rows.append((int(own[a]), 0, head + b"".join(x.tobytes() for x in fixed) + b"".join([strings[i] for i in part.tolist()])))
             yield pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.int64()), pa.array([r[1] for r in rows], pa.int32()), pa.array([r[2] for r in rows], pa.binary())], names=["bucket", "kind", "content"])
 
@@ -220,7 +236,7 @@ def _stretches(texts: DataFrame, buckets: int, shared, key: str) -> DataFrame:
 def _unpacked(content: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, list[bytes]]:
     n = int(np.frombuffer(content, dtype="<i8", count=1)[0])
     at, out = 8, []
-    for kind, width in (("<i8", 8), ("<u4", 4), ("<i8", 8), ("<u4", 4), ("u1", 1)):
+    for kind, width in (("<i8", 8), ("<i8", 8), ("<u4", 4), ("<u4", 4), ("u1", 1)):
         out.append(np.frombuffer(content, dtype=kind, count=n, offset=at))
         at += width * n
     sizes = out.pop()
@@ -259,45 +275,52 @@ def _removed(stretches: DataFrame) -> DataFrame:
     def out(doc: np.ndarray, check: np.ndarray, start: np.ndarray, stop: np.ndarray) -> pa.RecordBatch:
         return pa.RecordBatch.from_arrays([pa.array(x.astype(np.int64)) for x in (doc, check, start, stop)], names=[n for n, _ in _SPAN])
 
+    def solved(parts: list) -> Iterator[pa.RecordBatch]:
+        doc, check, place, low = (np.concatenate([p[i] for p in parts]).astype(np.int64) for i in range(4))
+        strings = [s for p in parts for s in p[4]]
+        order = np.argsort(low, kind="stable")
+        low = low[order]
+        groups = np.flatnonzero(np.concatenate([[True], low[1:] != low[:-1]]))
+        begin = 0
+        for end in [*groups[1:].tolist(), len(low)]:
+            # whole groups up to the shard's size
+            following = groups[min(np.searchsorted(groups, end, side="right"), len(groups) - 1)]
+            if end < len(low) and max(following, end) - begin <= SHARD:
+                continue
+            rows = order[begin:end]
+            begin = end
+            if doc[rows].min() < doc[rows].max():
+                entry, start, stop = covered(doc[rows], [strings[i] for i in rows.tolist()])
+                if len(entry):
+                    own = rows[entry]
+                    yield out(doc[own], check[own], place[own] + start, place[own] + stop)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: dict[int, list] = {}
+        current, parts = None, []
         for batch in batches:
             for bucket, kind, content in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2), strict=True):
                 if kind:
                     yield out(*np.frombuffer(content.as_buffer(), dtype="<i8").reshape(4, -1))
-                else:
-                    held.setdefault(bucket, []).append(_unpacked(content.as_py()))
-        while held:
-            _, parts = held.popitem()
-            doc, check, place, low = (np.concatenate([p[i] for p in parts]) for i in range(4))
-            strings = [s for p in parts for s in p[4]]
-            order = np.argsort(low, kind="stable")
-            low = low[order]
-            groups = np.flatnonzero(np.concatenate([[True], low[1:] != low[:-1]]))
-            begin = 0
-            for end in [*groups[1:].tolist(), len(low)]:
-                # whole groups up to the shard's size
-                following = groups[min(np.searchsorted(groups, end, side="right"), len(groups) - 1)]
-                if end < len(low) and max(following, end) - begin <= SHARD:
                     continue
-                rows = order[begin:end]
-                begin = end
-                if doc[rows].min() < doc[rows].max():
-                    entry, start, stop = covered(doc[rows], [strings[i] for i in rows.tolist()])
-                    if len(entry):
-                        own = rows[entry]
-                        yield out(doc[own], check[own], place[own] + start, place[own] + stop)
+                if bucket != current:
+                    if parts:
+                        yield from solved(parts)
+                    current, parts = bucket, []
+                parts.append(_unpacked(content.as_py()))
+        if parts:
+            yield from solved(parts)
 
-    return stretches.repartition("bucket").mapInArrow(run, _SPANS)
+    return stretches.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(run, _SPANS)
 
 
 def repeated_ranges(df: DataFrame, id_column: str, text_column: str) -> DataFrame:
-    """(doc, check, start, stop): byte ranges to remove; a document is its id and the crc32 of its text. Ranges may overlap."""
+    """(doc, check, start, stop): byte ranges to remove; a document is its id and a 64-bit hash of its text. Ranges may overlap."""
     spark: SparkSession = df.sparkSession
     ship(spark)
+    integer_id(df, id_column)
     buckets = bucket_count(spark)
     text = F.col(text_column).cast("string")
-    texts = df.select(F.col(id_column).cast("long").alias("doc"), F.crc32(text.cast("binary")).alias("check"), text.alias("text")).filter(F.col("doc").isNotNull() & (F.octet_length("text") >= LENGTH))
+    texts = df.select(F.col(id_column).cast("long").alias("doc"), F.xxhash64(text).alias("check"), text.alias("text")).filter(F.col("doc").isNotNull() & (F.octet_length("text") >= LENGTH))
     shared = spark.sparkContext.broadcast(_shared_hashes(texts, buckets))
     return _removed(_stretches(texts, buckets, shared, uuid.uuid4().hex))
 
@@ -306,7 +329,7 @@ def remove_repeats(df: DataFrame, id_column: str, text_column: str, with_kept: b
     """(id, n_bytes, n_removed, n_spans, kept_sha256) and, with_kept, the remaining bytes."""
     ranges = repeated_ranges(df, id_column, text_column).groupBy("doc", "check").agg(F.collect_list(F.struct("start", "stop")).alias("ranges"))
     text = F.coalesce(F.col(text_column).cast("string"), F.lit("")).cast("binary")
-    rows = df.select(F.col(id_column).alias("id"), text.alias("text")).withColumns({"doc": F.col("id").cast("long"), "check": F.crc32("text")})
+    rows = df.select(F.col(id_column).alias("id"), text.alias("text")).withColumns({"doc": F.col("id").cast("long"), "check": F.xxhash64(F.col("text").cast("string"))})
     found = rows.join(ranges.hint("shuffle_hash"), ["doc", "check"], "left").select("id", "text", F.col("ranges.start").alias("starts"), F.col("ranges.stop").alias("stops"))
     names = ["id", "n_bytes", "n_removed", "n_spans", "kept_sha256"] + ["kept"] * with_kept
 
