@@ -121,6 +121,20 @@ def test_ids_are_the_library_s(text):
     assert sum(own.lengths(own.pieces(text))) == len(ids)
 
 
+def test_other_files_are_left_to_their_library(tmp_path, tokenizer):
+    """A file whose merges are not in id order is not proven, and pieces are whole texts."""
+    import json
+
+    content = json.loads(open(tokenizer, encoding="utf-8").read())
+    vocabulary = content["model"]["vocab"]
+    a, b = [t for t, i in vocabulary.items() if i in (300, 301)]
+    vocabulary[a], vocabulary[b] = vocabulary[b], vocabulary[a]
+    (tmp_path / "other.json").write_text(json.dumps(content))
+    own, text = bpe.BpeTokenizer(str(tmp_path / "other.json")), "The cat's <|endoftext|> 123 " + words(5, 40)
+    expected = library(str(tmp_path / "other.json")).encode(text, add_special_tokens=False).ids
+    assert own._fast is None and own.ids(text) == expected and sum(own.lengths(own.pieces(text))) == len(expected)
+
+
 def test_misra_gries_keeps_the_heavy():
     kept = token_counts._pruned(Counter({"a": 100, "b": 50, **{str(i): 1 for i in range(100)}}), 10)
     assert len(kept) <= 10 and kept["a"] == 99 and kept["b"] == 49
@@ -163,7 +177,8 @@ def test_packing_is_a_round_trip(spark, sf_dir, odd, empty, tokenizer):
 
 
 @pytest.mark.parametrize("mixture", [None, {"a": 3.0, "b": 1.0}])
-def test_round_robin_is_that_of_a_scheduler(spark, mixture):
+def test_round_robin_is_that_of_a_scheduler(spark, mixture, monkeypatch):
+    monkeypatch.setattr(packing, "_BLOCK", 2)
     rows = [(p, i, q, n) for p in range(3) for i, (q, n) in enumerate([("=a", 7), ("=b", 3), ("=a", 1), ("=c", 9), ("=b", 12), ("=a", 30)])]
     lengths = spark.createDataFrame(rows, "part int, idx long, queue string, n_tokens long")
     got = [(r.part, r.idx, r.window) for r in packing.round_robin(lengths, 20, mixture).orderBy("at").collect()]
@@ -171,7 +186,9 @@ def test_round_robin_is_that_of_a_scheduler(spark, mixture):
     for _, _, q, n in rows:
         total[q] += n
     whole = sum(total.values())
-    quantum = {q: max(1.0, 20 * n / whole if mixture is None else 20 * mixture.get(q[1:], 0) / 4) for q, n in total.items()}
+    quantum = {q: 20 * n / whole if mixture is None else 20 * mixture.get(q[1:], 0) / 4 for q, n in total.items()}
+    windows = max(math.ceil(n / quantum[q]) for q, n in total.items() if quantum[q])
+    quantum = {q: quantum[q] or n / windows for q, n in total.items()}
     queues = {q: [r for r in rows if r[2] == q] for q in sorted(total)}
     deficit, order, window = dict.fromkeys(queues, 0.0), [], 0
     while any(queues.values()):
@@ -274,6 +291,30 @@ def test_urls(spark):
     assert url_filter.filter_urls(df, "page_id", "url", rules=()).filter("rule is not null").count() == 0
 
 
+def test_long_hosts_probe_no_more_than_the_rules_need(tmp_path, spark):
+    names = {}
+    for kind, content in url_filter.build_index(url_filter.RULES).items():
+        (tmp_path / kind).write_bytes(content)
+        names[kind] = str(tmp_path / kind)
+    index = url_filter.DigestIndex(names)
+    dots = "a." * 200_000
+    assert index.match([dots + "example.com", dots + "net", dots, "xexample.com", ".net", "net."], ["/de/" + "x" * 300_000, "/", "/", "/de/", "/", "/"]) == [("example.com/de/", True), ("net/", True), None, None, ("net/", True), None]
+    rows = [("k", "http://" + dots + "example.net/en/" + "y" * 300_000), (None, "http://" + dots + "example.com/de"), ("k", None)]
+    got = url_filter.filter_urls(spark.createDataFrame(rows, "page_id string, url string"), "page_id", "url").collect()
+    assert [(r.page_id, len(r.host), len(r.path), r.rule, r.verdict) for r in got] == [("k", 400_011, 300_004, "example.net/en/", "allow"), (None, 400_011, 3, None, "allow"), ("k", 0, 0, None, "allow")]
+    assert url_filter.filter_urls(spark.createDataFrame([], "page_id long, url string"), "page_id", "url").count() == 0
+
+
+def test_ids_of_other_types(spark):
+    rows = [(k, t) for k, t in (("a", words(1, 120)), ("b", words(1, 120)), ("c", words(2, 50)))]
+    df = spark.createDataFrame(rows, "doc_id string, text string")
+    assert {r.doc_id: r.component_id for r in jaccard_join.linked(df, "doc_id", "text").collect()} == {"a": "a", "b": "a", "c": "c"}
+    assert {r.doc_id: r.text for r in line_dedup.remove_runs(df, "doc_id", "text").collect()} == {"a": rows[0][1], "b": "", "c": rows[2][1]}
+    for call in (lambda: suffix_dedup.remove_repeats(df, "doc_id", "text"), lambda: topk.top_k(df.withColumn("v", F.array(F.lit(1.0))), "doc_id", "v")):
+        with pytest.raises(TypeError, match="integer id"):
+            call()
+
+
 def test_equal_digests_are_told_apart_by_their_strings(tmp_path, monkeypatch):
     monkeypatch.setattr(url_filter.xxhash, "xxh64_intdigest", lambda s: 7)
     names = {}
@@ -415,12 +456,34 @@ def test_top_k_with_odd_vectors(spark):
     assert topk.top_k(df.limit(0), "vec_id", "embedding").count() == 0
 
 
-def test_query_blocks_give_the_same(spark, sf_dir, monkeypatch):
+def test_query_blocks_and_shards_give_the_same(spark, sf_dir, monkeypatch):
     whole = spark_rows(topk.op8_topk(spark, sf_dir))
-    monkeypatch.setattr(topk, "QUERY_BLOCK", 3)
+    monkeypatch.setattr(topk, "QUERY_BLOCK", 2)
+    monkeypatch.setattr(topk, "SHARD", 900)
     assert spark_rows(topk.op8_topk(spark, sf_dir)) == whole
 
 
+def test_large_components_are_exact():
+    """256 components near 2^25: sums pass 2^53, where doubles round."""
+    rng = np.random.default_rng(11)
+    for trial in range(12):
+        vectors = (1 << 25) - 1 - rng.integers(0, 3, (60, 256))
+        queries = (1 << 25) - 1 - rng.integers(0, 3, (4, 256))
+        for q, found, scores in topk.SortedLists(np.arange(60), vectors).best(np.full(4, -1), queries, 5):
+            best = sorted((-sum(int(a) * int(b) for a, b in zip(v, queries[q], strict=True)), i) for i, v in enumerate(vectors))[:5]
+            assert [(-s, i) for s, i in zip(scores.tolist(), found.tolist(), strict=True)] == best, trial
+
+
+def test_bars_leave_out_only_what_is_below():
+    rng = np.random.default_rng(12)
+    vectors, queries = rng.integers(-50, 51, (300, 16)), rng.integers(-50, 51, (5, 16))
+    scores = vectors @ queries.T
+    bars = np.sort(scores, axis=0)[-3].astype(float)
+    for q, found, got in topk.SortedLists(np.arange(300), vectors).best(np.full(5, -1), queries, 5, bars):
+        best = sorted((-int(s), i) for i, s in enumerate(scores[:, q]))[:3]
+        assert [(-s, i) for s, i in zip(got.tolist(), found.tolist(), strict=True)][:3] == best
+
+
 @settings(max_examples=30, deadline=None)
 @given(st.integers(0, 10_000), st.integers(1, 60), st.integers(1, 5))
 def test_nra_is_exact(seed, n, dims):
