@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 # Patterns and word lists that results depend on.
 NULL_MARK = r"(?i)\A(?:nil|n\.?a\.?|none|[-–—.·…]+)\z"
+NUMBER = r"(?i)\A\s*[+-]?(?:(?:[0-9]+\.?[0-9]*|\.[0-9]+)(?:e[+-]?[0-9]+)?|inf|infinity|nan)\s*\z"
 SEE = r"(?iU)\bse[ec]\b"
 CODE = r"(?:HC|HL|MT|WB|B|C|T)"
 LEAK_MARKS = ("<table>", "expected-value examples", "possible printed forms", "return only the visible cell text", "this is an archival 1971")
@@ -42,6 +43,11 @@ def quoted(c: Column) -> Column:
     return F.when(double, F.concat(F.lit('"'), escaped, F.lit('"'))).otherwise(F.concat(F.lit("'"), F.replace(escaped, F.lit("'"), F.lit("\\'")), F.lit("'")))
 
 
+def as_double(number: Column) -> Column:
+    """The number, or NULL for any other text; type letters behind it, as in 12d, are no number."""
+    return F.when(number.rlike(NUMBER), number.try_cast("double"))
+
+
 def _is_whole(number: Column, kind: Column) -> Column:
     return (kind == "integer") & number.rlike(r"\A[+-]?[0-9]+\z")
 
@@ -50,7 +56,7 @@ def parse_failed(value: Column, number: Column, data_type: Column) -> Column:
     """Whether typed_parts has a parse_error, without its text."""
     kind = F.lower(data_type)
     bad_integer = (kind == "integer") & F.coalesce(~_is_whole(number, kind) | number.try_cast("long").isNull(), F.lit(True))
-    return value.isNotNull() & (bad_integer | ((kind == "float") & number.try_cast("double").isNull()))
+    return value.isNotNull() & (bad_integer | ((kind == "float") & as_double(number).isNull()))
 
 
 def typed_parts(value: Column, number: Column, data_type: Column, variable: Column) -> dict[str, Column]:
@@ -60,15 +66,15 @@ def typed_parts(value: Column, number: Column, data_type: Column, variable: Colu
     """
     kind = F.lower(data_type)
     whole = _is_whole(number, kind)
-    as_int, as_double = number.try_cast("long"), number.try_cast("double")
+    as_int, as_float = number.try_cast("long"), as_double(number)
     problem = (
         F.when((kind == "integer") & ~whole, F.concat(F.lit(": expected integer for "), quoted(value)))
         .when(whole & as_int.isNull(), F.concat(F.lit(": RANGE for "), quoted(value)))
-        .when((kind == "float") & as_double.isNull(), F.concat(F.lit(": could not convert string to float: "), quoted(number), F.lit(" for "), quoted(value)))
+        .when((kind == "float") & as_float.isNull(), F.concat(F.lit(": could not convert string to float: "), quoted(number), F.lit(" for "), quoted(value)))
     )
     return {
         "int_value": F.when(whole, as_int),
-        "dbl_value": F.when(kind == "float", as_double),
+        "dbl_value": F.when(kind == "float", as_float),
         "str_value": F.when(~kind.isin(*INTEGER_TYPES) | (whole & as_int.isNull()), value),
         "parse_error": F.when(value.isNotNull(), F.concat(variable, problem)),
     }
@@ -180,8 +186,8 @@ def is_title_word(c: Column) -> Column:
 
 
 def optional_int(c: Column) -> Column:
-    """NULL for an empty cell, else the number without its fraction."""
-    return F.nullif(F.trim(c.cast("string")), F.lit("")).cast("double").cast("int")
+    """NULL for an empty cell or one that holds no number, else the number without its fraction."""
+    return as_double(F.trim(c.cast("string"))).cast("int")
 
 
 def sequence_quality(score: Column) -> Column:

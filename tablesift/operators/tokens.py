@@ -2,6 +2,11 @@
 
 from __future__ import annotations
 
+import hashlib
+import json
+from collections.abc import Sequence
+
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -56,9 +61,38 @@ def parse_issues(content: Column) -> Column:
 
 
 def message_content(response: Column) -> Column:
-    """struct(content, error) of a response envelope."""
-    content = F.get_json_object(response, "$.choices[0].message.content")
-    return F.struct(F.coalesce(content, F.lit("")).alias("content"), F.when(content.isNull(), "invalid response envelope").alias("error"))
+    """struct(content, error) of a response envelope; content that isn't a string is an error too."""
+    found = F.try_variant_get(F.try_parse_json(response), "$.choices[0].message.content", "variant")
+    kind = F.schema_of_variant(found)
+    content = F.when(kind == "STRING", F.get_json_object(response, "$.choices[0].message.content"))
+    error = F.when(content.isNotNull(), F.lit(None).cast("string")).when(found.isNull() | (kind == "VOID"), "invalid response envelope").otherwise("response content is not a string")
+    return F.struct(F.coalesce(content, F.lit("")).alias("content"), error.alias("error"))
+
+
+def response_hash(responses: Column) -> Column:
+    """sha256 of each JSON response in its canonical form: keys sorted at every depth. NULL for a text that isn't JSON."""
+
+    def digests(texts: pd.Series) -> pd.Series:
+        def digest(text: str | None) -> str | None:
+            try:
+                return hashlib.sha256(json.dumps(json.loads(text), sort_keys=True, ensure_ascii=False).encode()).hexdigest()
+            except (TypeError, ValueError):
+                return None
+
+        return texts.map(digest)
+
+    return F.pandas_udf(digests, "string")(responses)
+
+
+def embedded_text(cells: DataFrame, words: DataFrame, keys: Sequence[str], name: str) -> DataFrame:
+    """(keys, name, embedded): the page's own words between a cell's left and right edge that overlap its height, top to bottom and left to right.
+
+    cells: keys, name, x0, y0, x1, y1; words: keys, text, wx0, wy0, wx1, wy1. A cell without words has the empty text.
+    """
+    met = cells.select(*keys, name, "x0", "y0", "x1", "y1").join(words.select(*keys, "text", "wx0", "wy0", "wx1", "wy1"), list(keys), "left")
+    inside = (F.col("wx0") >= F.col("x0")) & (F.col("wx1") <= F.col("x1")) & (F.col("wy0") < F.col("y1")) & (F.col("wy1") > F.col("y0"))
+    own = F.sort_array(F.collect_list(F.when(inside, F.struct("wy0", "wx0", "text"))))
+    return met.groupBy(*keys, name).agg(F.trim(F.array_join(F.transform(own, lambda w: w["text"]), " ")).alias("embedded"))
 
 
 def is_usable(tokens: Column) -> Column:
@@ -143,9 +177,15 @@ def refined_code(value: Column, right_edge: Column, embedded: Column, cell: Colu
     )
 
 
-def cache_key(*parts: Column) -> Column:
-    """sha256 over the named parts of a request, NUL between them."""
-    return F.sha2(F.concat_ws("\x1f", *[F.coalesce(p.cast("string"), F.lit("")) for p in parts]), 256)
+def cache_key(**parts: Column) -> Column:
+    """sha256 over the named parts of a request as one JSON object, names in order; NULL and the empty text differ."""
+    named = F.struct(*[parts[name].alias(name) for name in sorted(parts)])
+    return F.sha2(F.to_json(named, {"ignoreNullFields": "false"}), 256)
+
+
+def request_key(pdf_sha256: Column, crop_bbox: Column, page_number: Column, panel_id: Column, model: Column, prompt: Column, prompt_version: Column, png_sha256: Column) -> Column:
+    """The content address of a recognition request; crop_bbox is an array of four integers."""
+    return cache_key(pdf_sha256=pdf_sha256, crop_bbox=crop_bbox, page_number=page_number, panel_id=panel_id, model=model, prompt=prompt, prompt_version=prompt_version, png_sha256=png_sha256)
 
 
 def uncached(requests: DataFrame, cache: DataFrame) -> DataFrame:

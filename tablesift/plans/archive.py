@@ -41,16 +41,17 @@ def s_page_no(spark, sf_dir):
     return sql(spark, sf_dir, _NAMES).select("k", P.leading_page_number(F.col("head")).alias("page_no"))
 
 
-@query("s_squash", "SELECT doc_id, trim(regexp_replace(lower(text), '[^a-z0-9]+', ' ', 'g')) AS squashed FROM documents WHERE length(text) < 2000")
+@query("s_squash", "SELECT doc_id, trim(regexp_replace(lower(text), '[^a-z0-9]+', ' ', 'g')) AS squashed FROM documents")
 def s_squash(spark, sf_dir):
-    return sql(spark, sf_dir, "SELECT doc_id, text FROM documents WHERE length(text) < 2000").select("doc_id", P.squashed(F.col("text")).alias("squashed"))
+    return sql(spark, sf_dir, "SELECT doc_id, text FROM documents").select("doc_id", P.squashed(F.col("text")).alias("squashed"))
 
 
 #: Documents as pages of volumes, some of them with the words that tell a page's kind.
 PAGES = """SELECT volume, CAST(page AS INT) AS page, CAST(count(*) OVER (PARTITION BY volume) AS INT) AS page_count,
   CASE WHEN page = 16 THEN 'MUNICIPAL  Finance' WHEN page = 17 + volume % 3 AND volume % 5 <> 0 THEN 'Number of Latrines; sewerage' WHEN page = 20 AND volume % 2 = 0 THEN 'Medical and Educational hospitals'
     WHEN page = 22 + volume % 4 THEN 'Cultural Facilities' WHEN page % 13 = 5 THEN 'Junior Basic School' WHEN page % 17 = 3 THEN NULL ELSE body END AS text
-  FROM (SELECT o_custkey % 30 AS volume, row_number() OVER (PARTITION BY o_custkey % 30 ORDER BY o_orderkey) AS page, o_orderpriority AS body FROM orders) x WHERE page <= 60 + volume"""
+  FROM (SELECT lane + 30 * CAST(floor((n - 1) / (60 + lane)) AS BIGINT) AS volume, (n - 1) % (60 + lane) + 1 AS page, body
+    FROM (SELECT CAST(o_custkey % 30 AS BIGINT) AS lane, row_number() OVER (PARTITION BY o_custkey % 30 ORDER BY o_orderkey) AS n, o_orderpriority AS body FROM orders) z) x"""
 _T = r"trim(regexp_replace(lower(coalesce(text, '')), '[^a-z0-9]+', ' ', 'g'))"
 _SEEN = f"""WITH p AS ({PAGES}), n AS (SELECT volume, page, page_count, {_T} AS t FROM p WHERE page <= 45 OR page > page_count - 12),
 s AS (SELECT *, contains(t, 'municipal') AS mu, regexp_matches(t, '\\b(la[tr]e?r)|sewer|sewel|\\bnight\\b|dight|road len|borne') AS ci,

@@ -73,6 +73,7 @@ valued AS (SELECT t.*, c.row_type, CASE WHEN c.row_type = 'CROSS_REFERENCE' AND
 def sql(spark: SparkSession, sf_dir: str, text: str) -> DataFrame:
     """Runs shared SQL over the driver tables that it names."""
     names = {n for n in re.findall(r"\b(?:FROM|JOIN)\s+([a-z]+)\b", text) if n in TABLES}
+    text = text.replace("{", "{{").replace("}", "}}")
     for name in names:
         text = re.sub(rf"\b(FROM|JOIN)\s+{name}\b", rf"\1 {{{name}}}", text)
     return spark.sql(text, **{n: table(spark, sf_dir, n) for n in names})

@@ -122,7 +122,7 @@ def s_printed_number(spark, sf_dir):
     return sql(spark, sf_dir, _PARTS).select("k", T.printed_number(F.col("printed")).alias("number"))
 
 
-_TALK = "SELECT conv_id, turn, CASE (conv_id + turn) % 4 WHEN 0 THEN '<|ref|>' || substr(text, 1, 40) || '<|/ref|>[[1, 2, 3, 4]]' WHEN 1 THEN 'Possible printed forms ' || substr(text, 1, 20) ELSE substr(text, 1, 300) END AS answer FROM conversations"
+_TALK = "SELECT conv_id, turn, CASE (conv_id + turn) % 4 WHEN 0 THEN '<|ref|>' || text || '<|/ref|>[[1, 2, 3, 4]]' WHEN 1 THEN 'Possible printed forms ' || text WHEN 2 THEN role ELSE text END AS answer FROM conversations"
 _STRIPPED = r"trim(regexp_replace(regexp_replace(regexp_replace(answer, '<\|/?(?:ref|det)\|>', ' ', 'g'), '(?s)\[\[.*?\]\]', ' ', 'g'), '\s+', ' ', 'g'))"
 
 
@@ -140,9 +140,9 @@ def s_cell_guard(spark, sf_dir):
     return guarded.select("conv_id", "turn", "g.text", "g.issue")
 
 
-@query("s_identity_key", r"SELECT doc_id, trim(regexp_replace(lower(substr(text, 1, 200)), '[^\pL\pN_]+', ' ', 'g')) AS key FROM documents")
+@query("s_identity_key", r"SELECT doc_id, trim(regexp_replace(lower(text), '[^\pL\pN_]+', ' ', 'g')) AS key FROM documents")
 def s_identity_key(spark, sf_dir):
-    return sql(spark, sf_dir, "SELECT doc_id, substr(text, 1, 200) AS head FROM documents").select("doc_id", T.identity_key(F.col("head")).alias("key"))
+    return sql(spark, sf_dir, "SELECT doc_id, text FROM documents").select("doc_id", T.identity_key(F.col("text")).alias("key"))
 
 
 @query("s_title_words", "WITH w AS (SELECT p_partkey AS k, CASE p_partkey % 5 WHEN 0 THEN 'STATEMENT.' WHEN 1 THEN 'Notes:' WHEN 2 THEN '-Appendix' WHEN 3 THEN 'Source' ELSE p_name END AS word FROM part) SELECT k, trim(lower(word), '.,:-') IN ('statement', 'directory', 'appendix') AS is_title, regexp_replace(lower(word), '[^a-z]', '', 'g') IN ('note', 'notes', 'source', 'footnote') AS is_footer FROM w")
@@ -159,21 +159,55 @@ def s_sequence_quality(spark, sf_dir):
     return sql(spark, sf_dir, _SCORES).select("id", T.sequence_quality(F.col("score")).alias("quality"))
 
 
-_REQUESTS = "SELECT event_id AS id, CAST(user_id AS STRING) AS pdf, CAST(event_id % 50 AS STRING) AS row_no, event_type AS panel FROM events"
+_REQUESTS = "SELECT event_id AS id, CAST(user_id AS STRING) AS pdf, CAST(event_id % 50 AS STRING) AS row_no, CASE WHEN event_id % 9 = 0 THEN NULL WHEN event_id % 9 = 1 THEN '' ELSE event_type END AS panel FROM events"
+_KEY = """sha256('{"panel":' || coalesce('"' || panel || '"', 'null') || ',"pdf":"' || pdf || '","row_no":"' || row_no || '"}')"""
 
 
-@query("c_request_keys", f"WITH r AS ({_REQUESTS}) SELECT id, sha256(pdf || chr(31) || row_no || chr(31) || panel) AS cache_key FROM r")
+@query("c_request_keys", f"WITH r AS ({_REQUESTS}) SELECT id, {_KEY} AS cache_key FROM r")
 def c_request_keys(spark, sf_dir):
-    return sql(spark, sf_dir, _REQUESTS).select("id", K.cache_key(F.col("pdf"), F.col("row_no"), F.col("panel")).alias("cache_key"))
+    return sql(spark, sf_dir, _REQUESTS).select("id", K.cache_key(pdf=F.col("pdf"), row_no=F.col("row_no"), panel=F.col("panel")).alias("cache_key"))
 
 
-@query("c_cache_miss", f"WITH r AS ({_REQUESTS}), k AS (SELECT id, sha256(pdf || chr(31) || row_no || chr(31) || panel) AS cache_key FROM r), c AS (SELECT cache_key FROM k WHERE id % 4 = 0 AND id % 3 <> 0) SELECT id, cache_key FROM k WHERE cache_key NOT IN (SELECT cache_key FROM c)")
+@query("c_cache_miss", f"WITH r AS ({_REQUESTS}), k AS (SELECT id, {_KEY} AS cache_key FROM r), c AS (SELECT cache_key FROM k WHERE id % 4 = 0 AND id % 3 <> 0) SELECT id, cache_key FROM k WHERE cache_key NOT IN (SELECT cache_key FROM c)")
 def c_cache_miss(spark, sf_dir):
-    keyed = sql(spark, sf_dir, _REQUESTS).select("id", K.cache_key(F.col("pdf"), F.col("row_no"), F.col("panel")).alias("cache_key"))
+    keyed = sql(spark, sf_dir, _REQUESTS).select("id", K.cache_key(pdf=F.col("pdf"), row_no=F.col("row_no"), panel=F.col("panel")).alias("cache_key"))
     cache = keyed.filter("id % 4 = 0").select("cache_key", F.lit("{}").alias("response"), (F.col("id") % 3 != 0).alias("ok"))
     return K.uncached(keyed, cache)
 
 
+_RESPONSES = """SELECT event_id AS id, '{"id":' || CAST(event_id AS STRING) || ', "b":{"z":1,"a":"' || event_type || '"},"a":null}' AS response FROM events"""
+
+
+@query("x_response_hash", f"""WITH r AS ({_RESPONSES}) SELECT event_id AS id, sha256('{{"a": null, "b": {{"a": "' || event_type || '", "z": 1}}, "id": ' || CAST(event_id AS VARCHAR) || '}}') AS response_hash FROM events""")
+def x_response_hash(spark, sf_dir):
+    return sql(spark, sf_dir, _RESPONSES).select("id", K.response_hash(F.col("response")).alias("response_hash"))
+
+
+_ENVELOPES = """SELECT event_id AS id, CASE event_id % 6 WHEN 0 THEN '{"choices":[{"message":{"content":"' || event_type || '"}}]}' WHEN 1 THEN '{"choices":[{"message":{"content":12}}]}' WHEN 2 THEN '{"choices":[]}' WHEN 3 THEN '{"choices":[{"message":{"content":null}}]}' WHEN 4 THEN '{"choices":[{"message":{"content":["x"]}}]}' ELSE 'no json' END AS response FROM events"""
+
+
+@query(
+    "x_content",
+    "SELECT event_id AS id, CASE WHEN event_id % 6 = 0 THEN event_type ELSE '' END AS content, CASE event_id % 6 WHEN 0 THEN NULL WHEN 1 THEN 'response content is not a string' WHEN 4 THEN 'response content is not a string' ELSE 'invalid response envelope' END AS error FROM events",
+)
+def x_content(spark, sf_dir):
+    return sql(spark, sf_dir, _ENVELOPES).select("id", K.message_content(F.col("response")).alias("m")).select("id", "m.content", "m.error")
+
+
+_PRINTED = "SELECT CAST(user_id AS BIGINT) AS page, event_id AS id, CAST(event_id * 37 % 1000 AS INT) AS x, CAST(event_id * 53 % 700 AS INT) AS y, event_type AS text FROM events"
+
+
+@query(
+    "t_embedded",
+    f"WITH w AS ({_PRINTED}), c AS (SELECT * FROM w WHERE id % 2 = 0), o AS (SELECT * FROM w WHERE id % 2 = 1) SELECT c.page, c.id, coalesce(string_agg(o.text, ' ' ORDER BY o.y, o.x, o.text) FILTER (o.x >= c.x AND o.x + 60 <= c.x + 400 AND o.y < c.y + 100 AND o.y + 20 > c.y), '') AS embedded FROM c LEFT JOIN o ON o.page = c.page GROUP BY c.page, c.id",
+)
+def t_embedded(spark, sf_dir):
+    printed = sql(spark, sf_dir, _PRINTED)
+    cells = printed.filter("id % 2 = 0").select("page", "id", F.col("x").alias("x0"), F.col("y").alias("y0"), (F.col("x") + 400).alias("x1"), (F.col("y") + 100).alias("y1"))
+    words = printed.filter("id % 2 = 1").select("page", "text", F.col("x").alias("wx0"), F.col("y").alias("wy0"), (F.col("x") + 60).alias("wx1"), (F.col("y") + 20).alias("wy1"))
+    return K.embedded_text(cells, words, ["page"], "id")
+
+
 _FILES = "SELECT CASE WHEN p_partkey % 10 = 0 THEN upper(p_name) ELSE p_name END AS file_name, 'id' || CAST(p_partkey % 1500 AS STRING) AS pdf_id FROM part"
 
 

@@ -8,7 +8,7 @@ from tablesift.operators import geometry as G
 from tablesift.plans.bindings import sql
 from tablesift.plans.registry import query
 
-PROFILE = "SELECT CAST(user_id % 20 AS BIGINT) AS page, CAST(event_id % 700 AS BIGINT) AS y, CAST(count(*) AS DOUBLE) AS ink FROM events WHERE event_id % 7 <> 0 GROUP BY 1, 2"
+PROFILE = "SELECT CAST(user_id % 20 AS BIGINT) AS page, CAST(event_id % 700 AS BIGINT) AS y, CAST(sum(CASE WHEN event_id % 7 = 0 THEN 0 ELSE 1 END) AS DOUBLE) AS ink FROM events GROUP BY 1, 2"
 _SHARE = 0.3
 _BANDS = f"""WITH p AS ({PROFILE}), d AS (SELECT *, max(ink) OVER (PARTITION BY page) AS most FROM p), k AS (SELECT page, y, y - row_number() OVER (PARTITION BY page ORDER BY y) AS island FROM d WHERE ink > most * CAST({_SHARE} AS DOUBLE)),
 bands AS (SELECT page, min(y) AS start, max(y) + 1 AS stop FROM k GROUP BY page, island)"""
@@ -19,8 +19,8 @@ def g_islands(spark, sf_dir):
     return G.ink_bands(sql(spark, sf_dir, PROFILE), ["page"], _SHARE)
 
 
-#: Raw bands of 20 pages, some of them close together or overlapping.
-RAW = "SELECT CAST(user_id % 20 AS BIGINT) AS page, CAST(event_id * 13 % 40000 AS BIGINT) AS start, CAST(event_id * 13 % 40000 + 12 + event_id % 30 AS BIGINT) AS stop, event_type AS text FROM events WHERE event_id % 5 = 0"
+#: Raw bands of 100 pages, some of them close together or overlapping.
+RAW = "SELECT CAST(user_id % 100 AS BIGINT) AS page, CAST(event_id * 131 % 400000 AS BIGINT) AS start, CAST(event_id * 131 % 400000 + 12 + event_id % 30 AS BIGINT) AS stop, event_type AS text FROM events"
 
 
 def _merged(source: str, gap: int) -> str:
@@ -38,11 +38,17 @@ def g_merge(spark, sf_dir):
     return G.row_heights(G.merged_bands(sql(spark, sf_dir, RAW).drop("text"), ["page"]))
 
 
-@query("g_word_bands", f"WITH r AS ({RAW}), {_merged('r', 8)} {_heights('merged')}")
-def g_word_bands(spark, sf_dir):
-    return G.word_bands(sql(spark, sf_dir, RAW), ["page"], 300)
+_BODY_WORDS = f"SELECT page, text, CAST(start % 900 AS BIGINT) AS x0, CAST(start % 900 + 40 AS BIGINT) AS x1, start AS y0, stop AS y1 FROM ({RAW}) r"
+_BODIES = f"SELECT DISTINCT page, 100 AS \"left\", 500 + page AS top, 800 AS \"right\", 380000 - page * 9 AS bottom FROM ({RAW}) r"
 
 
+@query(
+    "g_word_bands",
+    f"WITH w AS ({_BODY_WORDS}), b AS ({_BODIES}), r AS (SELECT page, greatest(top, y0) - top AS start, least(bottom, y1) - top AS stop FROM w JOIN b USING (page) WHERE x1 >= b.left AND x0 <= b.right AND y1 >= top AND y0 <= bottom AND least(bottom, y1) > greatest(top, y0)), {_merged('r', 8)} {_heights('merged')}",
+)
+def g_word_bands(spark, sf_dir):
+    bodies = sql(spark, sf_dir, _BODIES.replace('"', "`"))
+    return G.word_bands(G.words_in_bodies(sql(spark, sf_dir, _BODY_WORDS), bodies, ["page"]), ["page"], 300)
 
 
 @query("g_fallback", f"WITH r AS ({RAW}), ink AS (SELECT page, start, stop FROM r WHERE page % 3 <> 0) SELECT * FROM ink UNION ALL SELECT page, start, stop FROM r WHERE page NOT IN (SELECT page FROM ink)")
@@ -51,8 +57,8 @@ def g_fallback(spark, sf_dir):
     return G.with_fallback(raw.filter("page % 3 <> 0"), raw, ["page"])
 
 
-#: Rows with an ordinary gap of 5, and on most pages one wide gap.
-SECTIONS = "SELECT page, CAST(i * 30 + CASE WHEN i > 4 + page % 5 AND page % 4 <> 0 THEN 400 ELSE 0 END AS BIGINT) AS start, CAST(i * 30 + CASE WHEN i > 4 + page % 5 AND page % 4 <> 0 THEN 400 ELSE 0 END + 25 AS BIGINT) AS stop FROM (SELECT CAST(o_custkey % 60 AS BIGINT) AS page, row_number() OVER (PARTITION BY o_custkey % 60 ORDER BY o_orderkey) AS i FROM orders) x WHERE i <= 14"
+#: Pages of up to 14 rows with an ordinary gap of 5, and on most pages one wide gap.
+SECTIONS = "SELECT page, CAST(i * 30 + CASE WHEN i > 4 + page % 5 AND page % 4 <> 0 THEN 400 ELSE 0 END AS BIGINT) AS start, CAST(i * 30 + CASE WHEN i > 4 + page % 5 AND page % 4 <> 0 THEN 400 ELSE 0 END + 25 AS BIGINT) AS stop FROM (SELECT lane + 60 * CAST(floor((n - 1) / 14) AS BIGINT) AS page, (n - 1) % 14 + 1 AS i FROM (SELECT CAST(o_custkey % 60 AS BIGINT) AS lane, row_number() OVER (PARTITION BY o_custkey % 60 ORDER BY o_orderkey) AS n FROM orders) z) x"
 
 
 @query(
@@ -93,11 +99,10 @@ _PARTS = [["civic", "and", "other"], ["thon", "re"], ["statement"]]
 
 @query(
     "g_heading",
-    "SELECT doc_id, round((" + " + ".join("(" + " + ".join(f"CAST(contains(lower(substr(text, 1, 400)), '{p}') AS DOUBLE)" for p in parts) + f") / {len(parts)}" for parts in _PARTS) + ") / 3, 9) AS score FROM documents",
+    "SELECT doc_id, round((" + " + ".join("(" + " + ".join(f"CAST(contains(lower(text), '{p}') AS DOUBLE)" for p in parts) + f") / {len(parts)}" for parts in _PARTS) + ") / 3, 9) AS score FROM documents",
 )
 def g_heading(spark, sf_dir):
-    head = sql(spark, sf_dir, "SELECT doc_id, substr(text, 1, 400) AS head FROM documents")
-    return head.select("doc_id", F.round(G.heading_score(F.col("head"), F.array(*map(F.lit, _HEADS))), 9).alias("score"))
+    return sql(spark, sf_dir, "SELECT doc_id, text FROM documents").select("doc_id", F.round(G.heading_score(F.col("text"), F.array(*map(F.lit, _HEADS))), 9).alias("score"))
 
 
 CANDIDATES = "SELECT CAST(user_id % 40 AS BIGINT) AS table_id, 'p' || CAST(event_id % 3 AS STRING) AS panel_id, 1 + event_id % 2 AS page, CAST(event_id % 997 AS DOUBLE) AS cy, CAST(1000 AS DOUBLE) AS height, event_id % 101 / CAST(100 AS DOUBLE) AS score, event_id % 7 / CAST(6 AS DOUBLE) AS heading, event_id AS id FROM events"
@@ -132,7 +137,7 @@ def g_follow_pick(spark, sf_dir):
     return G.follower_choice(found.filter("panel_id <> 'p0'"), anchors, ["table_id"]).select("table_id", "panel_id", "page", "cy", "score", "heading")
 
 
-CENTRES = "SELECT line, CAST(n AS INT) AS idx, CASE WHEN event_id % 3 = 0 THEN NULL ELSE CAST(n * 50 + event_id % 7 AS DOUBLE) END AS centre FROM (SELECT CAST(user_id AS BIGINT) AS line, event_id, row_number() OVER (PARTITION BY user_id ORDER BY event_id) AS n FROM events) x WHERE n <= 10"
+CENTRES = "SELECT line, CAST(n AS INT) AS idx, CASE WHEN event_id % 3 = 0 THEN NULL ELSE CAST(n * 50 + event_id % 7 AS DOUBLE) END AS centre FROM (SELECT lane * 100000 + CAST(floor((k - 1) / 10) AS BIGINT) AS line, event_id, (k - 1) % 10 + 1 AS n FROM (SELECT CAST(user_id AS BIGINT) AS lane, event_id, row_number() OVER (PARTITION BY user_id ORDER BY event_id) AS k FROM events) z) x"
 _FILLED = f"""WITH c AS ({CENTRES}), k AS (SELECT line, idx, centre FROM c WHERE centre IS NOT NULL),
 p AS (SELECT c.line, c.idx, c.centre, (SELECT max(idx) FROM k WHERE k.line = c.line AND k.idx < c.idx) AS l, (SELECT min(idx) FROM k WHERE k.line = c.line AND k.idx > c.idx) AS r FROM c),
 q AS (SELECT p.*, (SELECT max(idx) FROM k WHERE k.line = p.line AND k.idx < p.l) AS ll, (SELECT min(idx) FROM k WHERE k.line = p.line AND k.idx > p.r) AS rr FROM p),
@@ -154,11 +159,12 @@ def g_interpolate(spark, sf_dir):
     "g_boundaries",
     _FILLED
     + """, e AS (SELECT line, idx, round(centre, 6) AS centre, lag(round(centre, 6)) OVER w AS lf, lead(round(centre, 6)) OVER w AS rt FROM filled WINDOW w AS (PARTITION BY line ORDER BY idx))
-SELECT line, idx, CAST(trunc(coalesce((lf + centre) / 2, centre - (rt - centre) / 2)) AS INTEGER) AS x_start, CAST(trunc(coalesce((centre + rt) / 2, centre + (centre - lf) / 2)) AS INTEGER) AS x_end FROM e""",
+SELECT line, idx, CASE WHEN centre IS NOT NULL THEN coalesce(CAST(trunc((lf + centre) / 2) AS INTEGER), greatest(0, CAST(trunc(centre - coalesce(rt - centre, 30) / 2) AS INTEGER))) END AS x_start,
+  CASE WHEN centre IS NOT NULL THEN coalesce(CAST(trunc((centre + rt) / 2) AS INTEGER), least(480, CAST(trunc(centre + coalesce(centre - lf, 30) / 2) AS INTEGER))) END AS x_end FROM e""",
 )
 def g_boundaries(spark, sf_dir):
     rounded = _centres(spark, sf_dir).withColumn("centre", F.round("centre", 6))
-    return G.column_edges(rounded, ["line"]).select("line", "idx", "x_start", "x_end")
+    return G.column_edges(rounded, ["line"], 480).select("line", "idx", "x_start", "x_end")
 
 
 @query("g_monotone", f"WITH c AS ({CENTRES}), k AS (SELECT *, coalesce(centre > lag(centre) OVER (PARTITION BY line ORDER BY idx), true) AS up FROM c WHERE centre IS NOT NULL) SELECT line, count(*) AS known, bool_and(up) AS monotone FROM k GROUP BY line")
@@ -175,16 +181,19 @@ def g_last_edge(spark, sf_dir):
     return sql(spark, sf_dir, _EDGES).select("id", edge.alias("x_end"))
 
 
-_WORDS = "SELECT CAST(user_id AS BIGINT) AS page, CASE event_id % 40 WHEN 0 THEN 'Note:' WHEN 1 THEN 'STATEMENT' ELSE event_type END AS text, CAST(event_id * 17 % 3000 AS INT) AS y0, CAST(event_id * 17 % 3000 + 30 AS INT) AS y1, 200 AS top, 300 AS dpi, 3100 AS page_height FROM events"
+_WORDS = "SELECT CAST(user_id AS BIGINT) AS page, CASE event_id % 40 WHEN 0 THEN 'Note:' WHEN 1 THEN 'STATEMENT' ELSE event_type END AS text, CAST(event_id * 17 % 3000 AS INT) AS y0, CAST(event_id * 17 % 3000 + 30 AS INT) AS y1, CASE WHEN user_id % 10 = 0 THEN 3090 ELSE 200 END AS top, 300 AS dpi, 3100 AS page_height FROM events"
 
 
 @query(
     "g_body_bottom",
-    f"WITH w AS ({_WORDS}), f AS (SELECT page, max(y1) AS last, min(y0) FILTER (text = 'Note:' AND y0 > 200 + 300 * CAST(0.4 AS DOUBLE)) AS footer, FROM w WHERE y1 > 200 GROUP BY page), t AS (SELECT page, min(y0) AS title_y FROM w WHERE text = 'STATEMENT' AND y0 > 200 + 300 * CAST(0.35 AS DOUBLE) GROUP BY page) SELECT f.page, greatest(201, least(least(3085, last), coalesce(footer - 5, least(3085, last)))) AS bottom, title_y FROM f LEFT JOIN t USING (page)",
+    f"""WITH w AS ({_WORDS}), f AS (SELECT page, any_value(top) AS top, coalesce(max(y1) FILTER (y1 > top), 3100) AS last, min(y0) FILTER (text = 'Note:' AND y1 > top AND y0 > top + 300 * CAST(0.4 AS DOUBLE)) AS footer FROM w GROUP BY page),
+t AS (SELECT page, min(y0) AS title_y FROM w WHERE text = 'STATEMENT' AND y0 > top + 300 * CAST(0.35 AS DOUBLE) GROUP BY page)
+SELECT f.page, greatest(top + 1, least(least(3085, last), coalesce(footer - 5, least(3085, last)))) AS bottom, title_y FROM f LEFT JOIN t USING (page)""",
 )
 def g_body_bottom(spark, sf_dir):
     words = sql(spark, sf_dir, _WORDS)
-    return G.body_bottom(words, ["page"]).join(G.next_title(words, ["page"]), "page", "left")
+    bodies = words.select("page", "top", "dpi", "page_height").distinct()
+    return G.body_bottom(bodies, words, ["page"]).join(G.next_title(words, ["page"]), "page", "left")
 
 
 _BOXES = "SELECT event_id AS id, CAST(event_id % 90 AS DOUBLE) AS x0, CAST(event_id % 70 AS DOUBLE) AS y0, CAST(event_id % 90 + 20 AS DOUBLE) AS x1, CAST(event_id % 70 + 15 AS DOUBLE) AS y1, (event_id % 9 - 4) / CAST(2 AS DOUBLE) AS angle FROM events"
@@ -204,6 +213,57 @@ def g_project(spark, sf_dir):
     return sql(spark, sf_dir, _BOXES).select("id", limited.alias("p")).select("id", "p.y0", "p.y1")
 
 
+_HALVES = _BOXES.replace("CAST(event_id % 90 AS DOUBLE)", "CAST(event_id % 90 + 0.5 AS DOUBLE)")
+_BACK = [(f"50 + ({x} - 50) * cos(radians(-angle)) - ({y} - 40) * sin(radians(-angle))", f"40 + ({x} - 50) * sin(radians(-angle)) + ({y} - 40) * cos(radians(-angle))") for x in ("x0", "x1") for y in ("y0", "y1")]
+
+
+@query(
+    "g_straighten",
+    f"""WITH b AS ({_HALVES}), t AS (SELECT *, {", ".join(f"CASE WHEN abs(angle) >= 0.25 THEN {f}({', '.join(c[k] for c in _BACK)}) ELSE {n} END AS t{n}" for n, f, k in (("x0", "least", 0), ("y0", "least", 1), ("x1", "greatest", 0), ("y1", "greatest", 1)))} FROM b)
+SELECT id, {", ".join(f"{f}({limit}, CAST(round_even(t{n}, 0) AS INTEGER)) AS {n}" for n, f, limit in (("x0", "greatest", 0), ("y0", "greatest", 0), ("x1", "least", 100), ("y1", "least", 80)))} FROM t""",
+)
+def g_straighten(spark, sf_dir):
+    box = G.straightened(*[F.col(c) for c in ("x0", "y0", "x1", "y1", "angle")], F.lit(100), F.lit(80))
+    return sql(spark, sf_dir, _HALVES).select("id", box.alias("b")).select("id", "b.x0", "b.y0", "b.x1", "b.y1")
+
+
+_CARRIED = f"WITH b AS ({SECTIONS}) SELECT page, CAST(row_number() OVER (PARTITION BY page ORDER BY start, stop) - 1 AS INTEGER) AS row_index, start + 7 AS y0, stop + 7 AS y1 FROM b"
+
+
+@query(
+    "g_project_rows",
+    f"""WITH r AS ({_CARRIED}), p AS (SELECT page, row_index, greatest(50, CAST(round_even(50 + (y0 - 7) * CAST(1250 AS DOUBLE) / 900, 0) AS INTEGER)) AS a, least(1300, CAST(round_even(50 + (y1 - 7) * CAST(1250 AS DOUBLE) / 900, 0) AS INTEGER)) AS b FROM r),
+q AS (SELECT page, row_index, a, CASE WHEN b <= a THEN least(1300, a + 14) ELSE b END AS b FROM p) SELECT page, row_index, 0 AS box_x0, a AS box_y0, 998 AS box_x1, b AS box_y1, round(((a + b) / 2 - 50) / 1250, 9) AS y_normalized FROM q""",
+)
+def g_project_rows(spark, sf_dir):
+    rows = sql(spark, sf_dir, _CARRIED)
+    fixed = {"top": 7, "bottom": 907, "new_left": 5, "new_top": 50, "new_right": 990, "new_bottom": 1300, "page_width": 1000}
+    bodies = rows.select("page").distinct().withColumns({k: F.lit(v) for k, v in fixed.items()})
+    return G.projected_rows(rows, bodies, ["page"]).withColumn("y_normalized", F.round("y_normalized", 9))
+
+
+_PLACED = "SELECT CAST(user_id AS BIGINT) AS page, event_id AS id, CAST(event_id * 37 % 3000 AS DOUBLE) AS y, event_type AS text FROM events"
+
+
+@query(
+    "g_context",
+    f"WITH w AS ({_PLACED}), c AS (SELECT * FROM w WHERE id % 2 = 0), o AS (SELECT * FROM w WHERE id % 2 = 1) SELECT c.page, c.id, coalesce(string_agg(lower(o.text), ' ' ORDER BY o.id) FILTER (o.y + 10 >= c.y - 600 AND o.y + 10 < c.y), '') AS context FROM c LEFT JOIN o ON o.page = c.page GROUP BY c.page, c.id",
+)
+def g_context(spark, sf_dir):
+    placed = sql(spark, sf_dir, _PLACED)
+    candidates = placed.filter("id % 2 = 0").select("page", "id", F.col("y").alias("cy"), F.lit(300).alias("dpi"))
+    words = placed.filter("id % 2 = 1").select("page", F.col("id").alias("place"), "text", F.col("y").alias("y0"), (F.col("y") + 20).alias("y1"))
+    return G.heading_context(candidates, words, ["page"], "id")
+
+
+@query("g_aligned")
+def g_aligned(spark, sf_dir):
+    numbered = sql(spark, sf_dir, OBSERVED).withColumn("block", F.expr("(n - 1) div 9"))
+    lines = numbered.groupBy("line", "block").agg(F.sort_array(F.collect_list(F.struct("n", F.col("value").cast("int").alias("value")))).alias("v"))
+    pairs = G.aligned_numbers(F.sequence(F.lit(1), F.lit(9)), F.col("v.value"))
+    return lines.select("line", "block", F.inline(pairs))
+
+
 _HISTOGRAM = "SELECT CAST(user_id % 20 AS BIGINT) AS page, CAST(event_id * event_id % 256 AS BIGINT) AS bin, CAST(count(*) AS BIGINT) AS n FROM events GROUP BY 1, 2"
 
 
@@ -217,8 +277,8 @@ def g_otsu(spark, sf_dir):
     return G.otsu(sql(spark, sf_dir, _HISTOGRAM), ["page"])
 
 
-_LEFT = "SELECT CAST(user_id % 30 AS BIGINT) AS table_id, CAST(row_number() OVER (PARTITION BY user_id % 30 ORDER BY event_id) - 1 AS INT) AS row_index, CAST(event_id % 1000 AS DOUBLE) / 1000 AS y FROM events WHERE event_id % 50 = 0"
-_RIGHT = "SELECT CAST(user_id % 30 AS BIGINT) AS table_id, CAST(row_number() OVER (PARTITION BY user_id % 30 ORDER BY event_id) - 1 AS INT) AS row_index, CAST(event_id % 1000 AS DOUBLE) / 1000 AS y FROM events WHERE event_id % 50 = 1"
+_SIDE = "SELECT CAST(user_id AS BIGINT) AS table_id, CAST(row_number() OVER (PARTITION BY user_id ORDER BY event_id) - 1 AS INT) AS row_index, CAST(event_id * 7 % 1000 AS DOUBLE) / 1000 AS y FROM events WHERE event_id % 2 = {}"
+_LEFT, _RIGHT = _SIDE.format(0), _SIDE.format(1)
 
 
 @query(
@@ -255,13 +315,16 @@ def g_skew(spark, sf_dir):
     return G.skew(sql(spark, sf_dir, _ANGLED).withColumnRenamed("ord", "order"), ["page"])
 
 
-_EXTENTS = "SELECT event_id AS id, CAST(event_id % 500 AS INT) AS header, CASE WHEN event_id % 3 = 0 THEN CAST(event_id % 500 + 700 AS DOUBLE) END AS later, 2000 AS content, CASE WHEN event_id % 4 = 0 THEN CAST(event_id % 900 + 600 AS INT) END AS title FROM events"
+_EXTENTS = "SELECT event_id AS id, CAST(event_id % 500 AS INT) AS header, CASE WHEN event_id % 3 = 0 THEN CAST(event_id % 500 + 700 AS DOUBLE) END AS later, 2000 AS content, CASE WHEN event_id % 4 = 0 THEN CAST(event_id % 900 + 100 AS INT) END AS title FROM events"
 
 
-@query("g_body_extent", f"WITH e AS ({_EXTENTS}), b AS (SELECT id, header + 5 AS top, coalesce(CAST(trunc(later - CAST(0.35 AS DOUBLE) * 300) AS INTEGER), content) AS below, title FROM e) SELECT id, top, least(below, coalesce(title - 10, below)) AS bottom FROM b")
+@query(
+    "g_body_extent",
+    f"WITH e AS ({_EXTENTS}), b AS (SELECT id, least(450, header + 5) AS top, coalesce(CAST(trunc(later - CAST(0.35 AS DOUBLE) * 300) AS INTEGER), content) AS below, title FROM e), c AS (SELECT id, top, least(below, coalesce(title - 10, below)) AS bottom FROM b) SELECT *, CASE WHEN bottom <= top THEN 'Empty body' END AS error FROM c",
+)
 def g_body_extent(spark, sf_dir):
-    extent = G.body_extent(F.col("header"), F.col("later"), F.col("content"), F.col("title"), F.lit(300))
-    return sql(spark, sf_dir, _EXTENTS).select("id", extent.alias("e")).select("id", "e.top", "e.bottom")
+    extent = G.body_extent(F.col("header"), F.col("later"), F.col("content"), F.col("title"), F.lit(300), F.lit(450))
+    return sql(spark, sf_dir, _EXTENTS).select("id", extent.alias("e")).select("id", "e.top", "e.bottom", "e.error")
 
 
 _CROPS = "SELECT event_id AS id, CAST(event_id % 400 + 500 AS INT) AS right_edge, CAST(event_id % 100 AS INT) AS a, CAST(event_id % 100 + 60 AS INT) AS b, CAST(event_id % 300 + 200 AS INT) AS c, CAST(event_id % 300 + 900 AS INT) AS d FROM events"

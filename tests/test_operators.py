@@ -6,6 +6,7 @@ import itertools
 import json
 from collections import defaultdict
 
+import numpy as np
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -210,9 +211,25 @@ def test_sequence_scores(spark):
     assert s[0] == 1.0 and s[1] < 0.4 and s[2] > 0.6
 
 
-def test_aligned_numbers():
-    assert M.aligned_numbers([1, 2, 3, 4], [1, 9, 3, 3, 4]) == {1: 0, 3: 3, 4: 4}
-    assert M.aligned_numbers([], [1]) == {}
+def plain_alignment(expected, observed):
+    """All ascending choices of places; most numbers, then from the end the smaller number, then the later place."""
+    best = []
+    for bits in range(1 << len(observed)):
+        places = [i for i in range(len(observed)) if bits >> i & 1]
+        numbers = [observed[i] for i in places]
+        if all(n in expected for n in numbers) and all(a < b for a, b in zip(numbers, numbers[1:], strict=False)):
+            best.append((len(places), [(-observed[i], i) for i in reversed(places)], list(zip(numbers, places, strict=True))))
+    return max(best)[2]
+
+
+def test_aligned_numbers(spark):
+    rng = np.random.default_rng(4)
+    rows = [([1, 2, 3, 4], [1, 9, 3, 3, 4]), ([], [1]), ([1, 2], [])] + [(list(range(1, int(rng.integers(2, 7)))), [int(x) for x in rng.integers(1, 8, rng.integers(0, 9))]) for _ in range(60)]
+    df = spark.createDataFrame([(i, *r) for i, r in enumerate(rows)], "i int, e array<int>, o array<int>")
+    got = df.select("i", M.aligned_numbers(F.col("e"), F.col("o")).alias("a")).orderBy("i").collect()
+    assert [(x.number, x.place) for x in got[0].a] == [(1, 0), (3, 3), (4, 4)]
+    for r, (e, o) in zip(got, rows, strict=True):
+        assert [(x.number, x.place) for x in r.a] == plain_alignment(e, o), (e, o)
 
 
 @settings(max_examples=150, deadline=None)
@@ -277,7 +294,9 @@ def test_interpolation_and_edges(spark):
     df = spark.createDataFrame([(1, i, v) for i, v in enumerate([None, 100.0, None, 200.0, None, None])], "k long, idx int, centre double")
     filled = M.interpolated(df, ["k"])
     assert [r.centre for r in filled.orderBy("idx").collect()] == [50.0, 100.0, 150.0, 200.0, 250.0, 300.0]
-    assert [(r.x_start, r.x_end) for r in M.column_edges(filled, ["k"]).orderBy("idx").collect()][:2] == [(25, 75), (75, 125)]
+    assert [(r.x_start, r.x_end) for r in M.column_edges(filled, ["k"], 400).orderBy("idx").collect()][:2] == [(25, 75), (75, 125)]
+    edges = spark.createDataFrame([(1, 0, 10.0), (2, 0, 6.0), (2, 1, 96.0), (3, 0, 97.0)], "k long, idx int, centre double")
+    assert [(r.x_start, r.x_end) for r in M.column_edges(edges, ["k"], 100).orderBy("k", "idx").collect()] == [(0, 25), (0, 51), (51, 100), (82, 100)]
     one = spark.createDataFrame([(1, 0, None), (1, 1, 5.0)], "k long, idx int, centre double")
     assert [r.centre for r in M.interpolated(one, ["k"]).orderBy("idx").collect()] == [None, 5.0]
 

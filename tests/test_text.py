@@ -91,7 +91,8 @@ def test_page_names(spark):
 
 
 def test_optional_ints(spark):
-    assert values(spark, T.optional_int(F.col("t")), "3.9", "", None, " 7 ") == [3, None, None, 7]
+    assert values(spark, T.optional_int(F.col("t")), "3.9", "", None, " 7 ", "n/a", "12d") == [3, None, None, 7, None, None]
+    assert values(spark, T.as_double(F.col("t")), "12d", "1f", "1e3", ".5", "-2.", "x") == [None, None, 1000.0, 0.5, -2.0, None]
 
 
 def test_sequence_quality(spark):
