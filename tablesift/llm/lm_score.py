@@ -1,20 +1,23 @@
 """Language-model scores by online logistic context mixing over binary decisions.
 
-A text is a sequence of words and one end. Frequent words (a bounded alphabet) are coded by a Huffman tree built
-from corpus counts, so a word is a few binary decisions; any other word is an escape followed by its letters. Each
-decision is predicted by three contexts: the tree node alone, the node hashed with the word before, and the node
-hashed with the two words before. The predictors' log odds are mixed by weights that a gate picks by how much the two
-hashed contexts have seen; an adaptive table then refines the mixed probability. Total bits give the score, and
-bits per byte.
+A text is a sequence of words and one end. Words that training has at least twice (an alphabet of at most ALPHABET, the
+most frequent) are coded by a Huffman tree built from corpus counts, so a word is a few binary decisions; any other word
+is an escape followed by a bit, whether the text has had the word before, and then by its place among the text's
+escaped words or by its letters; the words met once tell how likely an escape is. Each of a word's decisions is predicted
+by three contexts: the tree node alone, the node hashed with the word before, and the node hashed with the two words
+before. The predictors' log odds are mixed by weights that a gate picks by how much the two hashed contexts have seen; an
+adaptive table then refines the mixed probability. Total bits give the score, and bits per byte.
 
 Training: every task runs the mixer online over its training texts (predict, correct the weights and the refinement,
-then count). Tasks hand on their dense count tables in ranges, which a streaming sum merges; weights are averaged by
-decisions. The merged tables have a fixed size and are broadcast. Words of the corpus are counted exactly by a
-shuffle; a bounded frequent part is broadcast, other words of a text meet their counts in a join.
-
-Cases: a null text is empty and is one end token. Rows that repeat are scored each; a null id counts as the empty
-text in the fold. Without training rows all counts are 0 and the model is that of an untrained mixer. Extra columns
-are ignored.
+then count) in blocks of at most BLOCK symbols. The context tables grow with the corpus, up to a bound, since they are broadcast; a
+task trains on TASK_TOKENS or more where there are as many, so tables stay a fraction of the text. Tasks hand on their
+dense count tables in ranges, which a streaming sum merges; weights are averaged by decisions. Words of the corpus are
+counted exactly by a shuffle; a bounded frequent part is broadcast, other words of a text meet their counts in a join.
+
+Cases: a null text is empty and is one end token. A text of any length counts whole; one longer than a chunk is a chunk
+of its own. Rows that repeat are scored each; ids of any type do, a null id counts as the empty text in the fold.
+Without training rows all counts are 0 and the model is that of an untrained mixer. An empty table gives no row. Extra
+columns, whatever their names, are ignored.
 """
 
 from __future__ import annotations
@@ -35,11 +38,14 @@ from pyspark.sql import functions as F
 
 from tablesift.llm.common import chunks, crc_mod, held_latest, ship, staged, table
 
-#: Coded words; other words are spelled.
-ALPHABET = 1 << 16
+#: Coded words at most, and how often training has each at least; other words are spelled.
+ALPHABET, LEAST = 1 << 17, 2
 #: Words whose counts are broadcast, the most frequent ones.
 FREQUENT = 1 << 18
-BITS_ONE, BITS_TWO = 20, 21
+#: Bits of the slots for contexts of one word, by the corpus; those of two words have one bit more.
+LEAST_BITS, MOST_BITS = 18, 21
+#: Tokens that a training task takes at least.
+TASK_TOKENS = 6_000_000
 BITS_SPELL, BITS_SPELL_THREE = 12, 14
 #: Parts into which a task's tables are cut for merging.
 RANGES = 64
@@ -48,7 +54,9 @@ LEVELS = 8
 BUCKETS = 32
 RATE = 0.25
 #: Symbols that are predicted before they are counted; a task's first blocks double up to BLOCK, so that small tasks too learn from what they counted.
-FIRST_BLOCK, BLOCK = 1024, 49_152
+FIRST_BLOCK, BLOCK = 256, 4096
+#: Symbols that are scored at a time.
+SCORED = 32_768
 _FLUSH = 300_000
 _STEP = np.float32(256)
 
@@ -71,9 +79,21 @@ class Coder:
     spread: np.ndarray
     bits: np.ndarray
     odds: np.ndarray
+    #: Bits of the slots for contexts of one and of two words.
+    slots: tuple[int, int]
+
+    def table_sizes(self) -> list[int]:
+        """Numbers in each kind of table: one word before, two words before, spelling by one byte, by two, by three."""
+        return [2 << self.slots[0], 2 << self.slots[1], 1 << 16, 256 << BITS_SPELL, 256 << BITS_SPELL_THREE]
+
 
+def slot_bits(tokens: int) -> tuple[int, int]:
+    """About half a slot for each token, within the bounds."""
+    one = min(MOST_BITS, max(LEAST_BITS, int(tokens).bit_length() - 2))
+    return one, one + 1
 
-def build_coder(words: list[bytes], counts: list[int], ends: int, escapes: int) -> Coder:
+
+def build_coder(words: list[bytes], counts: list[int], ends: int, escapes: int, slots: tuple[int, int] = (LEAST_BITS, LEAST_BITS + 1)) -> Coder:
     """Huffman code of end, escape and words by their counts."""
     weights = [max(1, ends), max(1, escapes), *counts]
     heap = [(w, i) for i, w in enumerate(weights)]
@@ -101,7 +121,7 @@ def build_coder(words: list[bytes], counts: list[int], ends: int, escapes: int)
         bits.extend(b for _, b in reversed(path))
     odds = np.array([math.log((b + 0.4) / (a + 0.4)) for a, b in below], dtype=np.float32)
     node = np.array(nodes, dtype=np.uint32)
-    return Coder(words, np.array(starts), np.array(sizes), node * np.uint32(0xC2B2AE35), np.array(bits, dtype=np.uint8), odds[node] if nodes else odds)
+    return Coder(words, np.array(starts), np.array(sizes), node * np.uint32(0xC2B2AE35), np.array(bits, dtype=np.uint8), odds[node] if nodes else odds, slots)
 
 
 def _mixed(x: np.ndarray) -> np.ndarray:
@@ -120,8 +140,8 @@ class Decisions:
         spread, self.bits, self.odds, self.offset = coder.spread[at], coder.bits[at], coder.odds[at], offset
         one = _mixed(before.astype(np.uint32) + np.uint32(1))
         two = _mixed(one ^ _mixed(before_two.astype(np.uint32) + np.uint32(7)))
-        self.one = ((np.repeat(one, sizes) ^ spread) * np.uint32(0x9E3779B1)) >> np.uint32(32 - BITS_ONE)
-        self.two = ((np.repeat(two, sizes) ^ spread) * np.uint32(0x9E3779B1)) >> np.uint32(32 - BITS_TWO)
+        self.one = ((np.repeat(one, sizes) ^ spread) * np.uint32(0x9E3779B1)) >> np.uint32(32 - coder.slots[0])
+        self.two = ((np.repeat(two, sizes) ^ spread) * np.uint32(0x9E3779B1)) >> np.uint32(32 - coder.slots[1])
 
 
 _SEEN = np.minimum(np.frompyfunc(lambda n: int(n).bit_length(), 1, 1)(np.arange(256)).astype(np.uint8), LEVELS - 1)
@@ -222,6 +242,27 @@ class Speller:
         return np.diff(np.concatenate([[0.0], np.cumsum(-np.log2(p))])[np.concatenate([[0], ends])])
 
 
+def _escaped_before(words: list[bytes], doc: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """For each escaped word: whether its text has had it before, and how many distinct ones the text has had."""
+    again, had = np.zeros(len(words), dtype=bool), np.zeros(len(words), dtype=np.int64)
+    seen: set[bytes] = set()
+    last = -1
+    for i, (w, d) in enumerate(zip(words, doc.tolist(), strict=True)):
+        if d != last:
+            seen, last = set(), d
+        had[i] = len(seen)
+        if w in seen:
+            again[i] = True
+        else:
+            seen.add(w)
+    return again, had
+
+
+def _level(had: np.ndarray) -> np.ndarray:
+    """Sixteen levels of how many escaped words a text has had."""
+    return np.minimum(np.ceil(np.log2(had + 1)), 15).astype(np.int64)
+
+
 def word_counts(texts: DataFrame) -> DataFrame:
     """(word, n) over the column text: words as bytes, and the empty word for ends."""
 
@@ -272,9 +313,14 @@ def _ranged(kind: int, counts: np.ndarray) -> Iterator[tuple[int, int, int, byte
             yield kind, r, 2 if part.max() < 1 << 16 else 8, part.astype("<u2" if part.max() < 1 << 16 else "<i8").tobytes()
 
 
-#: Kinds of merged tables and their sizes: one word before, two words before, spelling by one byte, by two, by three; then weights and refinement.
-_SIZES = {0: 2 << BITS_ONE, 1: 2 << BITS_TWO, 2: 1 << 16, 3: 256 << BITS_SPELL, 4: 256 << BITS_SPELL_THREE}
-_WEIGHTS, _REFINED = 5, 6
+#: Kinds of merged tables beside those of `Coder.table_sizes`.
+_WEIGHTS, _REFINED, _AGAIN = 5, 6, 7
+
+
+def _pair(table: np.ndarray, slot: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Counts of bits 0 and 1; both lie in one 64-bit word, so a slot is one access."""
+    both = table.view("<i8").take(slot)
+    return (both & 0xFFFFFFFF).astype(np.int32), (both >> 32).astype(np.int32)
 
 
 def _trained(texts: DataFrame, coder_shared, key: str) -> DataFrame:
@@ -283,7 +329,8 @@ def _trained(texts: DataFrame, coder_shared, key: str) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder: Coder = held_latest("lm", f"coder/{key}", lambda: coder_shared.value)
         known: dict[bytes, int] = held_latest("lm", f"coded/{key}", lambda: {w: i for i, w in enumerate(coder.words)})
-        tables = [np.zeros(n, dtype=np.int32) for n in _SIZES.values()]
+        tables = [np.zeros(n, dtype="<i4") for n in coder.table_sizes()]
+        repeats = np.zeros((16, 2))
         mixer, spelled, met, block = Mixer(), set(), np.zeros(len(coder.words), dtype=bool), FIRST_BLOCK
         for batch in batches:
             for _, part in chunks(batch, "text", 3 << 20):
@@ -292,17 +339,21 @@ def _trained(texts: DataFrame, coder_shared, key: str) -> DataFrame:
                 a = 0
                 while a < len(symbols):
                     d = Decisions(coder, symbols[a : a + block], before[a : a + block], before_two[a : a + block])
-                    one, two, bits = d.one.astype(np.int64) * 2, d.two.astype(np.int64) * 2, d.bits
-                    odds_one, seen_one = _odds(tables[0][one], tables[0][one + 1])
-                    odds_two, seen_two = _odds(tables[1][two], tables[1][two + 1])
+                    one, two, bits = d.one.astype(np.int64), d.two.astype(np.int64), d.bits
+                    odds_one, seen_one = _odds(*_pair(tables[0], one))
+                    odds_two, seen_two = _odds(*_pair(tables[1], two))
                     gate = seen_two.astype(np.int64) * LEVELS + seen_one
                     mixer.learn((d.odds, odds_one, odds_two), gate, seen_two, bits)
                     each = np.ones(len(bits), dtype=np.int32)
-                    np.add.at(tables[0], one + bits, each)
-                    np.add.at(tables[1], two + bits, each)
+                    np.add.at(tables[0], one * 2 + bits, each)
+                    np.add.at(tables[1], two * 2 + bits, each)
                     a, block = a + block, min(2 * block, BLOCK)
+                outside = np.flatnonzero(at < 0)
+                others = [words[i] for i in outside.tolist()]
+                again, had = _escaped_before(others, np.repeat(np.arange(len(sizes)), sizes)[outside])
+                np.add.at(repeats, (_level(had), again.astype(np.int8)), 1)
                 # the speller learns from each word once in a task, coded or not
-                new = {words[i] for i in np.flatnonzero(at < 0).tolist()} - spelled
+                new = set(others) - spelled
                 here = np.zeros(len(met), dtype=bool)
                 here[at[at >= 0]] = True
                 coded = np.flatnonzero(here & ~met).tolist()
@@ -317,7 +368,7 @@ def _trained(texts: DataFrame, coder_shared, key: str) -> DataFrame:
                         spelled.clear()
         rows = [x for kind, t in enumerate(tables) for x in _ranged(kind, t)]
         weighed = np.append(mixer.weights.astype(np.float64).ravel() * mixer.decisions, mixer.decisions)
-        rows += [(_WEIGHTS, 0, 0, weighed.tobytes()), (_REFINED, 0, 0, mixer.refined.tobytes())]
+        rows += [(_WEIGHTS, 0, 0, weighed.tobytes()), (_REFINED, 0, 0, mixer.refined.tobytes()), (_AGAIN, 0, 0, repeats.tobytes())]
         for kind, part, width, content in rows:
             yield pa.RecordBatch.from_arrays([pa.array([kind], pa.int32()), pa.array([part], pa.int32()), pa.array([width], pa.int32()), pa.array([content], pa.binary())], names=["kind", "part", "width", "content"])
 
@@ -356,25 +407,36 @@ class Model:
     speller: Speller
     mixer: Mixer
     rates: np.ndarray
+    #: Texts' escaped words by how many they have had: new ones and ones they have had.
+    repeats: np.ndarray
+
+    def escapes(self, words: list[bytes], doc: np.ndarray, spelled: dict[bytes, float]) -> np.ndarray:
+        """Bits of each escaped word beside its escape; spelled is a cache of what letters cost."""
+        if len(spelled) > _FLUSH:
+            spelled.clear()
+        new = list({w for w in words if w not in spelled})
+        if new:
+            spelled.update(zip(new, self.speller.bits(new).tolist(), strict=True))
+        letters = np.fromiter(map(spelled.__getitem__, words), dtype=np.float64, count=len(words))
+        again, had = _escaped_before(words, doc)
+        counts = self.repeats[_level(had)]
+        p = (counts[:, 1] + 0.5) / (counts.sum(axis=1) + 1)
+        told = np.where(again, -np.log2(p) + np.log2(np.maximum(had, 1)), letters - np.log2(1 - p))
+        return np.where(had > 0, told, letters)
 
     def cost(self, words: list[bytes], at: np.ndarray, sizes: np.ndarray, spelled: dict[bytes, float]) -> np.ndarray:
-        """Bits of each document; spelled is a cache of what words outside the alphabet cost."""
+        """Bits of each document; spelled is a cache of what letters of words cost."""
         coded = len(self.coder.words)
         symbols, before, before_two, starts = _symbols(coded, at, sizes)
         cost = np.empty(len(symbols))
-        for a in range(0, len(symbols), BLOCK):
-            d = Decisions(self.coder, symbols[a : a + BLOCK], before[a : a + BLOCK], before_two[a : a + BLOCK])
-            each = self.mixer.bits(d.odds, self.one[d.one], self.two[d.two], d.bits, self.rates)
-            cost[a : a + BLOCK] = np.add.reduceat(each, d.offset) if len(each) else 0
+        for a in range(0, len(symbols), SCORED):
+            d = Decisions(self.coder, symbols[a : a + SCORED], before[a : a + SCORED], before_two[a : a + SCORED])
+            each = self.mixer.bits(d.odds, self.one.take(d.one), self.two.take(d.two), d.bits, self.rates)
+            cost[a : a + SCORED] = np.add.reduceat(each, d.offset) if len(each) else 0
         outside = np.flatnonzero((at < 0) | (at >= coded))
         others = [words[i] for i in outside.tolist()]
-        if len(spelled) > _FLUSH:
-            spelled.clear()
-        new = list({w for w in others if w not in spelled})
-        if new:
-            spelled.update(zip(new, self.speller.bits(new).tolist(), strict=True))
         doc = np.repeat(np.arange(len(sizes)), sizes)[outside]
-        letters = np.fromiter(map(spelled.__getitem__, others), dtype=np.float64, count=len(others))
+        letters = self.escapes(others, doc, spelled)
         return np.add.reduceat(cost, starts) + np.bincount(doc, weights=letters, minlength=len(sizes))
 
 
@@ -420,22 +482,27 @@ def score_texts(df: DataFrame, id_column: str, text_column: str, folds: int = 5,
     top = top.sort_by([("n", "descending"), ("word", "ascending")])
     words, numbers = top.column("word").to_pylist(), top.column("n").to_pylist()
     ends = counts.filter(F.octet_length("word") == 0).agg(F.sum("n")).first()[0] or 0
-    coded = min(ALPHABET, len(words))
-    coder = build_coder(words[:coded], numbers[:coded], ends, tokens - ends - sum(numbers[:coded]))
+    coded = min(ALPHABET, sum(n >= LEAST for n in numbers))
+    coder = build_coder(words[:coded], numbers[:coded], ends, tokens - ends - sum(numbers[:coded]), slot_bits(tokens))
     coder_shared = spark.sparkContext.broadcast(coder)
-    merged = _merged(_trained(training, coder_shared, key)).collect()
-    mixer = Mixer()
+    # fewer, larger tasks than file splits, without a shuffle
+    tasks = training.coalesce(max(1, -(-tokens // TASK_TOKENS)))
+    merged = _merged(_trained(tasks, coder_shared, key)).collect()
+    mixer, repeats = Mixer(), np.zeros((16, 2))
     for r in merged:
         if r["kind"] == _WEIGHTS:
             total = np.frombuffer(r["content"])
             if total[-1]:
                 mixer.weights = (total[:-1] / total[-1]).reshape(-1, 4).astype(np.float32)
+        if r["kind"] == _AGAIN:
+            repeats = np.frombuffer(r["content"]).reshape(-1, 2).copy()
         if r["kind"] == _REFINED:
             mixer.refined = np.frombuffer(r["content"]).reshape(-1, 2).copy()
-    speller = Speller([_table_of(merged, k, _SIZES[k], "<i4") for k in (2, 3, 4)])
+    sizes = coder.table_sizes()
+    speller = Speller([_table_of(merged, k, sizes[k], "<i4") for k in (2, 3, 4)])
     # of each pair of counts the merged table has one entry
-    one, two = (_table_of(merged, k, _SIZES[k] // 2, "<i2") for k in (0, 1))
-    model = Model(coder, one, two, speller, mixer, mixer.rates())
+    one, two = (_table_of(merged, k, sizes[k] // 2, "<i2") for k in (0, 1))
+    model = Model(coder, one, two, speller, mixer, mixer.rates(), repeats)
     model_shared = spark.sparkContext.broadcast(model)
     known_shared = spark.sparkContext.broadcast((words, np.log10(np.array([*numbers, ends or 0], dtype=np.float64) + 0.5)))
     below = math.log10(tokens + 0.5 * (distinct + 1))

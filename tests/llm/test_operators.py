@@ -395,10 +395,10 @@ def test_the_model_is_a_distribution():
     rng = np.random.default_rng(1)
     words_ = [f"w{i}".encode() for i in range(30)]
     coder = lm_score.build_coder(words_, list(range(60, 30, -1)), 10, 5)
-    one, two = (rng.integers(-800, 800, 1 << b).astype(np.int16) << 3 | rng.integers(0, 8, 1 << b).astype(np.int16) for b in (lm_score.BITS_ONE, lm_score.BITS_TWO))
-    tables = [rng.integers(0, 9, lm_score._SIZES[k]) for k in (2, 3, 4)]
+    one, two = (rng.integers(-800, 800, 1 << b).astype(np.int16) << 3 | rng.integers(0, 8, 1 << b).astype(np.int16) for b in coder.slots)
+    tables = [rng.integers(0, 9, n) for n in coder.table_sizes()[2:]]
     mixer = lm_score.Mixer()
-    model = lm_score.Model(coder, one, two, lm_score.Speller(tables), mixer, mixer.rates())
+    model = lm_score.Model(coder, one, two, lm_score.Speller(tables), mixer, mixer.rates(), np.ones((16, 2)))
     symbols = np.arange(32)
     d = lm_score.Decisions(coder, symbols, np.full(32, 3), np.full(32, 4))
     bits = mixer.bits(d.odds, model.one[d.one], model.two[d.two], d.bits, model.rates)
@@ -414,6 +414,138 @@ def test_the_model_beats_unigrams_on_repeated_context(spark):
     assert held and all(r.score > 0.3 * r.base_score for r in held)
 
 
+class PlainMixer:
+    """The model bit by bit: dictionaries for tables, one decision after the other; corrections at the ends of blocks."""
+
+    def __init__(self, coder):
+        self.coder, self.counts, self.letters = coder, defaultdict(lambda: [0, 0]), Counter()
+        self.w = [[0.4, 0.4, 0.3, 0.0] for _ in range(64)]
+        self.squares = [[1e-4] * 4 for _ in range(64)]
+        self.refined = [[0, 0] for _ in range(8 * 32)]
+
+    def decisions(self, symbol, before, before_two):
+        """(bit, odds of the node, slot of one word, slot of two words)"""
+        d = lm_score.Decisions(self.coder, np.array([symbol]), np.array([before]), np.array([before_two]))
+        return list(zip(d.bits.tolist(), d.odds.tolist(), d.one.tolist(), d.two.tolist(), strict=True))
+
+    def inputs(self, one, two, rounded):
+        odds, seen = [], []
+        for key in (("one", one), ("two", two)):
+            zeros, ones = self.counts[key]
+            x = math.log((ones + 0.4) / (zeros + 0.4))
+            odds.append(max(-4095, min(4095, round(x * 256))) / 256 if rounded else x)
+            seen.append(min(7, (zeros + ones).bit_length()))
+        return odds, seen[1] * 8 + seen[0], seen[1]
+
+    def mixed(self, own, odds, gate):
+        w = self.w[gate]
+        return max(-11.0, min(11.0, w[3] + w[0] * own + w[1] * odds[0] + w[2] * odds[1]))
+
+    def bucket(self, x, level):
+        return level * 32 + int((x + 11) * (32 - 0.01) / 22)
+
+    def learn(self, block):
+        steps = []
+        for symbol in block:
+            for bit, own, one, two in self.decisions(*symbol):
+                odds, gate, level = self.inputs(one, two, False)
+                x = self.mixed(own, odds, gate)
+                steps.append((gate, (own, *odds, 1.0), bit - 1 / (1 + math.exp(-x)), self.bucket(x, level), bit, one, two))
+        for gate in {s[0] for s in steps}:
+            mine = [s for s in steps if s[0] == gate]
+            for i in range(4):
+                g = sum(s[1][i] * s[2] for s in mine) / len(mine)
+                self.squares[gate][i] += g * g
+                self.w[gate][i] += lm_score.RATE * g / math.sqrt(self.squares[gate][i])
+        for _, _, _, bucket, bit, one, two in steps:
+            self.refined[bucket][bit] += 1
+            self.counts["one", one][bit] += 1
+            self.counts["two", two][bit] += 1
+
+    def cost(self, symbol):
+        total = 0.0
+        for bit, own, one, two in self.decisions(*symbol):
+            odds, gate, level = self.inputs(one, two, True)
+            x = self.mixed(own, odds, gate)
+            bucket = self.bucket(x, level)
+            zeros, ones = self.refined[bucket]
+            middle = (bucket % 32 + 0.5) * 22 / 32 - 11
+            rate = (ones + 8 / (1 + math.exp(-middle))) / (zeros + ones + 8)
+            p = (1 / (1 + math.exp(-x)) + rate) / 2
+            total -= math.log2(max(1e-6, p if bit else 1 - p))
+        return total
+
+    def spell(self, word):
+        for order in (1, 2, 3):
+            for context, c in self.spelled(word, order):
+                self.letters[order, context] += 1
+                self.letters[order, context, c] += 1
+
+    def spelled(self, word, order):
+        text = b"   " + word + b" "
+        return [(text[i - order : i], text[i]) for i in range(3, len(text))]
+
+    def letters_cost(self, word):
+        total = 0.0
+        for steps in zip(*(self.spelled(word, k) for k in (1, 2, 3)), strict=True):
+            p = 1 / 256
+            for order, (context, c) in enumerate(steps, 1):
+                p = (self.letters[order, context, c] + 4 * p) / (self.letters[order, context] + 4)
+            total -= math.log2(p)
+        return total
+
+
+def test_scores_equal_a_plain_mixer(spark):
+    rows = [(i, " ".join(f"w{(i * k * 7 + k) % 19}" + ("" if k % 5 else f"x{i}y{k % 15}") for k in range(40 + i))) for i in range(24)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").coalesce(1)
+    got = {r.doc_id: r.score for r in lm_score.score_texts(df, "doc_id", "text").collect()}
+    training = [lm_score.split(t) for i, t in rows if zlib.crc32(str(i).encode()) % 5 != 1]
+    counts = Counter(w for d in training for w in d)
+    coded = sorted((w for w, n in counts.items() if n >= lm_score.LEAST), key=lambda w: (-counts[w], w))
+    tokens = sum(counts.values()) + len(training)
+    escapes = sum(n for w, n in counts.items() if n < lm_score.LEAST)
+    coder = lm_score.build_coder(coded, [counts[w] for w in coded], len(training), escapes, lm_score.slot_bits(tokens))
+    name = {w: i + 2 for i, w in enumerate(coded)}
+
+    def symbols(doc):
+        own = [0, 0, *(name.get(w, 1) for w in doc), 0]
+        return [(own[i], own[i - 1], own[i - 2]) for i in range(2, len(own))]
+
+    model, a, block = PlainMixer(coder), 0, lm_score.FIRST_BLOCK
+    stream = [x for d in training for x in symbols(d)]
+    while a < len(stream):
+        model.learn(stream[a : a + block])
+        a, block = a + block, min(2 * block, lm_score.BLOCK)
+    for w in counts:
+        model.spell(w)
+
+    def escapes(doc):
+        seen = []
+        for w in doc:
+            if w not in name:
+                yield w, w in seen, len(seen)
+                if w not in seen:
+                    seen.append(w)
+
+    again = defaultdict(lambda: [0, 0])
+    for d in training:
+        for _, known, had in escapes(d):
+            again[min(15, math.ceil(math.log2(had + 1)))][known] += 1
+    for i, t in rows:
+        doc = lm_score.split(t)
+        bits = sum(map(model.cost, symbols(doc)))
+        for w, known, had in escapes(doc):
+            new, old = again[min(15, math.ceil(math.log2(had + 1)))]
+            p = (old + 0.5) / (new + old + 1)
+            bits += 0.0 if not had else -math.log2(p if known else 1 - p)
+            bits += math.log2(had) if known else model.letters_cost(w)
+        assert math.isclose(got[i], -bits * math.log10(2), rel_tol=2e-3), i
+
+
+def test_tables_grow_with_the_corpus():
+    assert [lm_score.slot_bits(n)[0] for n in (0, 1 << 18, 1 << 20, 1 << 22, 1 << 30)] == [18, 18, 19, 21, 21]
+
+
 def test_every_decision_corrects_the_mixer(spark):
     text = words(1, 60_000)
     counts = Counter(lm_score.split(text))
