@@ -57,7 +57,7 @@ RATE = 0.25
 FIRST_BLOCK, BLOCK = 256, 4096
 #: Symbols that are scored at a time.
 SCORED = 32_768
-_FLUSH = 300_000
+_FLUSH = 150_000
 _STEP = np.float32(256)
 
 LOWER = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
@@ -366,10 +366,10 @@ def _trained(texts: DataFrame, coder_shared, key: str) -> DataFrame:
                     spelled |= new
                     if len(spelled) > _FLUSH:
                         spelled.clear()
-        rows = [x for kind, t in enumerate(tables) for x in _ranged(kind, t)]
         weighed = np.append(mixer.weights.astype(np.float64).ravel() * mixer.decisions, mixer.decisions)
-        rows += [(_WEIGHTS, 0, 0, weighed.tobytes()), (_REFINED, 0, 0, mixer.refined.tobytes()), (_AGAIN, 0, 0, repeats.tobytes())]
-        for kind, part, width, content in rows:
+        own = [(_WEIGHTS, 0, 0, weighed.tobytes()), (_REFINED, 0, 0, mixer.refined.tobytes()), (_AGAIN, 0, 0, repeats.tobytes())]
+        # one range at a time beside the tables
+        for kind, part, width, content in chain(own, (x for kind, t in enumerate(tables) for x in _ranged(kind, t))):
             yield pa.RecordBatch.from_arrays([pa.array([kind], pa.int32()), pa.array([part], pa.int32()), pa.array([width], pa.int32()), pa.array([content], pa.binary())], names=["kind", "part", "width", "content"])
 
     return texts.mapInArrow(run, "kind int, part int, width int, content binary")
