@@ -57,7 +57,7 @@ RATE = 0.25
 FIRST_BLOCK, BLOCK = 256, 4096
 #: Symbols that are scored at a time.
 SCORED = 32_768
-_FLUSH = 150_000
+_FLUSH = 250_000
 _STEP = np.float32(256)
 
 LOWER = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
