@@ -36,7 +36,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tablesift.llm.common import chunks, crc_mod, held_latest, ship, staged, table
+from tablesift.llm.common import chunks, crc_mod, held, held_latest, ship, staged, table
 
 #: Coded words at most, and how often training has each at least; other words are spelled.
 ALPHABET, LEAST = 1 << 17, 2
@@ -267,7 +267,9 @@ def word_counts(texts: DataFrame) -> DataFrame:
     """(word, n) over the column text: words as bytes, and the empty word for ends."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts: Counter = Counter()
+        # an earlier model goes now, not when the next one comes
+        counts: Counter = held("lm_count", "words", Counter)
+        counts.clear()
 
         def flushed() -> pa.RecordBatch:
             out = pa.RecordBatch.from_arrays([pa.array(list(counts), pa.binary()), pa.array(list(counts.values()), pa.int64())], names=["word", "n"])
@@ -327,8 +329,8 @@ def _trained(texts: DataFrame, coder_shared, key: str) -> DataFrame:
     """(kind, part, width, content): each task's tables after its online pass."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        coder: Coder = held_latest("lm", f"coder/{key}", lambda: coder_shared.value)
-        known: dict[bytes, int] = held_latest("lm", f"coded/{key}", lambda: {w: i for i, w in enumerate(coder.words)})
+        coder: Coder = held_latest("lm_train", f"coder/{key}", lambda: coder_shared.value)
+        known: dict[bytes, int] = held_latest("lm_train", f"coded/{key}", lambda: {w: i for i, w in enumerate(coder.words)})
         tables = [np.zeros(n, dtype="<i4") for n in coder.table_sizes()]
         repeats = np.zeros((16, 2))
         mixer, spelled, met, block = Mixer(), set(), np.zeros(len(coder.words), dtype=bool), FIRST_BLOCK
@@ -508,10 +510,10 @@ def score_texts(df: DataFrame, id_column: str, text_column: str, folds: int = 5,
     below = math.log10(tokens + 0.5 * (distinct + 1))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own: Model = held_latest("lm", f"model/{key}", lambda: model_shared.value)
-        known: dict[bytes, int] = held_latest("lm", f"known/{key}", lambda: {w: i for i, w in enumerate(known_shared.value[0])})
+        own: Model = held_latest("lm_score", f"model/{key}", lambda: model_shared.value)
+        known: dict[bytes, int] = held_latest("lm_score", f"known/{key}", lambda: {w: i for i, w in enumerate(known_shared.value[0])})
         logs = known_shared.value[1]
-        spelled: dict[bytes, float] = held_latest("lm", f"spelled/{key}", dict)
+        spelled: dict[bytes, float] = held_latest("lm_score", f"spelled/{key}", dict)
         part_id, row = TaskContext.get().partitionId(), 0
         for batch in batches:
             for start, texts in chunks(batch, "text", 2 << 20):
