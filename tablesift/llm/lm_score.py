@@ -25,7 +25,6 @@ from __future__ import annotations
 import heapq
 import math
 import uuid
-from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 from itertools import chain, repeat
@@ -56,7 +55,7 @@ RATE = 0.25
 #: Symbols that are predicted before they are counted; a task's first blocks double up to BLOCK, so that small tasks too learn from what they counted.
 FIRST_BLOCK, BLOCK = 256, 4096
 #: Symbols that are scored at a time.
-SCORED = 32_768
+SCORED = 8192
 _FLUSH = 250_000
 _STEP = np.float32(256)
 
@@ -68,6 +67,42 @@ def split(text: str | None) -> list[bytes]:
     return text.encode().translate(LOWER).split() if text else []
 
 
+@dataclass
+class Words:
+    """The words of some texts, each as a place among the distinct ones."""
+
+    distinct: pa.LargeBinaryArray
+    codes: np.ndarray
+    #: Words and UTF-8 bytes of each text.
+    sizes: np.ndarray
+    lengths: np.ndarray
+
+    def owners(self) -> np.ndarray:
+        """The text that each word is of."""
+        return np.repeat(np.arange(len(self.sizes)), self.sizes)
+
+    def listed(self) -> list[bytes]:
+        """The distinct words; by way of numpy, which makes no scalar for each."""
+        return self.distinct.to_numpy(zero_copy_only=False).tolist()
+
+
+def words_of(texts: list[str | None]) -> Words:
+    """What `split` gives for each text, found for all at once without an object for each word."""
+    raw = [t.encode() if t else b"" for t in texts]
+    lengths = np.fromiter(map(len, raw), dtype=np.int64, count=len(raw))
+    data = np.frombuffer(b" ".join([b"", *raw, b""]).translate(LOWER), dtype=np.uint8)
+    inside = (data != 32) & (data - np.uint8(9) > 4)
+    edges = np.flatnonzero(inside[1:] != inside[:-1]) + 1
+    starts, ends = edges[::2], edges[1::2]
+    begins = np.cumsum(lengths + 1) - lengths
+    sizes = np.diff(np.append(np.searchsorted(starts, begins), len(starts)))
+    offsets = np.zeros(len(starts) + 1, dtype=np.int64)
+    np.cumsum(ends - starts, out=offsets[1:])
+    words = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(starts), [None, pa.py_buffer(offsets), pa.py_buffer(data[inside])])
+    encoded = words.dictionary_encode()
+    return Words(encoded.dictionary, encoded.indices.to_numpy().astype(np.int64), sizes, lengths)
+
+
 @dataclass
 class Coder:
     """Each symbol's path through the tree. Symbol 0 is the end, 1 the escape, then come the coded words, most frequent first."""
@@ -133,15 +168,22 @@ class Decisions:
     """The binary decisions of a block of symbols with their context slots."""
 
     def __init__(self, coder: Coder, symbols: np.ndarray, before: np.ndarray, before_two: np.ndarray) -> None:
-        sizes = coder.sizes[symbols]
-        total = int(sizes.sum())
+        sizes = coder.sizes.take(symbols)
         offset = np.cumsum(sizes) - sizes
-        at = np.arange(total) + np.repeat(coder.starts[symbols] - offset, sizes)
-        spread, self.bits, self.odds, self.offset = coder.spread[at], coder.bits[at], coder.odds[at], offset
+        at = np.repeat(coder.starts.take(symbols) - offset, sizes)
+        at += np.arange(len(at))
+        spread, self.bits, self.odds, self.offset = coder.spread.take(at), coder.bits.take(at), coder.odds.take(at), offset
         one = _mixed(before.astype(np.uint32) + np.uint32(1))
         two = _mixed(one ^ _mixed(before_two.astype(np.uint32) + np.uint32(7)))
-        self.one = ((np.repeat(one, sizes) ^ spread) * np.uint32(0x9E3779B1)) >> np.uint32(32 - coder.slots[0])
-        self.two = ((np.repeat(two, sizes) ^ spread) * np.uint32(0x9E3779B1)) >> np.uint32(32 - coder.slots[1])
+        self.one, self.two = (self._slots(x, sizes, spread, bits) for x, bits in zip((one, two), coder.slots, strict=True))
+
+    @staticmethod
+    def _slots(context: np.ndarray, sizes: np.ndarray, spread: np.ndarray, bits: int) -> np.ndarray:
+        x = np.repeat(context, sizes)
+        x ^= spread
+        x *= np.uint32(0x9E3779B1)
+        x >>= np.uint32(32 - bits)
+        return x.astype(np.intp)
 
 
 _SEEN = np.minimum(np.frompyfunc(lambda n: int(n).bit_length(), 1, 1)(np.arange(256)).astype(np.uint8), LEVELS - 1)
@@ -149,9 +191,10 @@ _SEEN = np.minimum(np.frompyfunc(lambda n: int(n).bit_length(), 1, 1)(np.arange(
 
 def _odds(zeros: np.ndarray, ones: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Log odds of a bit 1 and how much the context has seen, from 0 to LEVELS - 1."""
-    seen = zeros + ones
-    odds = np.log((ones.astype(np.float32) + np.float32(0.4)) / (zeros.astype(np.float32) + np.float32(0.4)))
-    return odds, _SEEN[np.minimum(seen, 255)]
+    odds = ones.astype(np.float32)
+    odds += np.float32(0.4)
+    odds /= zeros.astype(np.float32) + np.float32(0.4)
+    return np.log(odds, out=odds), _SEEN.take(np.minimum(zeros + ones, 255))
 
 
 class Mixer:
@@ -165,11 +208,12 @@ class Mixer:
 
     def mix(self, odds: tuple[np.ndarray, ...], gate: np.ndarray) -> np.ndarray:
         """Log odds of a bit 1."""
-        w = self.weights
-        x = w[:, 3][gate]
+        w = np.ascontiguousarray(self.weights.T)
+        x = w[3].take(gate)
         for i, o in enumerate(odds):
-            x += w[:, i][gate] * o
-        return np.clip(x, -11, 11, out=x)
+            x += w[i].take(gate) * o
+        np.minimum(x, np.float32(11), out=x)
+        return np.maximum(x, np.float32(-11), out=x)
 
     def buckets(self, x: np.ndarray, level: np.ndarray) -> np.ndarray:
         return level.astype(np.int32) * BUCKETS + ((x + np.float32(11)) * np.float32((BUCKETS - 0.01) / 22)).astype(np.int32)
@@ -242,20 +286,15 @@ class Speller:
         return np.diff(np.concatenate([[0.0], np.cumsum(-np.log2(p))])[np.concatenate([[0], ends])])
 
 
-def _escaped_before(words: list[bytes], doc: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """For each escaped word: whether its text has had it before, and how many distinct ones the text has had."""
-    again, had = np.zeros(len(words), dtype=bool), np.zeros(len(words), dtype=np.int64)
-    seen: set[bytes] = set()
-    last = -1
-    for i, (w, d) in enumerate(zip(words, doc.tolist(), strict=True)):
-        if d != last:
-            seen, last = set(), d
-        had[i] = len(seen)
-        if w in seen:
-            again[i] = True
-        else:
-            seen.add(w)
-    return again, had
+def _escaped_before(code: np.ndarray, doc: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """For each escaped word: whether its text has had it before, and how many distinct ones the text has had.
+
+    code: the words as numbers; doc: the texts they are of, ascending.
+    """
+    first = np.zeros(len(code), dtype=bool)
+    first[np.unique(doc * (code.max(initial=0) + 1) + code, return_index=True)[1]] = True
+    passed = np.cumsum(first) - first
+    return ~first, passed - passed[np.searchsorted(doc, doc)]
 
 
 def _level(had: np.ndarray) -> np.ndarray:
@@ -268,31 +307,34 @@ def word_counts(texts: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         # an earlier model goes now, not when the next one comes
-        counts: Counter = held("lm_count", "words", Counter)
-        counts.clear()
+        held("lm_count", "nothing", list)
+        words, counts, ends = pa.array([], pa.large_binary()), np.zeros(0, dtype=np.int64), 0
 
         def flushed() -> pa.RecordBatch:
-            out = pa.RecordBatch.from_arrays([pa.array(list(counts), pa.binary()), pa.array(list(counts.values()), pa.int64())], names=["word", "n"])
-            counts.clear()
-            return out
+            return pa.RecordBatch.from_arrays([words.cast(pa.binary()), pa.array(counts)], names=["word", "n"])
 
         for batch in batches:
             for _, part in chunks(batch, "text"):
-                for text in part:
-                    counts.update(split(text))
-                counts[b""] += len(part)
-                if len(counts) > _FLUSH:
+                own = words_of(part)
+                both = pa.concat_arrays([words, own.distinct]).dictionary_encode()
+                # sums of whole numbers below 2^53 are exact
+                n = np.append(counts, np.bincount(own.codes, minlength=len(own.distinct)))
+                words, counts = both.dictionary, np.bincount(both.indices.to_numpy(), weights=n, minlength=len(both.dictionary)).astype(np.int64)
+                ends += len(part)
+                if len(words) > _FLUSH:
                     yield flushed()
-        if counts:
+                    words, counts = words[:0], counts[:0]
+        if len(words):
             yield flushed()
+        if ends:
+            yield pa.RecordBatch.from_arrays([pa.array([b""], pa.binary()), pa.array([ends], pa.int64())], names=["word", "n"])
 
     return texts.mapInArrow(run, "word binary, n long").groupBy("word").agg(F.sum("n").alias("n"))
 
 
-def _looked_up(docs: list[list[bytes]], known: dict[bytes, int]) -> tuple[list[bytes], np.ndarray, np.ndarray]:
-    """(all words, their places among the known words or -1, words of each document)."""
-    words = list(chain.from_iterable(docs))
-    return words, np.fromiter(map(known.get, words, repeat(-1)), dtype=np.int64, count=len(words)), np.array([len(d) for d in docs])
+def _looked_up(words: list[bytes], known: dict[bytes, int]) -> np.ndarray:
+    """The words' places among the known words, or -1."""
+    return np.fromiter(map(known.get, words, repeat(-1)), dtype=np.int64, count=len(words))
 
 
 def _symbols(coded: int, at: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -321,8 +363,12 @@ _WEIGHTS, _REFINED, _AGAIN = 5, 6, 7
 
 def _pair(table: np.ndarray, slot: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Counts of bits 0 and 1; both lie in one 64-bit word, so a slot is one access."""
-    both = table.view("<i8").take(slot)
-    return (both & 0xFFFFFFFF).astype(np.int32), (both >> 32).astype(np.int32)
+    both = table.view("<i8").take(slot).view("<i4")
+    return both[::2], both[1::2]
+
+
+#: What a bit 0 and a bit 1 add to such a word.
+_BIT = np.array([1, 1 << 32], dtype="<i8")
 
 
 def _trained(texts: DataFrame, coder_shared, key: str) -> DataFrame:
@@ -336,28 +382,29 @@ def _trained(texts: DataFrame, coder_shared, key: str) -> DataFrame:
         mixer, spelled, met, block = Mixer(), set(), np.zeros(len(coder.words), dtype=bool), FIRST_BLOCK
         for batch in batches:
             for _, part in chunks(batch, "text", 3 << 20):
-                words, at, sizes = _looked_up([split(t) for t in part], known)
-                symbols, before, before_two, _ = _symbols(len(known), at, sizes)
+                own = words_of(part)
+                words = own.listed()
+                place = _looked_up(words, known)
+                at = place.take(own.codes)
+                symbols, before, before_two, _ = _symbols(len(known), at, own.sizes)
                 a = 0
                 while a < len(symbols):
                     d = Decisions(coder, symbols[a : a + block], before[a : a + block], before_two[a : a + block])
-                    one, two, bits = d.one.astype(np.int64), d.two.astype(np.int64), d.bits
-                    odds_one, seen_one = _odds(*_pair(tables[0], one))
-                    odds_two, seen_two = _odds(*_pair(tables[1], two))
-                    gate = seen_two.astype(np.int64) * LEVELS + seen_one
-                    mixer.learn((d.odds, odds_one, odds_two), gate, seen_two, bits)
-                    each = np.ones(len(bits), dtype=np.int32)
-                    np.add.at(tables[0], one * 2 + bits, each)
-                    np.add.at(tables[1], two * 2 + bits, each)
+                    odds_one, seen_one = _odds(*_pair(tables[0], d.one))
+                    odds_two, seen_two = _odds(*_pair(tables[1], d.two))
+                    gate = seen_two.astype(np.intp) * LEVELS + seen_one
+                    mixer.learn((d.odds, odds_one, odds_two), gate, seen_two, d.bits)
+                    each = _BIT.take(d.bits)
+                    np.add.at(tables[0].view("<i8"), d.one, each)
+                    np.add.at(tables[1].view("<i8"), d.two, each)
                     a, block = a + block, min(2 * block, BLOCK)
                 outside = np.flatnonzero(at < 0)
-                others = [words[i] for i in outside.tolist()]
-                again, had = _escaped_before(others, np.repeat(np.arange(len(sizes)), sizes)[outside])
+                again, had = _escaped_before(own.codes[outside], own.owners()[outside])
                 np.add.at(repeats, (_level(had), again.astype(np.int8)), 1)
                 # the speller learns from each word once in a task, coded or not
-                new = set(others) - spelled
+                new = {words[i] for i in np.flatnonzero(place < 0).tolist()} - spelled
                 here = np.zeros(len(met), dtype=bool)
-                here[at[at >= 0]] = True
+                here[place[place >= 0]] = True
                 coded = np.flatnonzero(here & ~met).tolist()
                 met |= here
                 if new or coded:
@@ -412,23 +459,25 @@ class Model:
     #: Texts' escaped words by how many they have had: new ones and ones they have had.
     repeats: np.ndarray
 
-    def escapes(self, words: list[bytes], doc: np.ndarray, spelled: dict[bytes, float]) -> np.ndarray:
-        """Bits of each escaped word beside its escape; spelled is a cache of what letters cost."""
+    def escapes(self, words: list[bytes], code: np.ndarray, doc: np.ndarray, spelled: dict[bytes, float]) -> np.ndarray:
+        """Bits of each escaped word beside its escape; code: their places in `words`; spelled is a cache of what letters cost."""
         if len(spelled) > _FLUSH:
             spelled.clear()
-        new = list({w for w in words if w not in spelled})
+        own, code = np.unique(code, return_inverse=True)
+        names = [words[i] for i in own.tolist()]
+        new = [w for w in names if w not in spelled]
         if new:
             spelled.update(zip(new, self.speller.bits(new).tolist(), strict=True))
-        letters = np.fromiter(map(spelled.__getitem__, words), dtype=np.float64, count=len(words))
-        again, had = _escaped_before(words, doc)
+        letters = np.fromiter(map(spelled.__getitem__, names), dtype=np.float64, count=len(names))[code]
+        again, had = _escaped_before(code, doc)
         counts = self.repeats[_level(had)]
         p = (counts[:, 1] + 0.5) / (counts.sum(axis=1) + 1)
         told = np.where(again, -np.log2(p) + np.log2(np.maximum(had, 1)), letters - np.log2(1 - p))
         return np.where(had > 0, told, letters)
 
-    def cost(self, words: list[bytes], at: np.ndarray, sizes: np.ndarray, spelled: dict[bytes, float]) -> np.ndarray:
-        """Bits of each document; spelled is a cache of what letters of words cost."""
-        coded = len(self.coder.words)
+    def cost(self, words: list[bytes], own: Words, at: np.ndarray, spelled: dict[bytes, float]) -> np.ndarray:
+        """Bits of each document; words: the distinct ones; at: each word's place among the known; spelled is a cache of what letters cost."""
+        coded, sizes = len(self.coder.words), own.sizes
         symbols, before, before_two, starts = _symbols(coded, at, sizes)
         cost = np.empty(len(symbols))
         for a in range(0, len(symbols), SCORED):
@@ -436,9 +485,8 @@ class Model:
             each = self.mixer.bits(d.odds, self.one.take(d.one), self.two.take(d.two), d.bits, self.rates)
             cost[a : a + SCORED] = np.add.reduceat(each, d.offset) if len(each) else 0
         outside = np.flatnonzero((at < 0) | (at >= coded))
-        others = [words[i] for i in outside.tolist()]
-        doc = np.repeat(np.arange(len(sizes)), sizes)[outside]
-        letters = self.escapes(others, doc, spelled)
+        doc = own.owners()[outside]
+        letters = self.escapes(words, own.codes[outside], doc, spelled)
         return np.add.reduceat(cost, starts) + np.bincount(doc, weights=letters, minlength=len(sizes))
 
 
@@ -460,14 +508,13 @@ def _least_count(counts: DataFrame, most: int) -> int:
     return 1
 
 
-def _rare_words(words: list[bytes], doc: np.ndarray, at: np.ndarray, docs: int) -> pa.ListArray:
+def _rare_words(own: Words, at: np.ndarray) -> pa.ListArray:
     """For each document its distinct words among the given places, with their numbers."""
-    names: dict[bytes, int] = {}
-    name = np.fromiter((names.setdefault(words[i], len(names)) for i in at.tolist()), dtype=np.int64, count=len(at))
-    pairs, counts = np.unique(doc[at] * max(1, len(names)) + name, return_counts=True)
-    owner, name = np.divmod(pairs, max(1, len(names)))
-    offsets = np.searchsorted(owner, np.arange(docs + 1)).astype(np.int32)
-    entries = pa.StructArray.from_arrays([pa.array(list(names), pa.binary()).take(pa.array(name)), pa.array(counts, pa.int64())], names=["word", "n"])
+    distinct = max(1, len(own.distinct))
+    pairs, counts = np.unique(own.owners()[at] * distinct + own.codes[at], return_counts=True)
+    owner, name = np.divmod(pairs, distinct)
+    offsets = np.searchsorted(owner, np.arange(len(own.sizes) + 1)).astype(np.int32)
+    entries = pa.StructArray.from_arrays([own.distinct.take(pa.array(name)).cast(pa.binary()), pa.array(counts, pa.int64())], names=["word", "n"])
     return pa.ListArray.from_arrays(pa.array(offsets), entries)
 
 
@@ -517,14 +564,16 @@ def score_texts(df: DataFrame, id_column: str, text_column: str, folds: int = 5,
         part_id, row = TaskContext.get().partitionId(), 0
         for batch in batches:
             for start, texts in chunks(batch, "text", 2 << 20):
-                words, at, sizes = _looked_up([split(t) for t in texts], known)
-                n = len(sizes)
-                bits = own.cost(words, at, sizes, spelled)
-                doc, found = np.repeat(np.arange(n), sizes), at >= 0
+                mine = words_of(texts)
+                words = mine.listed()
+                at = _looked_up(words, known).take(mine.codes)
+                n, sizes = len(mine.sizes), mine.sizes
+                bits = own.cost(words, mine, at, spelled)
+                doc, found = mine.owners(), at >= 0
                 base = np.bincount(doc[found], weights=logs[at[found]], minlength=n) + logs[-1] - below * (sizes + 1)
                 seen = np.bincount(doc[found], minlength=n) + (ends > 0)
-                rare = _rare_words(words, doc, np.flatnonzero(~found), n)
-                size = np.array([len(t.encode()) if t else 0 for t in texts])
+                rare = _rare_words(mine, np.flatnonzero(~found))
+                size = mine.lengths
                 yield pa.RecordBatch.from_arrays(
                     [pa.array([part_id] * n, pa.int32()), pa.array(range(row, row + n), pa.int64()), batch.column(0).slice(start, n), batch.column(1).slice(start, n)]
                     + [pa.array(sizes + 1, pa.int64()), pa.array(seen, pa.int64()), pa.array(base, pa.float64()), pa.array(-bits * math.log10(2), pa.float64()), pa.array(bits / np.maximum(size, 1), pa.float64())]
