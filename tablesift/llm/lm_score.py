@@ -371,6 +371,15 @@ def _pair(table: np.ndarray, slot: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 _BIT = np.array([1, 1 << 32], dtype="<i8")
 
 
+def _count(table: np.ndarray, slot: np.ndarray, bits: np.ndarray) -> None:
+    """Counts a block's decisions.
+
+    _BIT is read here, in the worker's own module: a copy pickled with a task has another dtype object, which keeps
+    `add.at` from its fast loop.
+    """
+    np.add.at(table.view("<i8"), slot, _BIT.take(bits))
+
+
 def _trained(texts: DataFrame, coder_shared, key: str) -> DataFrame:
     """(kind, part, width, content): each task's tables after its online pass."""
 
@@ -394,9 +403,8 @@ def _trained(texts: DataFrame, coder_shared, key: str) -> DataFrame:
                     odds_two, seen_two = _odds(*_pair(tables[1], d.two))
                     gate = seen_two.astype(np.intp) * LEVELS + seen_one
                     mixer.learn((d.odds, odds_one, odds_two), gate, seen_two, d.bits)
-                    each = _BIT.take(d.bits)
-                    np.add.at(tables[0].view("<i8"), d.one, each)
-                    np.add.at(tables[1].view("<i8"), d.two, each)
+                    _count(tables[0], d.one, d.bits)
+                    _count(tables[1], d.two, d.bits)
                     a, block = a + block, min(2 * block, BLOCK)
                 outside = np.flatnonzero(at < 0)
                 again, had = _escaped_before(own.codes[outside], own.owners()[outside])
