@@ -802,3 +802,23 @@ def test_chunks_are_bounded_by_bytes():
     batch = pa.RecordBatch.from_pydict({"text": pa.array(texts, pa.string())})
     assert list(chunks(batch, "text", 4)) == [(0, [None, "", "ab"]), (3, ["c" * 9]), (4, ["é", None, "d"])]
     assert [t for _, part in chunks(batch.slice(2), "text", 1) for t in part] == texts[2:]
+
+
+@pytest.mark.parametrize("texts", [[], [None, ""], [" \t\r\n", "a"], ["A b\x0b\x0cB\x1ca", None, "\x00 é É a a", "", "x " * 5000], ["one"], [" x ", "x", "X\ny"]])
+def test_words_of_texts_are_those_of_split(texts):
+    found = lm_score.words_of(texts)
+    listed = found.listed()
+    split = [lm_score.split(t) for t in texts]
+    assert [listed[c] for c in found.codes.tolist()] == [w for d in split for w in d]
+    assert len(set(listed)) == len(listed)
+    assert found.sizes.tolist() == [len(d) for d in split]
+    assert found.lengths.tolist() == [len((t or "").encode()) for t in texts]
+    assert found.owners().tolist() == [i for i, d in enumerate(split) for _ in d]
+
+
+def test_escaped_words_met_before_in_their_text():
+    code, doc = np.array([4, 2, 4, 4, 2, 9, 2, 2]), np.array([0, 0, 0, 2, 2, 2, 2, 5])
+    again, had = lm_score._escaped_before(code, doc)
+    assert again.tolist() == [False, False, True, False, False, False, True, False]
+    assert had.tolist() == [0, 1, 2, 0, 1, 2, 3, 0]
+    assert [len(x) for x in lm_score._escaped_before(code[:0], doc[:0])] == [0, 0]
