@@ -14,6 +14,8 @@ ordered by document id, then line. All runs of that kind count, so whole maximal
    overlapping ranks of the largest power of two that fits. All but the interval's first place are later copies.
 Doubling ends when that power reaches the longest run needed, or no suffix is left. Everything is DataFrame
 operations; joins on ranks deal hot ones over several tasks.
+4. A broadcast Bloom filter of the texts that lose lines sends only those (and a few more) to the join with their ranges.
+   All others keep their text and never travel; for that the input is read twice.
 
 Cases: a null text has no lines and stays null; an empty or blank text stays as it is. Ids of any orderable type do.
 Rows with a null id are kept whole and are no source. Rows with the same id and text are one document, and each row
@@ -34,6 +36,9 @@ from tablesift.llm.common import release, salted, staged, table
 
 #: Characters in the lines of a run that is worth deleting.
 LEAST = 200
+#: The filter of texts that lose lines: bits for each, words of 64 bits in a block, and blocks at most (32 MB in all).
+#: A fuller filter only sends more texts to the exact join.
+FILTER_BITS, BLOCK_WORDS, MOST_BLOCKS = 16, 256, 1 << 14
 
 
 def _identity(id_column: str, text: Column) -> list[Column]:
@@ -122,12 +127,36 @@ def repeated_runs(df: DataFrame, id_column: str, text_column: str, least: int =
     return out
 
 
+def _slots(version: Column, blocks: int) -> tuple[Column, Column, Column]:
+    """(block, word, mask) of a text in the filter: four bits of one word; blocks: a power of two."""
+    h = F.xxhash64(F.lit(7), version)
+    masks = [F.call_function("shiftleft", F.lit(1).cast("long"), F.shiftrightunsigned(h, k).bitwiseAND(63).cast("int")) for k in (24, 30, 36, 42)]
+    return h.bitwiseAND(blocks - 1), F.shiftrightunsigned(h, 16).bitwiseAND(BLOCK_WORDS - 1), reduce(Column.bitwiseOR, masks)
+
+
+def _filtered(keyed: DataFrame, runs: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """keyed's rows whose text may have a row in runs, and those whose text has none for certain."""
+    needed = -(-runs.count() * FILTER_BITS // (BLOCK_WORDS * 64))
+    blocks = min(MOST_BLOCKS, 1 << max(0, needed - 1).bit_length())
+    block, word, mask = _slots(F.col("version"), blocks)
+    empty = runs.sparkSession.range(blocks * BLOCK_WORDS).select(F.floor(F.col("id") / BLOCK_WORDS).alias("block"), (F.col("id") % BLOCK_WORDS).alias("word"), F.lit(0).cast("long").alias("mask"))
+    words = runs.select(block.alias("block"), word.alias("word"), mask.alias("mask")).unionByName(empty).groupBy("block", "word").agg(F.bit_or("mask").alias("mask"))
+    # a block has all its words, so a word's place is its number
+    blocked = words.groupBy("block").agg(F.sort_array(F.collect_list(F.struct("word", "mask")))["mask"].alias("words"))
+    met = keyed.withColumn("block", block).join(F.broadcast(blocked), "block", "left")
+    may = F.coalesce(F.get("words", word.cast("int")).bitwiseAND(mask) == mask, F.lit(True))
+    return met.filter(may).drop("block", "words"), met.filter(~may).drop("block", "words")
+
+
 def remove_runs(df: DataFrame, id_column: str, text_column: str, least: int = LEAST, names: tuple[str, str, str] = ("__lines", "__removed", "__runs")) -> DataFrame:
     """The rows with text_column replaced by what is kept, and three columns of the given names: lines, lines removed, runs removed."""
     columns = df.columns
-    ranges = repeated_runs(df, id_column, text_column, least).groupBy("doc", "version").agg(F.sort_array(F.collect_list(F.struct("first", "last"))).alias("ranges"))
+    runs = repeated_runs(df, id_column, text_column, least)
+    ranges = runs.groupBy("doc", "version").agg(F.sort_array(F.collect_list(F.struct("first", "last"))).alias("ranges"))
     keyed = df.select(F.struct(*[F.col(c) for c in columns]).alias("own"), *_identity(id_column, F.col(text_column).cast("string")))
-    joined = keyed.join(ranges, ["doc", "version"], "left").withColumn("content", F.col("own")[text_column].cast("string")).withColumn("lines", F.split("content", "\n", -1))
+    some, rest = _filtered(keyed, runs)
+    met = some.join(ranges, ["doc", "version"], "left").unionByName(rest.withColumn("ranges", F.lit(None).cast(ranges.schema["ranges"].dataType)))
+    joined = met.withColumn("content", F.col("own")[text_column].cast("string")).withColumn("lines", F.split("content", "\n", -1))
     split = F.col("lines")
     starts = F.concat(F.array(F.lit(0)), F.transform("ranges", lambda r: r["last"] + 1))
     stops = F.concat(F.transform("ranges", lambda r: r["first"]), F.array(F.size(split)))

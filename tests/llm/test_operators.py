@@ -367,6 +367,39 @@ def test_line_runs_of_odd_rows(odd):
     assert {(k[0], v) for k, v in expected.items() if k[0] not in (9,)} <= kept
 
 
+def shuffled(spark):
+    context = spark.sparkContext._jsc.sc()
+    context.listenerBus().waitUntilEmpty()
+    found = context.statusStore().executorList(True)
+    return sum(found.apply(i).totalShuffleWrite() for i in range(found.size()))
+
+
+def test_texts_that_keep_their_lines_stay_where_they_are(spark, monkeypatch):
+    """However large the tables are, so without the broadcast of small ones."""
+    rng = np.random.default_rng(6)
+    letters = np.array(list("abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789-_"))
+    rows = [(k, "".join(letters[rng.integers(0, 64, 40_000)])) for k in range(100)]
+    rows += [(100 + k, rows[0][1] + f"\n{k}") for k in range(3)] + [(None, rows[0][1]), (200, None)]
+    expected = plain_lines(rows, line_dedup.LEAST)
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    for key in ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold"):
+        spark.conf.set(key, -1)
+    try:
+        for full in (False, True):
+            if full:  # a filter that rules nothing out
+                monkeypatch.setattr(line_dedup, "_slots", lambda version, blocks: tuple(F.lit(x).cast("long") for x in (0, 0, 1)))
+            kept = line_dedup.remove_runs(df.persist(), "doc_id", "text")
+            began = shuffled(spark)
+            got = [(r.doc_id, r.text) for r in kept.collect()]
+            moved = shuffled(spark) - began
+            assert sorted(map(str, got)) == sorted(str((k, expected.get((k, t), t))) for k, t in rows)
+            assert (moved > 2_000_000) if full else (moved < 500_000)
+    finally:
+        df.unpersist()
+        for key in ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold"):
+            spark.conf.unset(key)
+
+
 # --- 7: language model -------------------------------------------------------------------------------------------
 
 
